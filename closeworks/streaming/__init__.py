@@ -1,0 +1 @@
+"""Empty on purpose: the close is a batch process and has no streaming operator."""
