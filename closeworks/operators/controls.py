@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig, bu_dim
 from closeworks.functions.exprs import has_all, in_period, total
-from closeworks.operators.fx import fx_outliers
 from closeworks.operators.lookup import join_dimension
 
 
@@ -45,14 +44,16 @@ def bu_missing(
 ) -> DataFrame:
     """Units without a valid row in ``df``, for each of its periods (or for those in ``periods``).
 
-    One pass: per period, the configured units seen in valid rows. The set cannot
+    One pass: per period, the configured units seen in valid rows. The list cannot
     grow beyond the configuration.
     """
     seen = F.when(F.col("is_validated") & F.col("bu_code").isin(cfg.bu_codes), F.col("bu_code"))
     submitted = (
         df.filter(F.col("closure_period").isNotNull())
+        .select("closure_period", seen.alias("_seen"))
+        .distinct()
         .groupBy("closure_period")
-        .agg(F.collect_set(seen).alias("_submitted"))
+        .agg(F.collect_list("_seen").alias("_submitted"))
     )
     if periods is not None:
         submitted = _periods(periods).join(submitted, "closure_period", "left")
@@ -65,13 +66,9 @@ def bu_submitted(df: DataFrame, period: str | None = None) -> DataFrame:
 
 
 def fx_outlier_count(rates: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Rates beyond the variance threshold that are not validated, per period."""
-    return (
-        fx_outliers(rates, cfg.fx_variance_threshold)
-        .filter(~F.col("is_validated"))
-        .groupBy("closure_period")
-        .agg(F.count("*").alias("outliers"))
-    )
+    """Rates beyond the variance threshold that are not validated, per period; 0 where there are none."""
+    beyond = (F.abs("variance_from_prior") > cfg.fx_variance_threshold) & ~F.col("is_validated")
+    return rates.groupBy("closure_period").agg(F.count_if(beyond).alias("outliers"))
 
 
 def forecast_coverage(forecasts: DataFrame, period: str | None = None) -> DataFrame:
@@ -89,13 +86,9 @@ def forecast_coverage(forecasts: DataFrame, period: str | None = None) -> DataFr
 def large_adjustments(
     cuts: DataFrame, period: str | None = None, cfg: CloseConfig = DEFAULT_CONFIG
 ) -> DataFrame:
-    """Valid adjustments above the review limit, per period."""
-    return (
-        valid_rows(cuts, period)
-        .filter(F.abs("usd_amount") > cfg.large_adjustment)
-        .groupBy("closure_period")
-        .agg(F.count("*").alias("adjustments"))
-    )
+    """Valid adjustments above the review limit, per period; 0 where there are none."""
+    large = F.col("is_validated") & (F.abs("usd_amount") > cfg.large_adjustment)
+    return in_period(cuts, period).groupBy("closure_period").agg(F.count_if(large).alias("adjustments"))
 
 
 def recon_totals(ledger: DataFrame, cuts: DataFrame, period: str | None = None) -> DataFrame:
@@ -140,12 +133,14 @@ def segment_coverage(
 ) -> DataFrame:
     """Segment types delivered by each unit, and the ones it lacks.
 
-    Valid rows hold configured types only, so the collected set has at most that many entries.
+    Valid rows hold configured types only, so the collected list has at most that many entries.
     """
     return (
         valid_rows(segments, period)
+        .select("closure_period", "bu_code", "segment_type")
+        .distinct()
         .groupBy("closure_period", "bu_code")
-        .agg(F.sort_array(F.collect_set("segment_type")).alias("segment_types"))
+        .agg(F.sort_array(F.collect_list("segment_type")).alias("segment_types"))
         .withColumns(
             {
                 "segments_present": F.size("segment_types"),
@@ -275,7 +270,7 @@ def fx_alerts(rates: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> DataFrame:
     text = F.concat(
         F.lit("Found "), F.col("outliers").cast("string"), F.lit(" exchange rates exceeding variance threshold")
     )
-    return _alert(fx_outlier_count(rates, cfg), 1, "WARNING", text, F.lit(cfg.operations_contact))
+    return _alert(fx_outlier_count(rates, cfg).filter(F.col("outliers") > 0), 1, "WARNING", text, F.lit(cfg.operations_contact))
 
 
 def missing_ledger_alerts(ledger: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -367,7 +362,7 @@ def signoff_requests(ledger: DataFrame, cuts: DataFrame, cfg: CloseConfig = DEFA
     structs = [F.struct(*request(p, k, who, status, F.lit(text))) for p, k, who, status, text in regular]
     per_period = _periods(ledger).select("closure_period", F.inline(F.array(*structs)))
     review = F.concat(F.col("adjustments").cast("string"), F.lit(" adjustments >$100K require approval"))
-    large = large_adjustments(cuts, cfg=cfg).select(
+    large = large_adjustments(cuts, cfg=cfg).filter(F.col("adjustments") > 0).select(
         "closure_period", *request(2, "LARGE_ADJUSTMENT_REVIEW", F.lit("Controller"), "PENDING", review)
     )
     return per_period.unionByName(large)

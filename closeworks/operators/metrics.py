@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeworks.functions.exprs import (
+    RATE,
     account_category,
     banded,
     category_rank,
@@ -357,7 +358,7 @@ def raw_fx_stats(raw: DataFrame) -> DataFrame:
             F.count("*").alias("record_count"),
             F.min("rate").alias("min_rate"),
             F.max("rate").alias("max_rate"),
-            mean("rate", "decimal(18,10)").alias("avg_rate"),
+            mean("rate", RATE).alias("avg_rate"),
             F.round(F.stddev_samp("rate"), 8).alias("stddev_rate"),
             F.min("rate_date").alias("earliest_date"),
             F.max("rate_date").alias("latest_date"),
@@ -500,14 +501,22 @@ def raw_forecast_trend(raw: DataFrame) -> DataFrame:
 
 
 def raw_forecast_fx_summary(raw: DataFrame) -> DataFrame:
+    """Per currency. Combined per date first: dates may be text, and Spark sorts for a minimum of text."""
     date = "forecast_month" if "forecast_month" in raw.columns else "forecast_date"
+    by_date = raw.groupBy("currency", date).agg(
+        F.count("*").alias("_rows"),
+        F.count("forecast_rate").alias("_rates"),
+        F.min("forecast_rate").alias("_min"),
+        F.max("forecast_rate").alias("_max"),
+        F.sum(F.col("forecast_rate").cast(RATE)).alias("_sum"),
+    )
     return (
-        raw.groupBy("currency")
+        by_date.groupBy("currency")
         .agg(
-            F.count("*").alias("forecast_count"),
-            F.min("forecast_rate").alias("min_rate"),
-            F.max("forecast_rate").alias("max_rate"),
-            mean("forecast_rate", "decimal(18,10)").alias("avg_rate"),
+            F.sum("_rows").alias("forecast_count"),
+            F.min("_min").alias("min_rate"),
+            F.max("_max").alias("max_rate"),
+            F.try_divide(F.sum("_sum").cast("double"), F.sum("_rates")).alias("avg_rate"),
             F.min(date).alias("first_date"),
             F.max(date).alias("last_date"),
         )

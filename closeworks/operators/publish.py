@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig, bu_dim
 from closeworks.functions.exprs import (
+    MONEY,
     account_category,
     in_period,
     margin_percent,
@@ -51,17 +52,16 @@ def latest_version(results: DataFrame) -> DataFrame:
 # --- prior period -----------------------------------------------------------
 
 
-def prior_amounts(results: DataFrame, amount: str, months_back: int = 1, beside: str | None = None) -> DataFrame:
+def prior_amounts(results: DataFrame, amount: str, months_back: int = 1) -> DataFrame:
     """Amount per (bu, account) under the period that compares with it, as ``prior_period_amount``.
 
-    Keyed by the later period: the row of 1997-05 is found under 1997-06. ``beside``
-    names a column carried along in the maximum without changing it.
+    Keyed by the later period: the row of 1997-05 is found under 1997-06.
     """
-    largest = F.max(F.struct(amount, beside))[amount] if beside else F.max(amount)
+    later = F.coalesce(period_shift("closure_period", months_back), F.lit(""))
     return (
         results.groupBy(*KEY)
-        .agg(largest.alias("prior_period_amount"))
-        .withColumn("closure_period", period_shift("closure_period", months_back))
+        .agg(F.max(amount).alias("prior_period_amount"))
+        .withColumn("closure_period", later)
     )
 
 
@@ -85,6 +85,15 @@ def _zero(c: str | Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """State that the key is not NULL, as it is in every valid ledger row.
+
+    A join on the key would add this condition to one side only. With both sides equal up
+    to their first shuffle, Spark runs that part once, so the ledger is read once.
+    """
+    return rows.filter(" AND ".join(f"{k} IS NOT NULL" for k in KEY))
+
+
 # --- preliminary results ----------------------------------------------------
 
 
@@ -100,15 +109,18 @@ def preliminary_results(
     version of each period) and the next version number. Without it both come from
     the ledger's own earlier periods, and the version is 1.
     """
-    current = (
-        valid_rows(ledger, period)
-        .groupBy(*KEY, "bu_name", "account_description")
-        .agg(total("usd_amount").alias("preliminary_amount"), F.min("local_currency").alias("currency"))
+    # The currency is a grouping key at first and a minimum only over the few groups left: a
+    # minimum of text on the lines themselves would make Spark sort them.
+    by_currency = (
+        _keyed(valid_rows(ledger, period))
+        .groupBy(*KEY, "bu_name", "account_description", "local_currency")
+        .agg(F.sum(F.col("usd_amount").cast(MONEY)).alias("_amount"))
+    )
+    current = by_currency.groupBy(*KEY, "bu_name", "account_description").agg(
+        F.sum("_amount").cast("double").alias("preliminary_amount"), F.min("local_currency").alias("currency")
     )
     if published is None:
-        # Asking for the currency too keeps both sides of the join equal up to their
-        # shuffle, so Spark computes it once and the ledger is read once.
-        prior = prior_amounts(current, "preliminary_amount", months_back, beside="currency")
+        prior = prior_amounts(current, "preliminary_amount", months_back)
         joined = current.join(prior, KEY, "left").withColumn("version", F.lit(1))
     else:
         prior = prior_amounts(latest_version(published), "preliminary_amount", months_back)
@@ -212,10 +224,14 @@ def final_results(
     period, cannot multiply amounts, and all use the same partitioning. ``published``
     holds earlier final results; without it the prior period comes from this plan.
     """
-    accounts = (
+    by_description = (
         valid_rows(ledger, period)
-        .groupBy(*KEY, "bu_name")
-        .agg(total("usd_amount").alias("preliminary_amount"), F.min("account_description").alias("account_description"))
+        .groupBy(*KEY, "bu_name", "account_description")
+        .agg(F.sum(F.col("usd_amount").cast(MONEY)).alias("_amount"))
+    )
+    accounts = by_description.groupBy(*KEY, "bu_name").agg(
+        F.sum("_amount").cast("double").alias("preliminary_amount"),
+        F.min("account_description").alias("account_description"),
     )
     # One description per account and period, whichever unit it comes from.
     one_account = Window.partitionBy("closure_period", "account_code")

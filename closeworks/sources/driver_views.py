@@ -30,9 +30,141 @@ CONFIG = CloseConfig(
     currencies=("EUR", "SGD", "BRL", "GBP", "USD"),
 )
 
+# Columns of the driver tables; stated, so that opening a table reads no file.
+LAYOUT = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+FX_RAW = """
+event_id
+cast(event_id AS string) AS load_id
+CASE user_id % 5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'SGD' WHEN 2 THEN 'BRL' WHEN 3 THEN 'GBP' ELSE 'QQQ' END AS currency
+CASE WHEN event_type = 'error' AND event_id % 7 = 0 THEN NULL WHEN event_id % 499 = 0 THEN 0e0 ELSE (CASE user_id % 5 WHEN 0 THEN 0.92e0 WHEN 1 THEN 1.34e0 WHEN 2 THEN 4.97e0 WHEN 3 THEN 0.79e0 ELSE 1e0 END) * (1e0 + cast((event_id * 37) % 200 - 100 AS double) / 1e4) * (CASE WHEN event_id % 97 = 0 THEN 1.08e0 ELSE 1e0 END) END AS rate
+cast(ts AS date) AS rate_date
+event_type AS source
+ts AS loaded_at
+"""
+
+FORECAST_FX_RAW = """
+currency
+concat(cast(1996 + cast((event_id % 72 - event_id % 12) / 12 AS int) AS string), '-', lpad(cast(event_id % 12 + 1 AS string), 2, '0')) AS forecast_month
+rate AS forecast_rate
+'TREASURY_FORECAST' AS source
+"""
+
+LEDGER_RAW = """
+l_orderkey
+l_linenumber
+l_partkey
+l_suppkey
+CASE WHEN l_orderkey % 1009 = 0 THEN NULL ELSE r_name END AS bu_code
+CASE WHEN l_orderkey % 997 = 0 THEN NULL ELSE CASE l_linenumber WHEN 1 THEN '4000' WHEN 2 THEN '4100' WHEN 3 THEN '5000' WHEN 4 THEN '5100' WHEN 5 THEN '6000' WHEN 6 THEN '7000' ELSE '8000' END END AS account_code
+concat('line ', cast(l_linenumber AS string)) AS account_description
+CASE WHEN n_nationkey = 23 THEN 'ZZZ' ELSE CASE r_name WHEN 'AMERICA' THEN 'USD' WHEN 'EUROPE' THEN 'EUR' WHEN 'ASIA' THEN 'SGD' WHEN 'AFRICA' THEN 'BRL' ELSE 'GBP' END END AS local_currency
+cast(CASE WHEN l_linenumber IN (1, 2, 6) THEN l_extendedprice ELSE -l_extendedprice END AS double) AS local_amount
+date_format(o_orderdate, 'yyyy-MM') AS period
+concat('CC00', cast(l_suppkey % 5 + 1 AS string)) AS cost_center
+n_name
+c_mktsegment
+o_orderpriority
+l_returnflag
+l_linestatus
+l_discount
+"""
+
+CUTS_RAW = """
+CASE WHEN l_orderkey % 503 = 0 THEN 3 WHEN l_returnflag = 'A' THEN 1 ELSE 2 END AS cut_number
+bu_code
+account_code
+concat('type ', l_linestatus, '-', o_orderpriority) AS adjustment_type
+cast(CASE WHEN l_linenumber % 2 = 0 THEN l_discount ELSE -l_discount END * 1e3 AS double) * l_suppkey AS adjustment_amount
+local_currency AS currency
+account_description AS description
+period
+"""
+
+SEGMENTS_RAW = """
+bu_code
+account_code
+stack(4, part_type, p_type, 'Geography', n_name, 'Customer', c_mktsegment, CASE WHEN o_orderpriority = '5-LOW' THEN 'Unknown' ELSE 'Channel' END, o_orderpriority) AS (segment_type, segment_value)
+local_amount / 4e0 AS amount
+local_currency AS currency
+period
+"""
+
+FORECAST_RAW = """
+bu_code
+account_code
+concat(cast(cast(substr(period, 1, 4) AS int) + 1 AS string), substr(period, 5, 3)) AS forecast_period
+local_amount * 1.05e0 AS forecast_amount
+local_currency AS currency
+'Rolling12' AS forecast_type
+CASE WHEN l_linestatus = 'O' THEN 'v2.0' ELSE 'v1.0' END AS version
+"""
+
+TASK_LOG = """
+cast(event_id AS string) AS log_id
+concat('agent-', cast(user_id % 6 AS string)) AS agent_id
+concat('Agent ', cast(user_id % 6 AS string)) AS agent_name
+date_format(ts, 'yyyy-MM') AS closure_period
+cast(user_id % 6 AS int) AS phase
+concat('task ', cast(event_id % 9 AS string)) AS task_name
+CASE event_type WHEN 'purchase' THEN 'COMPLETED' WHEN 'click' THEN 'COMPLETED' WHEN 'view' THEN 'RUNNING' WHEN 'error' THEN 'FAILED' ELSE 'WARNING' END AS status
+ts AS started_at
+value AS duration_seconds
+event_id % 1000 AS records_processed
+CASE WHEN event_type = 'error' THEN props END AS error_message
+"""
+
+NOTIFICATIONS = """
+event_id AS notification_id
+date_format(ts, 'yyyy-MM') AS closure_period
+cast(user_id % 6 AS int) AS phase
+CASE WHEN event_type = 'error' THEN 'WARNING' ELSE 'INFO' END AS severity
+props AS message
+event_type AS recipient
+ts AS sent_at
+CASE WHEN event_id % 3 = 0 THEN ts END AS acknowledged_at
+"""
+
+CLOSURE_STATUS = """
+o_orderkey AS closure_id
+date_format(o_orderdate, 'yyyy-MM') AS closure_period
+cast(o_orderkey % 5 + 1 AS int) AS current_phase
+CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'INITIALIZED' ELSE 'FAILED' END AS phase_status
+o_orderdate AS started_at
+cast(o_orderdate AS date) + cast(o_orderkey % 9 AS int) AS expected_completion
+CASE WHEN o_orderstatus = 'F' THEN cast(o_orderdate AS date) + cast(o_orderkey % 11 AS int) END AS actual_completion
+o_orderpriority AS notes
+"""
+
+APPROVALS = """
+o_orderkey AS approval_id
+date_format(o_orderdate, 'yyyy-MM') AS closure_period
+4 AS phase
+CASE WHEN o_orderkey % 3 = 0 THEN 'BU_SIGNOFF' ELSE 'FORECAST_REVIEW' END AS approval_type
+o_orderpriority AS required_approver
+CASE o_orderstatus WHEN 'F' THEN 'APPROVED' WHEN 'O' THEN 'PENDING' ELSE 'SCHEDULED' END AS status
+o_orderdate AS requested_at
+'c' AS comments
+"""
+
 # --- end of fixed values ----------------------------------------------------
 
 
+def _columns(text: str) -> list[str]:
+    return text.strip().splitlines()
+
+
 class DriverViews:
     """Raw close tables over the parquet tables of one directory."""
 
@@ -43,7 +175,7 @@ class DriverViews:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._opened:
-            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._opened[name] = self.spark.read.schema(LAYOUT[name]).parquet(f"{self.sf_dir}/{name}.parquet")
         return self._opened[name]
 
     def raw_table(self, name: str) -> DataFrame:
@@ -60,34 +192,10 @@ class DriverViews:
     # --- rates --------------------------------------------------------------
 
     def fx_raw(self) -> DataFrame:
-        user, event = F.col("user_id") % 5, F.col("event_id")
-        base = F.when(user == 0, 0.92).when(user == 1, 1.34).when(user == 2, 4.97).when(user == 3, 0.79).otherwise(1.0)
-        tick = F.lit(1.0) + ((event * 37) % 200 - 100).cast("double") / F.lit(1e4)
-        spike = F.when(event % 97 == 0, 1.08).otherwise(F.lit(1.0))
-        return self.table("events").select(
-            "event_id",
-            event.cast("string").alias("load_id"),
-            F.when(user == 0, "EUR").when(user == 1, "SGD").when(user == 2, "BRL").when(user == 3, "GBP")
-            .otherwise("QQQ").alias("currency"),
-            F.when((F.col("event_type") == "error") & (event % 7 == 0), None)
-            .when(event % 499 == 0, 0.0)
-            .otherwise(base * tick * spike)
-            .alias("rate"),
-            F.col("ts").cast("date").alias("rate_date"),
-            F.col("event_type").alias("source"),
-            F.col("ts").alias("loaded_at"),
-        )
+        return self.table("events").selectExpr(*_columns(FX_RAW))
 
     def forecast_fx_raw(self) -> DataFrame:
-        event = F.col("event_id")
-        year = (F.lit(1996) + F.floor((event % 72) / 12)).cast("int").cast("string")
-        month = F.lpad((event % 12 + 1).cast("string"), 2, "0")
-        return self.fx_raw().filter(F.col("rate") > 0).select(
-            "currency",
-            F.concat(year, F.lit("-"), month).alias("forecast_month"),
-            F.col("rate").alias("forecast_rate"),
-            F.lit("TREASURY_FORECAST").alias("source"),
-        )
+        return self.fx_raw().filter("rate > 0").selectExpr(*_columns(FORECAST_FX_RAW))
 
     # --- ledger and what derives from it --------------------------------------
 
@@ -96,52 +204,14 @@ class DriverViews:
 
         That way the largest table is shuffled once at most, by order key.
         """
-        places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        customers = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        orders = self.table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        lines = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        line, region, price = F.col("l_linenumber"), F.col("r_name"), F.col("l_extendedprice")
-        account = (
-            F.when(line == 1, "4000").when(line == 2, "4100").when(line == 3, "5000").when(line == 4, "5100")
-            .when(line == 5, "6000").when(line == 6, "7000").otherwise("8000")
-        )
-        currency = (
-            F.when(F.col("n_nationkey") == 23, "ZZZ").when(region == "AMERICA", "USD").when(region == "EUROPE", "EUR")
-            .when(region == "ASIA", "SGD").when(region == "AFRICA", "BRL").otherwise("GBP")
-        )
-        return lines.select(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            F.when(F.col("l_orderkey") % 1009 != 0, region).alias("bu_code"),
-            F.when(F.col("l_orderkey") % 997 != 0, account).alias("account_code"),
-            F.concat(F.lit("line "), line.cast("string")).alias("account_description"),
-            currency.alias("local_currency"),
-            F.when(line.isin(1, 2, 6), price).otherwise(-price).alias("local_amount"),
-            F.date_format("o_orderdate", "yyyy-MM").alias("period"),
-            F.concat(F.lit("CC00"), (F.col("l_suppkey") % 5 + 1).cast("string")).alias("cost_center"),
-            "n_name",
-            "c_mktsegment",
-            "o_orderpriority",
-            "l_returnflag",
-            "l_linestatus",
-            "l_discount",
-        )
+        places = self.table("nation").join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+        customers = self.table("customer").join(places, F.expr("c_nationkey = n_nationkey"))
+        orders = self.table("orders").join(customers, F.expr("o_custkey = c_custkey"))
+        lines = self.table("lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
+        return lines.selectExpr(*_columns(LEDGER_RAW))
 
     def cuts_raw(self) -> DataFrame:
-        discount = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_discount")).otherwise(-F.col("l_discount"))
-        return self.ledger_raw().filter(F.col("l_returnflag").isin("A", "R")).select(
-            F.when(F.col("l_orderkey") % 503 == 0, 3).when(F.col("l_returnflag") == "A", 1).otherwise(2)
-            .alias("cut_number"),
-            "bu_code",
-            "account_code",
-            F.concat(F.lit("type "), "l_linestatus", F.lit("-"), "o_orderpriority").alias("adjustment_type"),
-            (discount * F.lit(1e3) * F.col("l_suppkey")).alias("adjustment_amount"),
-            F.col("local_currency").alias("currency"),
-            F.col("account_description").alias("description"),
-            "period",
-        )
+        return self.ledger_raw().filter("l_returnflag IN ('A', 'R')").selectExpr(*_columns(CUTS_RAW))
 
     def segments_raw(self) -> DataFrame:
         """Four segment rows per ledger line, from one pass over the lines.
@@ -149,99 +219,23 @@ class DriverViews:
         Part keys are unique, so the left join keeps one row per line; a line whose part
         is unknown has no product row.
         """
-        parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", F.lit(True).alias("_part"))
-        channel = F.when(F.col("o_orderpriority") == "5-LOW", "Unknown").otherwise("Channel")
-        kinds = [
-            (F.when(F.col("_part"), "Product"), "p_type"),
-            (F.lit("Geography"), "n_name"),
-            (F.lit("Customer"), "c_mktsegment"),
-            (channel, "o_orderpriority"),
-        ]
-        rows = F.array(
-            *[F.struct(kind.alias("segment_type"), F.col(value).alias("segment_value")) for kind, value in kinds]
-        )
-        return (
-            self.ledger_raw()
-            .join(parts, "l_partkey", "left")
-            .select(
-                "bu_code",
-                "account_code",
-                F.inline(rows),
-                (F.col("local_amount") / F.lit(4.0)).alias("amount"),
-                F.col("local_currency").alias("currency"),
-                "period",
-            )
-            .filter(F.col("segment_type").isNotNull())
-        )
+        parts = self.table("part").selectExpr("p_partkey", "p_type", "'Product' AS part_type")
+        lines = self.ledger_raw().join(parts, F.expr("l_partkey = p_partkey"), "left")
+        return lines.selectExpr(*_columns(SEGMENTS_RAW)).filter("segment_type IS NOT NULL")
 
     def forecast_raw(self) -> DataFrame:
-        next_year = (F.substring("period", 1, 4).cast("int") + 1).cast("string")
-        return self.ledger_raw().select(
-            "bu_code",
-            "account_code",
-            F.concat(next_year, F.substring("period", 5, 3)).alias("forecast_period"),
-            (F.col("local_amount") * F.lit(1.05)).alias("forecast_amount"),
-            F.col("local_currency").alias("currency"),
-            F.lit("Rolling12").alias("forecast_type"),
-            F.when(F.col("l_linestatus") == "O", "v2.0").otherwise("v1.0").alias("version"),
-        )
+        return self.ledger_raw().selectExpr(*_columns(FORECAST_RAW))
 
     # --- status, sign-offs, task log ------------------------------------------
 
     def task_log(self) -> DataFrame:
-        agent = (F.col("user_id") % 6).cast("string")
-        kind = F.col("event_type")
-        return self.table("events").select(
-            F.col("event_id").cast("string").alias("log_id"),
-            F.concat(F.lit("agent-"), agent).alias("agent_id"),
-            F.concat(F.lit("Agent "), agent).alias("agent_name"),
-            F.date_format("ts", "yyyy-MM").alias("closure_period"),
-            (F.col("user_id") % 6).cast("int").alias("phase"),
-            F.concat(F.lit("task "), (F.col("event_id") % 9).cast("string")).alias("task_name"),
-            F.when(kind.isin("purchase", "click"), "COMPLETED").when(kind == "view", "RUNNING")
-            .when(kind == "error", "FAILED").otherwise("WARNING").alias("status"),
-            F.col("ts").alias("started_at"),
-            F.col("value").alias("duration_seconds"),
-            (F.col("event_id") % 1000).alias("records_processed"),
-            F.when(kind == "error", F.col("props")).alias("error_message"),
-        )
+        return self.table("events").selectExpr(*_columns(TASK_LOG))
 
     def notifications(self) -> DataFrame:
-        kind = F.col("event_type")
-        return self.table("events").filter(kind.isin("error", "signup")).select(
-            F.col("event_id").alias("notification_id"),
-            F.date_format("ts", "yyyy-MM").alias("closure_period"),
-            (F.col("user_id") % 6).cast("int").alias("phase"),
-            F.when(kind == "error", "WARNING").otherwise("INFO").alias("severity"),
-            F.col("props").alias("message"),
-            kind.alias("recipient"),
-            F.col("ts").alias("sent_at"),
-            F.when(F.col("event_id") % 3 == 0, F.col("ts")).alias("acknowledged_at"),
-        )
+        return self.table("events").filter("event_type IN ('error', 'signup')").selectExpr(*_columns(NOTIFICATIONS))
 
     def closure_status(self) -> DataFrame:
-        key, day, state = F.col("o_orderkey"), F.col("o_orderdate").cast("date"), F.col("o_orderstatus")
-        return self.table("orders").select(
-            key.alias("closure_id"),
-            F.date_format("o_orderdate", "yyyy-MM").alias("closure_period"),
-            (key % 5 + 1).cast("int").alias("current_phase"),
-            F.when(state == "F", "COMPLETED").when(state == "O", "INITIALIZED").otherwise("FAILED")
-            .alias("phase_status"),
-            F.col("o_orderdate").alias("started_at"),
-            F.date_add(day, (key % 9).cast("int")).alias("expected_completion"),
-            F.when(state == "F", F.date_add(day, (key % 11).cast("int"))).alias("actual_completion"),
-            F.col("o_orderpriority").alias("notes"),
-        )
+        return self.table("orders").selectExpr(*_columns(CLOSURE_STATUS))
 
     def approvals(self) -> DataFrame:
-        state = F.col("o_orderstatus")
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("approval_id"),
-            F.date_format("o_orderdate", "yyyy-MM").alias("closure_period"),
-            F.lit(4).alias("phase"),
-            F.when(F.col("o_orderkey") % 3 == 0, "BU_SIGNOFF").otherwise("FORECAST_REVIEW").alias("approval_type"),
-            F.col("o_orderpriority").alias("required_approver"),
-            F.when(state == "F", "APPROVED").when(state == "O", "PENDING").otherwise("SCHEDULED").alias("status"),
-            F.col("o_orderdate").alias("requested_at"),
-            F.lit("c").alias("comments"),
-        )
+        return self.table("orders").selectExpr(*_columns(APPROVALS))

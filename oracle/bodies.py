@@ -122,7 +122,7 @@ WHERE NOT EXISTS (SELECT 1 FROM forecast_own l WHERE l.is_validated AND l.closur
                   AND l.bu_code = b.bu_code)"""
 
 LARGE = """
-SELECT closure_period, COUNT(*) AS adjustments FROM cuts WHERE is_validated AND ABS(usd_amount) > 100000
+SELECT closure_period, COUNT(*) FILTER (WHERE is_validated AND ABS(usd_amount) > 100000) AS adjustments FROM cuts
 GROUP BY closure_period"""
 
 COVERAGE = f"""
@@ -133,8 +133,8 @@ SELECT closure_period, bu_code, CAST(COUNT(DISTINCT segment_type) AS INTEGER) AS
 FROM segs WHERE is_validated GROUP BY closure_period, bu_code"""
 
 FX_OUTLIER_COUNT = """
-SELECT closure_period, COUNT(*) AS outliers FROM fx_proc
-WHERE ABS(variance_from_prior) > 5 AND NOT is_validated GROUP BY closure_period"""
+SELECT closure_period, COUNT(*) FILTER (WHERE ABS(variance_from_prior) > 5 AND NOT is_validated) AS outliers
+FROM fx_proc GROUP BY closure_period"""
 
 EXEC = f"""
 SELECT *, total_revenue - total_cogs AS gross_profit,
@@ -397,7 +397,11 @@ FULL JOIN (SELECT closure_period, {money('usd_amount')} AS total_segment FROM se
            GROUP BY closure_period) s ON s.closure_period = l.closure_period""",
     "alerts": _union(
         _alert(
-            1, "WARNING", "'Found ' || outliers || ' exchange rates exceeding variance threshold'", OPS, FX_OUTLIER_COUNT
+            1,
+            "WARNING",
+            "'Found ' || outliers || ' exchange rates exceeding variance threshold'",
+            OPS,
+            f"SELECT * FROM ({FX_OUTLIER_COUNT}) o WHERE outliers > 0",
         ),
         _alert(1, "WARNING", "'Preliminary close file missing from ' || bu_name", "contact", MISSING_LEDGER),
         _alert(
@@ -438,7 +442,7 @@ FULL JOIN (SELECT closure_period, {money('usd_amount')} AS total_segment FROM se
             "'Controller'",
             "PENDING",
             "CAST(adjustments AS VARCHAR) || ' adjustments >$100K require approval'",
-            f"({LARGE}) q",
+            f"({LARGE}) q WHERE adjustments > 0",
         ),
     ),
     "approvals_pending": """
