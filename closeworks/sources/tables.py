@@ -198,11 +198,17 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
-def write_clustered(df: DataFrame, root: str, name: str, keys: tuple[str, str] | None = None) -> None:
+def write_clustered(
+    df: DataFrame, root: str, name: str, keys: tuple[str, str] | None = None, files: int | None = None
+) -> None:
     """Write sorted by two keys, so that min/max statistics let readers skip files and row groups.
 
-    Rows are spread by range over both keys; a hot first key is split by the second.
+    Rows are spread by range over period and both keys, so a hot first key is split by
+    the second. ``files`` is the number of ranges; by default Spark sizes them.
     """
-    first, second = keys or schemas.CLUSTER_KEYS[name]
-    laid_out = df.repartitionByRange(first, second).sortWithinPartitions(first, second)
-    laid_out.write.mode("overwrite").parquet(table_path(root, name))
+    wanted = [schemas.PARTITION_COLUMN] if schemas.is_partitioned(name) else []
+    columns = list(dict.fromkeys([*wanted, *(keys or schemas.CLUSTER_KEYS[name])]))
+    spread = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
+    _writer(spread.sortWithinPartitions(*columns), name, "overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).parquet(table_path(root, name))
