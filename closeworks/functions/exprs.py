@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from closeworks.config import CATEGORY_BY_FIRST_DIGIT, CATEGORY_RANK, PHASE_NAMES
 
-MONEY = "decimal(18,4)"
-RATE = "decimal(18,10)"
+# Digits after the point that sums of amounts and of rates keep.
+MONEY = 4
+RATE = 10
 
 
 def _col(c: Column | str) -> Column:
@@ -21,13 +22,28 @@ def _col(c: Column | str) -> Column:
 # --- sums and ratios --------------------------------------------------------
 
 
-def total(c: Column | str) -> Column:
-    """Sum of a double column, added up as decimals.
+def unit_sum(c: Column | str, digits: int = MONEY) -> Column:
+    """Sum of a double column in whole units of ``10 ** -digits``; see ``amount_of``.
 
-    A double sum depends on the order in which tasks finish; a decimal sum does
-    not, so a rerun after a lost executor publishes the same figures.
+    A double sum depends on the order in which tasks finish. This one does not, so a
+    rerun after a lost executor publishes the same figures. Summing decimals would do
+    too, at ten times the cost per row. The units are added up as two whole numbers,
+    upper and lower bits, which leaves room for trillions of rows before either
+    overflows; an amount too large for its units is an error, not a wrong sum.
     """
-    return F.sum(_col(c).cast(MONEY)).cast("double")
+    units = F.rint(_col(c) * F.lit(10.0**digits)).cast("bigint")
+    upper = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    lower = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    return upper * F.lit(1 << 20).cast("decimal(7,0)") + lower
+
+
+def amount_of(units: Column, digits: int = MONEY) -> Column:
+    return units.cast("double") / F.lit(10.0**digits)
+
+
+def total(c: Column | str) -> Column:
+    """Sum of amounts, independent of the row order."""
+    return amount_of(unit_sum(c))
 
 
 def total_when(condition: Column, c: Column | str) -> Column:
@@ -35,10 +51,9 @@ def total_when(condition: Column, c: Column | str) -> Column:
     return total(F.when(condition, _col(c)).otherwise(F.lit(0.0)))
 
 
-def mean(c: Column | str, scale: str = MONEY) -> Column:
+def mean(c: Column | str, digits: int = MONEY) -> Column:
     """Average as exact sum over count, independent of the row order."""
-    c = _col(c)
-    return F.try_divide(F.sum(c.cast(scale)).cast("double"), F.count(c))
+    return F.try_divide(amount_of(unit_sum(c, digits), digits), F.count(_col(c)))
 
 
 def percent_of(part: Column, whole: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig, bu_dim
-from closeworks.functions.exprs import has_all, in_period, total
+from closeworks.functions.exprs import amount_of, has_all, in_period, total, unit_sum
 from closeworks.operators.lookup import join_dimension
 
 
@@ -161,9 +161,9 @@ def review_summary(
     accounts = (
         valid_rows(ledger, period)
         .groupBy(*key, "bu_name", "account_code")
-        .agg(F.sum(F.col("usd_amount").cast("decimal(18,4)")).alias("_amount"))
+        .agg(unit_sum("usd_amount").alias("_amount"))
         .groupBy(*key, "bu_name")
-        .agg(F.count("account_code").alias("accounts"), F.sum("_amount").cast("double").alias("preliminary_total"))
+        .agg(F.count("account_code").alias("accounts"), amount_of(F.sum("_amount")).alias("preliminary_total"))
     )
 
     def distinct_per_bu(df: DataFrame, column: str, name: str) -> DataFrame:

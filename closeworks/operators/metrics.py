@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from closeworks.functions.exprs import (
     RATE,
     account_category,
+    amount_of,
     banded,
     category_rank,
     in_period,
@@ -18,6 +19,7 @@ from closeworks.functions.exprs import (
     phase_name,
     total,
     total_when,
+    unit_sum,
 )
 from closeworks.operators.controls import valid_rows
 
@@ -223,10 +225,6 @@ def ledger_by_bu(ledger: DataFrame, period: str | None = None) -> DataFrame:
     )
 
 
-def _sum_exact(c: str) -> Column:
-    return F.sum(F.col(c).cast("decimal(18,4)"))
-
-
 def cuts_summary(cuts: DataFrame, period: str | None = None) -> DataFrame:
     """Per cut: rows, total, average, distinct units and types, valid rows.
 
@@ -239,7 +237,7 @@ def cuts_summary(cuts: DataFrame, period: str | None = None) -> DataFrame:
         .agg(
             F.count("*").alias("_rows"),
             F.count("usd_amount").alias("_amounts"),
-            _sum_exact("usd_amount").alias("_sum"),
+            unit_sum("usd_amount").alias("_sum"),
             F.count_if("is_validated").alias("_valid"),
         )
     )
@@ -247,8 +245,8 @@ def cuts_summary(cuts: DataFrame, period: str | None = None) -> DataFrame:
         combos.groupBy("cut_number")
         .agg(
             F.sum("_rows").alias("adjustment_count"),
-            F.sum("_sum").cast("double").alias("total_usd_adjustments"),
-            F.try_divide(F.sum("_sum").cast("double"), F.sum("_amounts")).alias("avg_usd_adjustment"),
+            amount_of(F.sum("_sum")).alias("total_usd_adjustments"),
+            F.try_divide(amount_of(F.sum("_sum")), F.sum("_amounts")).alias("avg_usd_adjustment"),
             F.countDistinct("bu_code").alias("bu_count"),
             F.countDistinct("adjustment_type").alias("adjustment_types"),
             F.sum("_valid").alias("valid_count"),
@@ -261,13 +259,13 @@ def cuts_by_bu(cuts: DataFrame, period: str | None = None) -> DataFrame:
     by_type = (
         valid_rows(cuts, period)
         .groupBy("bu_code", "cut_number", "adjustment_type")
-        .agg(F.count("*").alias("_rows"), _sum_exact("usd_amount").alias("_sum"))
+        .agg(F.count("*").alias("_rows"), unit_sum("usd_amount").alias("_sum"))
     )
     return (
         by_type.groupBy("bu_code", "cut_number")
         .agg(
             F.sum("_rows").alias("adjustment_count"),
-            F.sum("_sum").cast("double").alias("total_usd_adjustments"),
+            amount_of(F.sum("_sum")).alias("total_usd_adjustments"),
             F.count("adjustment_type").alias("adjustment_types"),
         )
         .orderBy("bu_code", "cut_number")
@@ -281,7 +279,7 @@ def segments_by_type(segments: DataFrame, period: str | None = None) -> DataFram
         .agg(
             F.count("*").alias("_rows"),
             F.count("usd_amount").alias("_amounts"),
-            _sum_exact("usd_amount").alias("_sum"),
+            unit_sum("usd_amount").alias("_sum"),
         )
     )
     return (
@@ -289,8 +287,8 @@ def segments_by_type(segments: DataFrame, period: str | None = None) -> DataFram
         .agg(
             F.sum("_rows").alias("record_count"),
             F.count("segment_value").alias("unique_values"),
-            F.sum("_sum").cast("double").alias("total_usd"),
-            F.try_divide(F.sum("_sum").cast("double"), F.sum("_amounts")).alias("avg_usd"),
+            amount_of(F.sum("_sum")).alias("total_usd"),
+            F.try_divide(amount_of(F.sum("_sum")), F.sum("_amounts")).alias("avg_usd"),
         )
         .orderBy("segment_type")
     )
@@ -300,7 +298,7 @@ def segments_by_bu(segments: DataFrame, period: str | None = None) -> DataFrame:
     combos = (
         valid_rows(segments, period)
         .groupBy("bu_code", "segment_type", "account_code")
-        .agg(F.count("*").alias("_rows"), _sum_exact("usd_amount").alias("_sum"))
+        .agg(F.count("*").alias("_rows"), unit_sum("usd_amount").alias("_sum"))
     )
     return (
         combos.groupBy("bu_code")
@@ -308,7 +306,7 @@ def segments_by_bu(segments: DataFrame, period: str | None = None) -> DataFrame:
             F.sum("_rows").alias("record_count"),
             F.countDistinct("segment_type").alias("segment_types"),
             F.countDistinct("account_code").alias("accounts"),
-            F.sum("_sum").cast("double").alias("total_usd"),
+            amount_of(F.sum("_sum")).alias("total_usd"),
         )
         .orderBy("bu_code")
     )
@@ -316,7 +314,7 @@ def segments_by_bu(segments: DataFrame, period: str | None = None) -> DataFrame:
 
 def _forecast_by_bu(forecasts: DataFrame, amount: str, alias: str) -> DataFrame:
     combos = forecasts.groupBy("bu_code", "currency", "forecast_period", "account_code").agg(
-        F.count("*").alias("_rows"), _sum_exact(amount).alias("_sum")
+        F.count("*").alias("_rows"), unit_sum(amount).alias("_sum")
     )
     return (
         combos.groupBy("bu_code", "currency")
@@ -324,7 +322,7 @@ def _forecast_by_bu(forecasts: DataFrame, amount: str, alias: str) -> DataFrame:
             F.sum("_rows").alias("forecast_count"),
             F.countDistinct("forecast_period").alias("periods"),
             F.countDistinct("account_code").alias("accounts"),
-            F.sum("_sum").cast("double").alias(alias),
+            amount_of(F.sum("_sum")).alias(alias),
         )
         .orderBy("bu_code", "currency")
     )
@@ -374,15 +372,15 @@ def raw_ledger_by_bu(raw: DataFrame, bu_codes: list[str]) -> DataFrame:
         .agg(
             F.count("*").alias("_rows"),
             F.count("local_amount").alias("_amounts"),
-            _sum_exact("local_amount").alias("_sum"),
+            unit_sum("local_amount").alias("_sum"),
         )
     )
     return (
         combos.groupBy("bu_code", "local_currency")
         .agg(
             F.sum("_rows").alias("record_count"),
-            F.sum("_sum").cast("double").alias("total_amount"),
-            F.try_divide(F.sum("_sum").cast("double"), F.sum("_amounts")).alias("avg_amount"),
+            amount_of(F.sum("_sum")).alias("total_amount"),
+            F.try_divide(amount_of(F.sum("_sum")), F.sum("_amounts")).alias("avg_amount"),
             F.countDistinct("account_code").alias("unique_accounts"),
             F.countDistinct("cost_center").alias("unique_cost_centers"),
         )
@@ -404,14 +402,14 @@ def raw_cuts_by_cut(raw: DataFrame) -> DataFrame:
     combos = raw.groupBy("cut_number", "bu_code", "adjustment_type").agg(
         F.count("*").alias("_rows"),
         F.count("adjustment_amount").alias("_amounts"),
-        _sum_exact("adjustment_amount").alias("_sum"),
+        unit_sum("adjustment_amount").alias("_sum"),
     )
     return (
         combos.groupBy("cut_number")
         .agg(
             F.sum("_rows").alias("adjustment_count"),
-            F.sum("_sum").cast("double").alias("total_adjustments"),
-            F.try_divide(F.sum("_sum").cast("double"), F.sum("_amounts")).alias("avg_adjustment"),
+            amount_of(F.sum("_sum")).alias("total_adjustments"),
+            F.try_divide(amount_of(F.sum("_sum")), F.sum("_amounts")).alias("avg_adjustment"),
             F.countDistinct("bu_code").alias("bu_count"),
             F.countDistinct("adjustment_type").alias("adjustment_types"),
         )
@@ -441,14 +439,14 @@ def raw_cuts_by_type(raw: DataFrame) -> DataFrame:
 
 def raw_segments_by_type(raw: DataFrame) -> DataFrame:
     combos = raw.groupBy("segment_type", "segment_value", "bu_code").agg(
-        F.count("*").alias("_rows"), _sum_exact("amount").alias("_sum")
+        F.count("*").alias("_rows"), unit_sum("amount").alias("_sum")
     )
     return (
         combos.groupBy("segment_type")
         .agg(
             F.sum("_rows").alias("record_count"),
             F.countDistinct("segment_value").alias("unique_values"),
-            F.sum("_sum").cast("double").alias("total_amount"),
+            amount_of(F.sum("_sum")).alias("total_amount"),
             F.countDistinct("bu_code").alias("bu_count"),
         )
         .orderBy("segment_type")
@@ -457,14 +455,14 @@ def raw_segments_by_type(raw: DataFrame) -> DataFrame:
 
 def raw_segments_by_bu(raw: DataFrame) -> DataFrame:
     by_type = raw.groupBy("bu_code", "currency", "segment_type").agg(
-        F.count("*").alias("_rows"), _sum_exact("amount").alias("_sum")
+        F.count("*").alias("_rows"), unit_sum("amount").alias("_sum")
     )
     return (
         by_type.groupBy("bu_code", "currency")
         .agg(
             F.sum("_rows").alias("record_count"),
             F.count("segment_type").alias("segment_types"),
-            F.sum("_sum").cast("double").alias("total_amount"),
+            amount_of(F.sum("_sum")).alias("total_amount"),
         )
         .orderBy("bu_code", "currency")
     )
@@ -508,7 +506,7 @@ def raw_forecast_fx_summary(raw: DataFrame) -> DataFrame:
         F.count("forecast_rate").alias("_rates"),
         F.min("forecast_rate").alias("_min"),
         F.max("forecast_rate").alias("_max"),
-        F.sum(F.col("forecast_rate").cast(RATE)).alias("_sum"),
+        unit_sum("forecast_rate", RATE).alias("_sum"),
     )
     return (
         by_date.groupBy("currency")
@@ -516,7 +514,7 @@ def raw_forecast_fx_summary(raw: DataFrame) -> DataFrame:
             F.sum("_rows").alias("forecast_count"),
             F.min("_min").alias("min_rate"),
             F.max("_max").alias("max_rate"),
-            F.try_divide(F.sum("_sum").cast("double"), F.sum("_rates")).alias("avg_rate"),
+            F.try_divide(amount_of(F.sum("_sum"), RATE), F.sum("_rates")).alias("avg_rate"),
             F.min(date).alias("first_date"),
             F.max(date).alias("last_date"),
         )

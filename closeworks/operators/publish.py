@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig, bu_dim
 from closeworks.functions.exprs import (
-    MONEY,
     account_category,
+    amount_of,
     in_period,
     margin_percent,
     mean,
@@ -22,6 +22,7 @@ from closeworks.functions.exprs import (
     period_shift,
     period_start,
     total,
+    unit_sum,
 )
 from closeworks.operators.controls import valid_rows
 from closeworks.operators.ledger import segment_pivot
@@ -114,10 +115,10 @@ def preliminary_results(
     by_currency = (
         _keyed(valid_rows(ledger, period))
         .groupBy(*KEY, "bu_name", "account_description", "local_currency")
-        .agg(F.sum(F.col("usd_amount").cast(MONEY)).alias("_amount"))
+        .agg(unit_sum("usd_amount").alias("_amount"))
     )
     current = by_currency.groupBy(*KEY, "bu_name", "account_description").agg(
-        F.sum("_amount").cast("double").alias("preliminary_amount"), F.min("local_currency").alias("currency")
+        amount_of(F.sum("_amount")).alias("preliminary_amount"), F.min("local_currency").alias("currency")
     )
     if published is None:
         prior = prior_amounts(current, "preliminary_amount", months_back)
@@ -227,10 +228,10 @@ def final_results(
     by_description = (
         valid_rows(ledger, period)
         .groupBy(*KEY, "bu_name", "account_description")
-        .agg(F.sum(F.col("usd_amount").cast(MONEY)).alias("_amount"))
+        .agg(unit_sum("usd_amount").alias("_amount"))
     )
     accounts = by_description.groupBy(*KEY, "bu_name").agg(
-        F.sum("_amount").cast("double").alias("preliminary_amount"),
+        amount_of(F.sum("_amount")).alias("preliminary_amount"),
         F.min("account_description").alias("account_description"),
     )
     # One description per account and period, whichever unit it comes from.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig
-from closeworks.functions.exprs import in_period, percent_text
+from closeworks.functions.exprs import in_period, percent_text, total, unit_sum
 
 # --- profiles ---------------------------------------------------------------
 
@@ -109,7 +109,7 @@ def dq_rules_fx(rates: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> DataFram
 
 def balance_check(ledger: DataFrame) -> DataFrame:
     """A book (period, bu) is out of balance when its debits and credits differ."""
-    books = ledger.groupBy("period", "bu_code").agg(F.sum(F.col("local_amount").cast("decimal(18,4)")).alias("_net"))
+    books = ledger.groupBy("period", "bu_code").agg(unit_sum("local_amount").alias("_net"))
     return _group_rule(books, "balance_check", "local_amount", F.col("_net") != 0)
 
 
@@ -126,17 +126,11 @@ def dq_rules_ledger(ledger: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> Dat
 
 def reconciliation(cuts: DataFrame, ledger: DataFrame, tolerance: float) -> DataFrame:
     """A book (period, bu) fails when its adjustments exceed ``tolerance`` of its ledger total."""
-    money = "decimal(18,4)"
+    key = ["closure_period", "bu_code"]
     amounts = (
-        cuts.groupBy("closure_period", "bu_code")
-        .agg(F.sum(F.col("usd_amount").cast(money)).cast("double").alias("_adjusted"))
-        .join(
-            ledger.groupBy("closure_period", "bu_code").agg(
-                F.sum(F.col("usd_amount").cast(money)).cast("double").alias("_booked")
-            ),
-            ["closure_period", "bu_code"],
-            "left",
-        )
+        cuts.groupBy(*key)
+        .agg(total("usd_amount").alias("_adjusted"))
+        .join(ledger.groupBy(*key).agg(total("usd_amount").alias("_booked")), key, "left")
     )
     over = F.abs("_adjusted") > F.abs(F.coalesce("_booked", F.lit(0.0))) * F.lit(tolerance)
     return _group_rule(amounts, "reconciliation", "usd_amount", over)

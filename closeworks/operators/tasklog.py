@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig
-from closeworks.functions.exprs import decode, in_period, mean, phase_name
+from closeworks.functions.exprs import amount_of, decode, in_period, mean, phase_name, unit_sum
 
 
 def _with_status(status: str) -> Column:
@@ -140,7 +140,7 @@ def overall_stats(log: DataFrame, period: str | None = None) -> DataFrame:
             F.count("*").alias("_tasks"),
             _with_status("COMPLETED").alias("_done"),
             _with_status("FAILED").alias("_failed"),
-            F.sum(F.col("duration_seconds").cast("decimal(18,4)")).alias("_seconds"),
+            unit_sum("duration_seconds").alias("_seconds"),
             F.sum("records_processed").alias("_records"),
         )
     )
@@ -151,7 +151,7 @@ def overall_stats(log: DataFrame, period: str | None = None) -> DataFrame:
             F.coalesce(F.sum("_tasks"), F.lit(0)).alias("total_tasks"),
             F.sum("_done").alias("completed_tasks"),
             F.sum("_failed").alias("failed_tasks"),
-            F.round(F.sum("_seconds").cast("double") / 3600, 2).alias("total_hours"),
+            F.round(amount_of(F.sum("_seconds")) / 3600, 2).alias("total_hours"),
             F.sum("_records").alias("total_records"),
         )
         .withColumn("success_rate", F.round(F.try_divide(done * 100, tasks), 2))

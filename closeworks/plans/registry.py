@@ -6,6 +6,7 @@ defined for one period or for the newest period keep that definition.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -499,8 +500,14 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+@functools.lru_cache(maxsize=4)
+def tables_of(spark: SparkSession, sf_dir: str) -> Tables:
+    """One close per session and directory. It holds plans only, no data, so queries share their building."""
+    return Tables(spark, sf_dir)
+
+
 def _query(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Tables(spark, sf_dir))
+    return lambda spark, sf_dir: build(tables_of(spark, sf_dir))
 
 
 def all_queries() -> dict[str, Query]:

@@ -71,7 +71,7 @@ CASE WHEN l_orderkey % 997 = 0 THEN NULL ELSE CASE l_linenumber WHEN 1 THEN '400
 concat('line ', cast(l_linenumber AS string)) AS account_description
 CASE WHEN n_nationkey = 23 THEN 'ZZZ' ELSE CASE r_name WHEN 'AMERICA' THEN 'USD' WHEN 'EUROPE' THEN 'EUR' WHEN 'ASIA' THEN 'SGD' WHEN 'AFRICA' THEN 'BRL' ELSE 'GBP' END END AS local_currency
 cast(CASE WHEN l_linenumber IN (1, 2, 6) THEN l_extendedprice ELSE -l_extendedprice END AS double) AS local_amount
-date_format(o_orderdate, 'yyyy-MM') AS period
+period
 concat('CC00', cast(l_suppkey % 5 + 1 AS string)) AS cost_center
 n_name
 c_mktsegment
@@ -206,7 +206,10 @@ class DriverViews:
         """
         places = self.table("nation").join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
         customers = self.table("customer").join(places, F.expr("c_nationkey = n_nationkey"))
-        orders = self.table("orders").join(customers, F.expr("o_custkey = c_custkey"))
+        dated = self.table("orders").selectExpr(
+            "o_orderkey", "o_custkey", "o_orderpriority", "date_format(o_orderdate, 'yyyy-MM') AS period"
+        )
+        orders = dated.join(customers, F.expr("o_custkey = c_custkey"))
         lines = self.table("lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
         return lines.selectExpr(*_columns(LEDGER_RAW))
 
