@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # About 100 bytes a row, so the broadcast stays around 20 MB.
 MAX_BROADCAST_ROWS = 200_000
 
+# Beyond it, each key of the large side is spread over this many tasks.
+SALTS = 16
+
 
 def join_dimension(df: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
     """Left join to a frame built from the configuration (one row per configured entry)."""
@@ -17,10 +20,14 @@ def join_dimension(df: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFr
 def join_measured(df: DataFrame, side: DataFrame, on: list[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left join to a frame whose size depends on data.
 
-    The side is counted up to ``max_rows`` first. Within the limit it is
-    broadcast, so ``df`` is not shuffled; beyond it the join shuffles both sides
-    on the key and adaptive execution splits hot keys.
+    The side is counted, up to ``max_rows``. Within the limit it is broadcast, so
+    ``df`` is not shuffled. Beyond it both sides are shuffled, on the key and a salt:
+    the rows of a hot key go to ``SALTS`` tasks, each of which holds a copy of the
+    side's row. The salt is a hash of the row, so a repeated task places rows alike.
     """
     if side.select(*on).limit(max_rows + 1).count() <= max_rows:
-        side = F.broadcast(side)
-    return df.join(side, on, "left")
+        return df.join(F.broadcast(side), on, "left")
+    salts = F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    copies = side.withColumn("_salt", F.explode(salts))
+    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")

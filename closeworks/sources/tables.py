@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +44,13 @@ def ensure_tables(spark: SparkSession, root: str, names: list[str] | None = None
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop_path)
+    try:
+        spark.read.schema("closure_period string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def table_summary(spark: SparkSession, root: str) -> DataFrame:
@@ -77,8 +83,9 @@ def ingest_csv(
 ) -> DataFrame:
     """CSV files with a header to the raw layout, with lineage columns.
 
-    Columns are matched by name and cast on read; a field that cannot be read as
-    its type becomes NULL and is then caught by validation. Missing columns are NULL.
+    The header must name the columns of the layout, without the lineage ones, in their
+    order; a file with another header is an error. A field that cannot be read as its
+    type becomes NULL and is then caught by validation.
     """
     layout = schemas.schema(name)
     lineage = {"load_id", "loaded_at", "file_name"}

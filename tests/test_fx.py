@@ -171,6 +171,31 @@ def test_monthly_rates_join_within_and_beyond_the_broadcast_limit(frame, monkeyp
     assert rows(large, *columns) == expected and not hinted(large)
 
 
+def test_a_hot_key_beyond_the_limit_is_spread_and_keeps_every_row(spark):
+    lines = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'EUR' WHEN id % 3 = 1 THEN NULL ELSE concat('C', id) END AS currency",
+        "'2024-02' AS forecast_period",
+        "cast(id AS double) AS amount",
+    )
+    side = spark.range(3000).selectExpr(
+        "CASE WHEN id = 0 THEN 'EUR' ELSE concat('C', id) END AS currency",
+        "'2024-02' AS forecast_period",
+        "2e0 AS exchange_rate",
+    )
+    got = fx.join_measured(lines, side, ["currency", "forecast_period"], max_rows=10)
+    assert got.columns == ["currency", "forecast_period", "amount", "exchange_rate"]
+    assert got.count() == 3000 and got.filter("exchange_rate = 2").count() == 2000
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = fx.join_measured(lines, side, ["currency", "forecast_period"], max_rows=10)
+        text = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [x for x in text.splitlines() if "Exchange hash" in x]
+    assert len(exchanges) == 2 and all("_salt" in x for x in exchanges)
+
+
 def test_recent_rates(frame):
     df = frame(
         "currency string, rate_date date, rate double, variance_from_prior double, is_validated boolean, validation_notes string",

@@ -133,6 +133,12 @@ def test_csv_landing(spark, root, tmp_path):
     assert sorted({r.file_name.rsplit("/", 1)[1] for r in got.collect()}) == ["a.csv", "b.csv"]
 
 
+def test_csv_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("currency,rate_date,rate,source\nEUR,2024-01-02,0.92,ECB\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.ingest_csv(spark, str(tmp_path / "a.csv"), "exchange_rates_raw").collect()
+
+
 def test_row_ids(frame):
     df = frame("a string, b int", ("x", 1), ("x", None), (None, 1))
     by_key = df.select(tables.row_id(["a", "b"]).alias("id"))
