@@ -84,7 +84,8 @@ def session(cores: str = "8") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("closeworks")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
