@@ -230,25 +230,26 @@ def final_results(
         .groupBy(*KEY, "bu_name", "account_description")
         .agg(unit_sum("usd_amount").alias("_amount"))
     )
-    accounts = by_description.groupBy(*KEY, "bu_name").agg(
+    accounts = by_description.groupBy(*KEY).agg(
         amount_of(F.sum("_amount")).alias("preliminary_amount"),
-        F.min("account_description").alias("account_description"),
+        F.min("bu_name").alias("bu_name"),
+        F.min("account_description").alias("_description"),
     )
-    # One description per account and period, whichever unit it comes from.
-    one_account = Window.partitionBy("closure_period", "account_code")
-    amounts = (
-        accounts.withColumn("account_description", F.min("account_description").over(one_account))
-        .join(adjustments_by_account(cuts, period), KEY, "left")
+    combined = (
+        accounts.join(adjustments_by_account(cuts, period), KEY, "left")
+        .join(segment_pivot(in_period(segments, period), cfg), KEY, "left")
+        .join(forecast_by_account(forecasts, period), KEY, "left")
         .withColumn("final_amount", _zero("preliminary_amount") + _zero("adjustments_amount"))
     )
     if published is None:
-        amounts = with_prior_in_place(amounts, "final_amount", months_back)
+        combined = with_prior_in_place(combined, "final_amount", months_back)
     else:
         prior = prior_amounts(published.filter(F.col("is_final")), "final_amount", months_back)
-        amounts = amounts.join(prior, KEY, "left")
-    combined = amounts.join(segment_pivot(in_period(segments, period), cfg), KEY, "left").join(
-        forecast_by_account(forecasts, period), KEY, "left"
-    )
+        combined = combined.join(prior, KEY, "left")
+    # One description per account and period, whichever unit it comes from. A window of one
+    # account and period holds one row per unit.
+    one_account = Window.partitionBy("closure_period", "account_code")
+    combined = combined.withColumn("account_description", F.min("_description").over(one_account))
     regions = bu_dim(ledger.sparkSession, cfg).select("bu_code", "region")
     yoy = _difference("final_amount", "prior_period_amount")
     segment_columns = [f"segment_{t.lower()}" for t in cfg.segment_types]
