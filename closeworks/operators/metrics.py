@@ -522,6 +522,21 @@ def raw_forecast_fx_summary(raw: DataFrame) -> DataFrame:
     )
 
 
+def raw_preview(
+    raw: DataFrame, columns: list[str], n: int = 50, newest: str | None = None, first: list[str] | None = None
+) -> DataFrame:
+    """Some landed rows: newest by a date, or in the order of ``first``; ties follow the other columns."""
+    lead = [F.desc(newest)] if newest else []
+    rest = [c for c in dict.fromkeys([*(first or []), *columns]) if c != newest]
+    return raw.select(*columns).orderBy(*lead, *[F.asc_nulls_first(c) for c in rest]).limit(n)
+
+
+def raw_recent_rates(raw: DataFrame, as_of: str, days: int = 7, n: int = 50) -> DataFrame:
+    recent = raw.filter(F.col("rate_date") >= F.date_sub(F.lit(as_of).cast("date"), days))
+    columns = ["currency", "rate_date", "rate", "source", "loaded_at"]
+    return raw_preview(recent, columns, n, newest="rate_date", first=["currency"])
+
+
 # --- cycle status -----------------------------------------------------------
 
 

@@ -482,6 +482,32 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "raw_forecast_by_bu": lambda t: metrics.raw_forecast_by_bu(t.raw.forecasts),
     "raw_forecast_trend": lambda t: metrics.raw_forecast_trend(t.raw.forecasts),
     "raw_forecast_fx_summary": lambda t: metrics.raw_forecast_fx_summary(t.raw.forecast_fx),
+    "preview_raw_rates": lambda t: metrics.raw_recent_rates(t.raw.exchange_rates, FX_AS_OF),
+    "preview_raw_ledger": lambda t: metrics.raw_preview(
+        t.raw.ledger,
+        ["bu_code", "account_code", "account_description", "local_currency", "local_amount", "period", "cost_center"],
+    ),
+    "preview_raw_cuts": lambda t: metrics.raw_preview(
+        t.raw.cuts,
+        [
+            "cut_number", "bu_code", "account_code", "adjustment_type", "adjustment_amount", "currency",
+            "description", "period",
+        ],
+    ),
+    "preview_raw_segments": lambda t: metrics.raw_preview(
+        t.raw.segments,
+        ["bu_code", "account_code", "segment_type", "segment_value", "amount", "currency", "period"],
+        n=100,
+    ),
+    "preview_raw_forecasts": lambda t: metrics.raw_preview(
+        t.raw.forecasts,
+        [
+            "bu_code", "account_code", "forecast_period", "forecast_amount", "currency", "forecast_type", "version",
+        ],
+    ),
+    "preview_raw_forecast_fx": lambda t: metrics.raw_preview(
+        t.raw.forecast_fx, ["currency", "forecast_month", "forecast_rate", "source"], first=["forecast_month"]
+    ),
     # dashboard views
     "v_closure_status": lambda t: views.v_closure_status({"closure_status": t.source.closure_status()}, STATUS_AS_OF),
     "v_fx_monitor": q_fx_monitor,

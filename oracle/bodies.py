@@ -109,6 +109,12 @@ SELECT forecast_period, {money(f'CASE WHEN {amount} > 0 THEN {amount} ELSE 0e0 E
 FROM {table} {where} GROUP BY forecast_period"""
 
 
+def _preview(table: str, columns: str, n: int = 50) -> str:
+    names = columns.split()
+    order = ", ".join(f"{c} NULLS FIRST" for c in names)
+    return f"SELECT {', '.join(names)} FROM {table} ORDER BY {order} LIMIT {n}"
+
+
 MISSING_LEDGER = """
 SELECT p.closure_period, b.bu_code, b.bu_name, b.region, b.contact
 FROM (SELECT DISTINCT closure_period FROM ledger WHERE closure_period IS NOT NULL) p CROSS JOIN bus b
@@ -669,6 +675,26 @@ SELECT currency, COUNT(*) AS forecast_count, MIN(forecast_rate) AS min_rate, MAX
   {mean('forecast_rate', 'DECIMAL(18,10)')} AS avg_rate, MIN(forecast_month) AS first_date,
   MAX(forecast_month) AS last_date
 FROM forecast_fx_raw GROUP BY currency""",
+    "preview_raw_rates": f"""
+SELECT currency, rate_date, rate, source, loaded_at FROM fx_raw WHERE rate_date >= DATE '{AS_OF_FX}' - 7
+ORDER BY rate_date DESC, currency NULLS FIRST, rate NULLS FIRST, source NULLS FIRST, loaded_at NULLS FIRST LIMIT 50""",
+    "preview_raw_ledger": _preview(
+        "ledger_raw",
+        "bu_code account_code account_description local_currency local_amount period cost_center",
+    ),
+    "preview_raw_cuts": _preview(
+        "cuts_raw",
+        "cut_number bu_code account_code adjustment_type adjustment_amount currency description period",
+    ),
+    "preview_raw_segments": _preview(
+        "segments_raw", "bu_code account_code segment_type segment_value amount currency period", 100
+    ),
+    "preview_raw_forecasts": _preview(
+        "forecast_raw", "bu_code account_code forecast_period forecast_amount currency forecast_type version"
+    ),
+    "preview_raw_forecast_fx": """
+SELECT currency, forecast_month, forecast_rate, source FROM forecast_fx_raw
+ORDER BY forecast_month NULLS FIRST, currency NULLS FIRST, forecast_rate NULLS FIRST, source NULLS FIRST LIMIT 50""",
     # --- dashboard views -----------------------------------------------------------------
     "v_closure_status": f"""
 SELECT closure_period, current_phase, {phase_name('current_phase', "'Unknown'")} AS phase_name, phase_status,

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG
-from closeworks.operators import fx
+from closeworks.operators import fx, lookup
 
 RAW = "load_id string, currency string, rate double, rate_date date, source string, loaded_at timestamp"
 D = dt.date
@@ -171,6 +171,14 @@ def test_monthly_rates_join_within_and_beyond_the_broadcast_limit(frame, monkeyp
     assert rows(large, *columns) == expected and not hinted(large)
 
 
+def test_long_keys_are_not_broadcast(frame, monkeypatch):
+    side = frame("k string, v int", ("x" * 100, 1), (None, 2))
+    assert lookup._fits(side, ["k"], 2) and not lookup._fits(side, ["k"], 1)
+    monkeypatch.setattr(lookup, "MAX_KEY_BYTES", 50)
+    assert not lookup._fits(side, ["k"], 2)
+    assert lookup._fits(side.filter("v > 5"), ["k"], 2)
+
+
 def test_a_hot_key_beyond_the_limit_is_spread_and_keeps_every_row(spark):
     lines = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'EUR' WHEN id % 3 = 1 THEN NULL ELSE concat('C', id) END AS currency",

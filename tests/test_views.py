@@ -162,6 +162,16 @@ def test_rate_levels(frame):
     )
 
 
+def test_all_views_can_be_registered(spark):
+    from closeworks import schemas
+
+    empty = {name: spark.createDataFrame([], schemas.schema(name)) for name in schemas.LAYER}
+    views.register_all(empty, "2024-01-31")
+    for name in views.ALL_VIEWS:
+        expected = 4 if name == "v_bu_submission" else 0
+        assert spark.table(name).count() == expected
+
+
 # --- task log -------------------------------------------------------------------
 
 LOG = (
