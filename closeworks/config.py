@@ -124,11 +124,11 @@ def bu_dim(spark: SparkSession, cfg: CloseConfig = DEFAULT_CONFIG) -> DataFrame:
 
 def segment_dim(spark: SparkSession) -> DataFrame:
     """The configured (segment_type, segment_value) pairs."""
-    schema = T.StructType([T.StructField("segment_type", T.StringType()), T.StructField("segment_value", T.StringType())])
+    schema = T.StructType().add("segment_type", "string").add("segment_value", "string")
     return local_frame(spark, [(t, v) for t, values in SEGMENT_VALUES.items() for v in values], schema)
 
 
 def account_dim(spark: SparkSession) -> DataFrame:
     """The configured (account_group, account_code) pairs."""
-    schema = T.StructType([T.StructField("account_group", T.StringType()), T.StructField("account_code", T.StringType())])
+    schema = T.StructType().add("account_group", "string").add("account_code", "string")
     return local_frame(spark, [(g, a) for g, codes in ACCOUNT_GROUPS.items() for a in codes], schema)

@@ -71,10 +71,6 @@ def margin_percent(profit: Column, revenue: Column) -> Column:
     return F.try_divide(profit, revenue) * F.lit(100.0)
 
 
-def count_when(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def percent_text(failed: Column, checked: Column) -> Column:
     """``failed / checked`` as text with two decimals, e.g. ``12.50``.
 

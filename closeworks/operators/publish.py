@@ -33,14 +33,19 @@ KEY = ["closure_period", "bu_code", "account_code"]
 # --- versions ---------------------------------------------------------------
 
 
+def _highest_versions(published: DataFrame) -> DataFrame:
+    return published.groupBy("closure_period").agg(F.max("version").alias("_highest"))
+
+
+def _next_version() -> Column:
+    return (F.coalesce("_highest", F.lit(0)) + 1).cast("int").alias("version")
+
+
 def next_version(periods: DataFrame, published: DataFrame) -> DataFrame:
     """Version a new publication of each period gets: one above the highest published, else 1."""
-    highest = published.groupBy("closure_period").agg(F.max("version").alias("_highest"))
-    return (
-        periods.select("closure_period")
-        .distinct()
-        .join(highest, "closure_period", "left")
-        .select("closure_period", (F.coalesce("_highest", F.lit(0)) + 1).cast("int").alias("version"))
+    wanted = periods.select("closure_period").distinct()
+    return wanted.join(_highest_versions(published), "closure_period", "left").select(
+        "closure_period", _next_version()
     )
 
 
@@ -107,8 +112,9 @@ def preliminary_results(
     """Account balances of the valid ledger with the change against the prior period.
 
     ``published`` is the table of earlier results: it supplies prior amounts (latest
-    version of each period) and the next version number. Without it both come from
-    the ledger's own earlier periods, and the version is 1.
+    version of each period) and the next version number. Without it prior amounts come
+    from the earlier periods of this plan (none, if it is about one period), and the
+    version is 1.
     """
     # The currency is a grouping key at first and a minimum only over the few groups left: a
     # minimum of text on the lines themselves would make Spark sort them.
@@ -125,7 +131,11 @@ def preliminary_results(
         joined = current.join(prior, KEY, "left").withColumn("version", F.lit(1))
     else:
         prior = prior_amounts(latest_version(published), "preliminary_amount", months_back)
-        joined = current.join(prior, KEY, "left").join(next_version(current, published), "closure_period", "left")
+        joined = (
+            current.join(prior, KEY, "left")
+            .join(_highest_versions(published), "closure_period", "left")
+            .withColumn("version", _next_version())
+        )
     variance = _difference("preliminary_amount", "prior_period_amount")
     return joined.select(
         "closure_period",

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from closeworks.config import bu_dim
 from closeworks.functions.exprs import account_category, prior_period
 from closeworks.operators import controls, fx, ledger, metrics, publish, quality, tasklog
-from closeworks.operators.lookup import join_dimension
 from closeworks.plans import views
 from closeworks.plans.close import Close, RawTables
 from closeworks.sources.driver_views import CONFIG, FX_AS_OF, FX_ORDER, PERIOD, STATUS_AS_OF, DriverViews
@@ -405,6 +404,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_issues": _of_dq(quality.dq_issues),
     "audit_quality": _of_dq(quality.audit_quality),
     # controls
+    "bu_submitted": _of_ledger(controls.bu_submitted),
     "bu_missing": _of_ledger(controls.bu_missing, cfg=CONFIG),
     "forecast_coverage": lambda t: controls.forecast_coverage(t.forecasts_of_period),
     "large_adjustments": _of_cuts(controls.large_adjustments, cfg=CONFIG),

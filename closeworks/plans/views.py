@@ -24,7 +24,6 @@ from closeworks.functions.exprs import (
     margin_percent,
 )
 from closeworks.operators import metrics, publish
-from closeworks.operators.lookup import join_dimension
 
 Tables = dict[str, DataFrame]
 

@@ -345,6 +345,7 @@ SELECT closure_period, phase, table_name, check_name, check_result, records_fail
 SELECT closure_period, phase, table_name, check_result, records_checked, records_failed,
   {FAILURE} AS failure_rate_pct FROM dq""",
     # --- controls ------------------------------------------------------------------
+    "bu_submitted": "SELECT DISTINCT closure_period, bu_code FROM ledger WHERE is_validated",
     "bu_missing": MISSING_LEDGER,
     "forecast_coverage": """
 SELECT closure_period, bu_code, COUNT(DISTINCT forecast_period) AS periods_forecasted, COUNT(*) AS forecast_records
