@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.llm.common import table
+from closeworks.llm.packing import pack_documents
+from closeworks.llm.quality_rules import apply_rules
 from closeworks.llm.secret_scans import scan_secrets
 from closeworks.llm.url_filters import Rule, judge_urls
 
@@ -27,7 +30,17 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_url_filters": op3_url_filters,
+    "op6_packing": op6_packing,
+    "op9_quality_rules": op9_quality_rules,
 }

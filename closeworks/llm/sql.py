@@ -22,3 +22,40 @@ fits AS (
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1
 """
+
+SQL["op9_quality_rules"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '') AS host FROM documents),
+split AS (
+  SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM docs),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n
+  FROM (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM split WHERE len(w) >= 3))),
+repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE n >= 2) GROUP BY doc_id),
+base AS (
+  SELECT s.doc_id, s.host, s.t, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n_repeat_words, 0) AS n_repeat_words
+  FROM split s LEFT JOIN repeats r ON r.doc_id = s.doc_id),
+lines AS (
+  SELECT DISTINCT host, t, i, lower(array_to_string(lw, ' ')) AS line, len(lw) AS words
+  FROM (SELECT host, t, i, list_filter(string_split_regex(l[i], '[\x20\x09-\x0D]+'), lambda x: x <> '') AS lw
+        FROM (SELECT host, t, l, unnest(generate_series(1, len(l))) AS i FROM split))),
+hosts AS (SELECT host, count(DISTINCT t) AS texts FROM docs GROUP BY host),
+above AS (
+  SELECT f.host, f.line FROM (SELECT host, line, count(DISTINCT t) AS n FROM lines GROUP BY host, line) f
+  JOIN hosts h ON h.host = f.host WHERE f.n >= 10 AND f.n >= h.texts * 0.02),
+lost AS (
+  SELECT l.host, l.t, sum(l.words) AS n FROM lines l JOIN above a ON a.host = l.host AND a.line = l.line GROUP BY l.host, l.t)
+SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - coalesce(x.n, 0) >= n_words * 0.5 AS kept,
+       CAST(coalesce(x.n, 0) AS BIGINT) AS n_removed_words
+FROM base b LEFT JOIN lost x ON x.host = b.host AND x.t = b.t
+"""
