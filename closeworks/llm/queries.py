@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.llm.common import table
+from closeworks.llm.decontamination import find_leaks
 from closeworks.llm.packing import pack_documents
 from closeworks.llm.quality_rules import apply_rules
 from closeworks.llm.secret_scans import scan_secrets
@@ -30,6 +31,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,6 +46,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_url_filters": op3_url_filters,
+    "op4_decontamination": op4_decontamination,
     "op6_packing": op6_packing,
     "op9_quality_rules": op9_quality_rules,
 }
