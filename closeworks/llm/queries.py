@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.llm.common import table
 from closeworks.llm.decontamination import find_leaks
+from closeworks.llm.language_id import identify_languages
 from closeworks.llm.packing import pack_documents
+from closeworks.llm.quality_classifier import score_quality
 from closeworks.llm.quality_rules import apply_rules
 from closeworks.llm.secret_scans import scan_secrets
 from closeworks.llm.url_filters import Rule, judge_urls
@@ -35,10 +37,18 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
 
@@ -47,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_url_filters": op3_url_filters,
     "op4_decontamination": op4_decontamination,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
