@@ -14,6 +14,8 @@ from closeworks.llm.packing import pack_documents
 from closeworks.llm.quality_classifier import score_quality
 from closeworks.llm.quality_rules import apply_rules
 from closeworks.llm.secret_scans import scan_secrets
+from closeworks.llm.substring_dedup import dedup_words
+from closeworks.llm.suffix_dedup import dedup_bytes
 from closeworks.llm.url_filters import Rule, judge_urls
 
 URL_RULES = (
@@ -25,6 +27,10 @@ URL_RULES = (
 )
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -49,16 +55,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_words(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scans": op2_secret_scans,
     "op3_url_filters": op3_url_filters,
     "op4_decontamination": op4_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
