@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.llm.common import table
 from closeworks.llm.decontamination import find_leaks
+from closeworks.llm.jaccard_join import near_duplicates
 from closeworks.llm.language_id import identify_languages
 from closeworks.llm.packing import pack_documents
 from closeworks.llm.quality_classifier import score_quality
@@ -63,6 +64,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scans": op2_secret_scans,
@@ -73,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_jaccard_join": op10_jaccard_join,
 }
