@@ -253,20 +253,24 @@ def find_leaks(
     return out.select(id_or_null().alias("doc_id"), id_or_null("item_id").alias("item_id"), "start", "end", "edits", "matched")
 
 
+def _leaked(index: Index):
+    """Function of a column of texts: whether an item of the block occurs."""
+
+    @F.pandas_udf("boolean")
+    def leaked(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            hit = np.zeros(len(texts), dtype=bool)
+            for row, _, _ in _texts_matches(index, texts.tolist()):
+                hit[row] = True
+            yield pd.Series(hit)
+
+    return leaked
+
+
 def drop_leaked(
     documents: DataFrame, benchmark: DataFrame, budget: Budget = Budget(), block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """The rows of ``documents`` in whose ``text`` no benchmark item occurs."""
     for block in item_blocks(benchmark, "item_id", "text", block_chars):
-        index = Index(block, budget)
-
-        @F.pandas_udf("boolean")
-        def leaked(parts: Iterator[pd.Series], index: Index = index) -> Iterator[pd.Series]:
-            for texts in parts:
-                hit = np.zeros(len(texts), dtype=bool)
-                for row, _, _ in _texts_matches(index, texts.tolist()):
-                    hit[row] = True
-                yield pd.Series(hit)
-
-        documents = documents.filter(~leaked(text_of("text")))
+        documents = documents.filter(~_leaked(Index(block, budget))(text_of("text")))
     return documents

@@ -38,64 +38,68 @@ def normal_hash(line: Column) -> Column:
     return F.xxhash64(F.lower(F.array_join(words_of(line), " ")))
 
 
+def once(frame: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns as the output of a generator of one row.
+
+    The functions over arrays below name these columns inside of lambdas. Spark may replace the name of a plain column
+    by its expression, when a filter moves down, and would then work it out again for each element.
+    """
+    return frame.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _repeat_words(frame: DataFrame) -> DataFrame:
-    """Add ``_repeats``: words in 3-word windows that the text has twice or more.
+    """Add ``n_repeat_words``: words in 3-word windows that the text has twice or more.
 
     Each window becomes one long: the upper bits of its hash, the lower bits its place, as many as the
     text needs. Sorted, equal windows are neighbours. No less than 40 bits of hash remain in texts below 16
     million words, and two windows must agree in all of them within one text to be mistaken for each other.
     """
-    frame = frame.withColumn("_mask", F.expr("shiftleft(1L, cast(ceil(log2(size(_words) + 1)) as int)) - 1"))
+    mask = F.col("_mask")
+    frame = once(frame, _mask=F.expr("shiftleft(1L, cast(ceil(log2(size(_words) + 1)) as int)) - 1"))
     packed = F.transform(
         "_words",
         lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2))
-        .bitwiseAND(F.bitwise_not(F.col("_mask")))
+        .bitwiseAND(F.bitwise_not(mask))
         .bitwiseOR(i.cast("long")),
     )
-    frame = frame.withColumn(
-        "_windows",
-        F.when(F.size("_words") >= 3, F.sort_array(F.slice(packed, F.lit(1), F.size("_words") - 2))).otherwise(
+    frame = once(
+        frame,
+        _windows=F.when(F.size("_words") >= 3, F.sort_array(F.slice(packed, F.lit(1), F.size("_words") - 2))).otherwise(
             F.array().cast("array<bigint>")
         ),
     )
-    same = lambda x, y: F.coalesce(x.bitwiseXOR(y).bitwiseAND(F.bitwise_not(F.col("_mask"))) == 0, F.lit(False))
+    same = lambda x, y: F.coalesce(x.bitwiseXOR(y).bitwiseAND(F.bitwise_not(mask)) == 0, F.lit(False))
     places = F.filter(
         "_windows", lambda x, i: same(x, F.get("_windows", i + 1)) | same(x, F.get("_windows", i - 1))
     )
-    frame = frame.withColumn("_places", F.sort_array(F.transform(places, lambda x: x.bitwiseAND(F.col("_mask")))))
     covered = F.aggregate(
-        "_places",
+        F.sort_array(F.transform(places, lambda x: x.bitwiseAND(mask))),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last")),
         lambda acc, p: F.struct(
             (acc["n"] + F.least(F.lit(3).cast("long"), p - acc["last"])).alias("n"), p.alias("last")
         ),
         lambda acc: acc["n"],
     )
-    return frame.withColumn("_repeats", covered).drop("_mask", "_windows", "_places")
+    return once(frame, n_repeat_words=covered).drop("_mask", "_windows")
 
 
 def measured(documents: DataFrame, text_col: str, host_col: str, limits: LineLimits) -> DataFrame:
     """``documents`` with the base figures and ``_host``, ``_text_hash``."""
-    frame = documents.withColumns(
-        {
-            "_text": text_of(text_col),
-            "_host": F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("")),
-        }
-    )
-    frame = frame.withColumns({"_words": words_of(F.col("_text")), "_lines": lines_of(F.col("_text"))})
+    text = text_of(text_col)
+    frame = once(documents, _words=words_of(text), _lines=lines_of(text))
     frame = _repeat_words(frame)
     return frame.withColumns(
         {
-            "_text_hash": F.xxhash64("_text"),
+            "_host": F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("")),
+            "_text_hash": F.xxhash64(text),
             "n_words": F.size("_words").cast("long"),
             "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_symbols": F.regexp_count("_text", F.lit(SYMBOLS)).cast("long"),
+            "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": F.col("_repeats"),
             "base_failed": (F.size("_words") < limits.min_words)
-            | (F.col("_repeats") * 100 > F.size("_words") * limits.max_repeat_percent),
+            | (F.col("n_repeat_words") * 100 > F.size("_words") * limits.max_repeat_percent),
         }
-    ).drop("_words", "_lines", "_repeats", "_text")
+    ).drop("_words", "_lines")
 
 
 def frequent_lines(documents: DataFrame, text_col: str, host_col: str, limits: LineLimits) -> DataFrame:
@@ -161,7 +165,10 @@ def apply_rules(
         base.join(lost, ["_host", "_text_hash"], "left")
         .withColumn("kept", ~F.col("base_failed") & (left >= F.col("n_words") * limits.kept_share))
         .withColumn("n_removed_words", removed)
-        .drop("_host", "_text_hash")
+        .select(
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+            "n_removed_words",
+        )
     )
 
 
