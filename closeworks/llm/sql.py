@@ -59,3 +59,71 @@ SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT)
        CAST(coalesce(x.n, 0) AS BIGINT) AS n_removed_words
 FROM base b LEFT JOIN lost x ON x.host = b.host AND x.t = b.t
 """
+
+SQL["op1_suffix_dedup"] = r"""
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM bytes),
+windows AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS w
+  FROM (SELECT doc_id, h, unnest(generate_series(0, n - 100)) AS i FROM sized WHERE n >= 100)),
+again AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, sum(CASE WHEN i - before <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+        FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM again))
+  GROUP BY doc_id, run),
+gaps AS (
+  SELECT r.doc_id, r.a, substr(s.h, 2 * r.z + 1, 2 * (r.a - r.z)) AS part, r.b - r.a AS gone, 1 AS one
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM runs) r JOIN sized s ON s.doc_id = r.doc_id
+  UNION ALL
+  SELECT s.doc_id, s.n, substr(s.h, 2 * coalesce(x.b, 0) + 1), 0, 0
+  FROM sized s LEFT JOIN (SELECT doc_id, max(b) AS b FROM runs GROUP BY doc_id) x ON x.doc_id = s.doc_id)
+SELECT s.doc_id, CAST(any_value(s.n) AS BIGINT) AS n_bytes, CAST(sum(gone) AS BIGINT) AS n_removed,
+       CAST(sum(one) AS BIGINT) AS n_spans, sha256(unhex(string_agg(part, '' ORDER BY a))) AS kept_sha256
+FROM sized s JOIN gaps g ON g.doc_id = s.doc_id GROUP BY s.doc_id
+"""
+
+SQL["op8_substring_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM split WHERE len(w) >= 20)),
+again AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS k FROM again),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS k FROM split),
+kept AS (
+  SELECT x.doc_id, count(*) AS n, string_agg(x.word, ' ' ORDER BY x.k) AS text
+  FROM words x LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.k = x.k WHERE g.k IS NULL GROUP BY x.doc_id)
+SELECT s.doc_id, CAST(len(s.w) AS BIGINT) AS n_words, CAST(len(s.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
+"""
+
+SQL["op10_jaccard_join"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM split WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes p ON p.doc_id = s.a JOIN sizes q ON q.doc_id = s.b
+  WHERE 100 * s.n >= 75 * (p.n + q.n - s.n)),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, CAST(least(d.doc_id, coalesce(r.b, d.doc_id)) AS BIGINT) AS component_id
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least_of r ON r.a = d.doc_id
+"""
