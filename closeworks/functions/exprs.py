@@ -12,7 +12,12 @@ from closeworks.config import CATEGORY_BY_FIRST_DIGIT, CATEGORY_RANK, PHASE_NAME
 
 # Digits after the point that sums of amounts and of rates keep.
 MONEY = 4
-RATE = 10
+RATE = 18
+
+# Amounts are summed in three parts of so many bits, the upper one open.
+PART_BITS = 21
+# Largest number of units of one amount, about 10 ** 25.
+MAX_UNITS = 2.0**83
 
 
 def _col(c: Column | str) -> Column:
@@ -27,14 +32,27 @@ def unit_sum(c: Column | str, digits: int = MONEY) -> Column:
 
     A double sum depends on the order in which tasks finish. This one does not, so a
     rerun after a lost executor publishes the same figures. Summing decimals would do
-    too, at ten times the cost per row. The units are added up as two whole numbers,
-    upper and lower bits, which leaves room for trillions of rows before either
-    overflows; an amount too large for its units is an error, not a wrong sum.
+    too, at ten times the cost per row. The units are split into three parts while they
+    are still a double, which is exact, and each part is added up as whole numbers.
+
+    NaN and infinite amounts count as missing, with ANSI mode on or off. An amount of more than
+    ``MAX_UNITS`` units is an error in both modes.
     """
-    units = F.rint(_col(c) * F.lit(10.0**digits)).cast("bigint")
-    upper = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
-    lower = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
-    return upper * F.lit(1 << 20).cast("decimal(7,0)") + lower
+    units = F.rint(_col(c).cast("double") * F.lit(10.0**digits))
+    finite = ~F.isnan(units) & (F.abs(units) != F.lit(float("inf")))
+    units = F.when(finite & (F.abs(units) > MAX_UNITS), F.raise_error(F.lit("amount out of range")).cast("double")).when(
+        finite, units
+    )
+    size = F.lit(2.0**PART_BITS)
+    middle = F.floor(units / size).cast("double")
+    upper = F.floor(middle / size).cast("double")
+    parts = (units - middle * size, middle - upper * size, upper)
+    total_units = None
+    for i, part in enumerate(parts):
+        scale = F.lit(1 << (PART_BITS * i)).cast("decimal(14,0)")
+        added = F.sum(part.cast("bigint")).cast("decimal(20,0)") * scale
+        total_units = added if total_units is None else total_units + added
+    return total_units
 
 
 def amount_of(units: Column, digits: int = MONEY) -> Column:

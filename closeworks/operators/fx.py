@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig
 from closeworks.functions.exprs import RATE, falsy_null, in_period, mean
-from closeworks.operators.lookup import join_measured
 
 # Load order of rates. The last entries only break ties inside one day.
 RATE_ORDER = ("rate_date", "loaded_at", "load_id")
 
-# Ids per slice of one day of one currency; see ``with_prior_rate``.
-IDS_PER_SLICE = 1 << 20
+# Slices that the rates of all currencies are cut into; see ``with_prior_rate``.
+SLICES = 1024
 
 
 def order_key(columns: Sequence[str]) -> Column:
@@ -24,53 +23,51 @@ def order_key(columns: Sequence[str]) -> Column:
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
-def _sub_slice(df: DataFrame, column: str, ids_per_slice: int) -> Column:
-    """A coarse value that never decreases while ``column`` increases."""
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, T.IntegralType):
-        return F.coalesce(F.floor(F.col(column) / ids_per_slice), F.lit(-1 << 62))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.coalesce(F.unix_micros(F.date_trunc("minute", F.col(column)).cast("timestamp")), F.lit(-1 << 62))
-    return F.coalesce(F.substring(F.col(column).cast("string"), 1, 2), F.lit(""))
+def _place(key: Column, cuts: Column, slices: int) -> Column:
+    """How many of the sorted ``cuts`` are not above the key: first by steps of a row of cuts, then within the row."""
+    row = max(1, math.isqrt(slices))
+    steps = F.filter(cuts, lambda _, i: i % row == 0)
+    before = F.greatest(F.size(F.filter(steps, lambda c: c <= key)) - 1, F.lit(0)) * row
+    return before + F.size(F.filter(F.slice(cuts, before + 1, F.lit(row)), lambda c: c <= key))
 
 
-def with_prior_rate(
-    raw: DataFrame, order: Sequence[str] = RATE_ORDER, ids_per_slice: int = IDS_PER_SLICE
-) -> DataFrame:
+def with_prior_rate(raw: DataFrame, order: Sequence[str] = RATE_ORDER, slices: int = SLICES) -> DataFrame:
     """Add ``prior_rate``: the rate before this one in the same currency.
 
     There are few currencies, and one may hold a third of all rows, so a window
-    per currency would put that third into one task. Instead each currency is cut
-    into slices along the order (day, then a range of the next order column).
-    Inside a slice a window gives the prior row. Only the first row of a slice
-    needs the slice before it, and that is a lookup in a table with one row per
-    slice: its last rate.
+    per currency would put that third into one task. Instead all rows are cut into slices
+    along (currency, order). The cuts are keys of the data: those of the rows with the smallest
+    hashes, which are spread over the ranks whatever the types are and however many
+    rows a currency or a day has. They are one value, worked out when the query runs.
+    Inside a slice a window gives the prior row. Only the first row of a currency in a slice
+    needs the slices before it, and that is a lookup in a table with the last rate per
+    currency and slice. Rows with equal keys follow each other in the order of their rates.
     """
-    day, rest = order[0], list(order[1:])
-    slice_cols = ["_currency", "_day", "_sub"]
-    sub = _sub_slice(raw, rest[0], ids_per_slice) if rest else F.lit(0)
-    sliced = raw.withColumns(
-        {
-            # No NULL in the slice columns: rows with an unknown currency or day form slices too.
-            "_currency": F.coalesce(F.concat(F.lit("="), "currency"), F.lit("")),
-            "_day": F.coalesce(day, F.lit("0001-01-01").cast("date")),
-            "_sub": sub,
-        }
+    # No NULL in the currency: rows with an unknown currency form a line too. Unknown days come first.
+    sliced = raw.withColumn("_currency", F.coalesce(F.concat(F.lit("="), "currency"), F.lit("")))
+    key = F.struct("_currency", *order)
+    cuts = (
+        sliced.select(key.alias("key"), F.xxhash64(*sliced.columns).alias("hash"))
+        .orderBy("hash", "key")
+        .limit(slices)
+        .agg(F.sort_array(F.collect_set("key")).alias("cuts"))
+        .scalar()
     )
+    sliced = sliced.withColumn("_cuts", cuts).withColumn("_slice", _place(key, F.col("_cuts"), slices)).drop("_cuts")
 
     # A struct around the rate tells "no prior row" (NULL) from "prior row without a rate".
-    in_slice = Window.partitionBy(*slice_cols).orderBy(*(rest or [day]))
+    in_slice = Window.partitionBy("_currency", "_slice").orderBy(*order, "rate")
     rows = sliced.withColumn("_prior", F.lag(F.struct("rate")).over(in_slice))
 
-    along = Window.partitionBy("_currency").orderBy("_day", "_sub")
+    along = Window.partitionBy("_currency").orderBy("_slice")
     carried = (
-        sliced.groupBy(*slice_cols)
-        .agg(F.max_by("rate", order_key(rest or [day])).alias("_last"))
+        sliced.groupBy("_currency", "_slice")
+        .agg(F.max_by("rate", F.struct(*order, "rate")).alias("_last"))
         .withColumn("_carried", F.lag("_last").over(along))
-        .select(*slice_cols, "_carried")
+        .select("_currency", "_slice", "_carried")
     )
     return (
-        rows.join(carried, slice_cols, "left")
+        rows.join(carried, ["_currency", "_slice"], "left")
         .withColumn("prior_rate", F.when(F.col("_prior").isNotNull(), F.col("_prior.rate")).otherwise(F.col("_carried")))
         .select(*raw.columns, "prior_rate")
     )
@@ -143,8 +140,10 @@ def latest_rates(rates: DataFrame, period: str | None = None, order: Sequence[st
     the map side, so a hot currency sends one row per task.
     """
     valid = in_period(rates.filter("is_validated"), period)
-    known = [c for c in order if c in rates.columns]
-    daily = dedup_rates(valid, known)
+    missing = [c for c in order if c not in rates.columns]
+    if missing:
+        raise ValueError(f"the order of rates needs the columns {missing}")
+    daily = dedup_rates(valid, order)
     return daily.groupBy("currency").agg(F.max_by("rate", order[0]).alias("exchange_rate"))
 
 
@@ -189,9 +188,9 @@ def to_usd_monthly(
     """Add ``exchange_rate`` and ``usd_amount`` from one rate per (currency, forecast_period).
 
     Forecast rates are not checked against the configured currencies, so the number
-    of rate rows depends on data and is measured before the side is broadcast.
+    of rate rows depends on data. Spark chooses the join when the query runs, by the size it has then.
     """
-    return _usd(join_measured(df, rates, ["currency", "forecast_period"]), amount, "currency", cfg)
+    return _usd(df.join(rates, ["currency", "forecast_period"], "left"), amount, "currency", cfg)
 
 
 def missing_fx_condition(currency: str, cfg: CloseConfig = DEFAULT_CONFIG) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from closeworks.config import DEFAULT_CONFIG, CloseConfig, bu_dim
 from closeworks.functions.exprs import falsy_null, has_all, in_period, percent_of, total
 from closeworks.operators.fx import missing_fx_condition, monthly_rates, to_usd, to_usd_monthly
-from closeworks.operators.lookup import join_dimension, join_measured
+from closeworks.operators.lookup import join_dimension
 
 
 def bu_names(df: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -207,14 +207,20 @@ def segment_pivot(segments: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> Dat
 # --- forecasts --------------------------------------------------------------
 
 
+def version_numbers(version: str) -> Column:
+    """The numbers in a version, in order, so that v10 comes after v9."""
+    return F.transform(F.regexp_extract_all(version, F.lit(r"(\d+)")), lambda x: x.cast("decimal(38,0)"))
+
+
 def forecast_version_variance(forecasts: DataFrame, amount: str = "forecast_amount") -> DataFrame:
     """Change in percent of each forecast version against the one before it.
 
-    One row per (bu, account, period, type, version); 0 for the first version. The
+    One row per (bu, account, period, type, version); 0 for the first version. Versions are in
+    the order of their numbers, those with equal numbers in the order of their text. The
     window runs over totals per version, never over forecast lines.
     """
     line = ["bu_code", "account_code", "forecast_period", "forecast_type"]
-    prior = F.lag("version_amount").over(Window.partitionBy(*line).orderBy("version"))
+    prior = F.lag("version_amount").over(Window.partitionBy(*line).orderBy(version_numbers("version"), "version"))
     return (
         forecasts.groupBy(*line, "version")
         .agg(total(amount).alias("version_amount"))
@@ -288,7 +294,7 @@ def _with_version_variance(forecasts: DataFrame) -> DataFrame:
     """Attach the variance of its version to each forecast line. Lines without a full key get 0."""
     line = ["bu_code", "account_code", "forecast_period", "forecast_type", "version"]
     variance = forecast_version_variance(forecasts).select(*line, "variance_from_prior")
-    return join_measured(forecasts, variance, line).withColumn(
+    return forecasts.join(variance, line, "left").withColumn(
         "variance_from_prior",
         F.when(F.concat(*[F.col(c) for c in line]).isNull(), F.lit(0.0)).otherwise(F.col("variance_from_prior")),
     )

@@ -1,46 +1,11 @@
-"""Joins to a side that should be small, with its size checked."""
+"""Joins to small sides."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Both must hold for a side to be broadcast.
-MAX_BROADCAST_ROWS = 200_000
-MAX_KEY_BYTES = 16 << 20
-
-# Beyond it, each key of the large side is spread over this many tasks.
-SALTS = 16
-
 
 def join_dimension(df: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
     """Left join to a frame built from the configuration (one row per configured entry)."""
     return df.join(F.broadcast(dim), on, "left")
-
-
-def _fits(side: DataFrame, on: list[str], max_rows: int) -> bool:
-    """Whether the side is small in rows and in key bytes. Looks at no more than ``max_rows + 1`` rows."""
-    key_bytes = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in on]))
-    size = (
-        side.select(*on)
-        .limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.coalesce(F.sum(key_bytes), F.lit(0)).alias("key_bytes"))
-        .first()
-    )
-    return size.rows <= max_rows and size.key_bytes <= MAX_KEY_BYTES
-
-
-def join_measured(df: DataFrame, side: DataFrame, on: list[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left join to a frame whose size depends on data.
-
-    The side is measured first. Within the limits it is broadcast, so
-    ``df`` is not shuffled. Beyond it both sides are shuffled, on the key and a salt:
-    the rows of a hot key go to ``SALTS`` tasks, each of which holds a copy of the
-    side's row. The salt is a hash of the row, so a repeated task places rows alike.
-    """
-    if _fits(side, on, max_rows):
-        return df.join(F.broadcast(side), on, "left")
-    salts = F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-    copies = side.withColumn("_salt", F.explode(salts))
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")

@@ -107,7 +107,6 @@ def product_performance(results: DataFrame, period: str | None = None) -> DataFr
 
 # Accuracy bands, in percent of the forecast.
 METRIC_ACCURACY = ((5, "Excellent"), (10, "Good"), (15, "Fair"))
-ACCURACY_ICON = {"Excellent": "✅", "Good": "✓", "Fair": "⚠️", "Poor": "❌"}
 
 
 def forecast_sums() -> list[Column]:

@@ -1,7 +1,6 @@
 """The close as one lazy plan: raw tables in, every processed and reporting table out.
 
-Nothing runs while a ``Close`` is built, with one exception: reading the forecasts
-counts the monthly forecast rates up to a limit, to choose the join to them.
+Nothing runs while a ``Close`` is built.
 """
 
 from __future__ import annotations

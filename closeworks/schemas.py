@@ -45,7 +45,7 @@ _DDL: dict[str, tuple[str, str]] = {
         PROCESSED,
         "rate_id string, currency string, rate double, rate_date date, source string, "
         "variance_from_prior double, is_validated boolean, validation_notes string, "
-        "processed_at timestamp, closure_period string",
+        "loaded_at timestamp, load_id string, processed_at timestamp, closure_period string",
     ),
     "bu_preliminary_close": (
         PROCESSED,

@@ -14,10 +14,8 @@ from closeworks.config import BusinessUnit, CloseConfig
 # --- fixed values -----------------------------------------------------------
 
 PERIOD = "1997-06"
-PRIOR_PERIOD = "1997-05"
 FX_AS_OF = "2024-01-31"
 STATUS_AS_OF = "2001-09-01"
-TASK_PERIOD = "2024-01"
 FX_ORDER = ("rate_date", "event_id")
 
 CONFIG = CloseConfig(

@@ -7,7 +7,6 @@ overwriting its partition.
 
 from __future__ import annotations
 
-import functools
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -78,33 +77,59 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 # --- landing ----------------------------------------------------------------
 
 
-def ingest_csv(
-    spark: SparkSession, path: str, name: str, load_id: str | None = None, loaded_at: str | None = None
-) -> DataFrame:
-    """CSV files with a header to the raw layout, with lineage columns.
+REJECTED = "rejected_record"
+
 
-    The header must name the columns of the layout, without the lineage ones, in their
-    order; a file with another header is an error. A field that cannot be read as its
-    type becomes NULL and is then caught by validation.
+def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """CSV files with a header in the raw layout without lineage, and ``rejected_record``.
+
+    The header must name the columns of the layout, in their order; a file with another header is an
+    error. ``rejected_record`` holds the whole line if a field cannot be read as its type or there are too many
+    or too few of them, else it is NULL.
     """
-    layout = schemas.schema(name)
     lineage = {"load_id", "loaded_at", "file_name"}
-    given = [f for f in layout.fields if f.name not in lineage]
-    lines = (
+    given = [T.StructField(f.name, f.dataType) for f in schemas.schema(name).fields if f.name not in lineage]
+    return (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
-        .schema(T.StructType([T.StructField(f.name, f.dataType) for f in given]))
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .schema(T.StructType([*given, T.StructField(REJECTED, T.StringType())]))
         .option("enforceSchema", False)
         .csv(path)
     )
-    stamped = lines.withColumns(
+
+
+def _with_lineage(lines: DataFrame, load_id: str | None, loaded_at: str | None) -> DataFrame:
+    return lines.withColumns(
         {
             "load_id": F.lit(load_id or str(uuid.uuid4())),
             "loaded_at": F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp(),
             "file_name": F.col("_metadata.file_path"),
         }
     )
-    return stamped.select(*layout.fieldNames())
+
+
+def ingest_csv(
+    spark: SparkSession, path: str, name: str, load_id: str | None = None, loaded_at: str | None = None
+) -> DataFrame:
+    """CSV files to the raw layout, with lineage columns; see ``read_csv``.
+
+    A field that cannot be read as its type is NULL and is then caught by validation; ``rejected_csv`` has the
+    text of such lines.
+    """
+    return _with_lineage(read_csv(spark, path, name), load_id, loaded_at).select(*schemas.schema(name).fieldNames())
+
+
+def rejected_csv(
+    spark: SparkSession, path: str, name: str, load_id: str | None = None, loaded_at: str | None = None
+) -> DataFrame:
+    """The lines that ``ingest_csv`` could not read in full: their text, how many fields were read, load, time and file."""
+    given = [f for f in schemas.schema(name).fieldNames() if f not in {"load_id", "loaded_at", "file_name"}]
+    lines = _with_lineage(read_csv(spark, path, name), load_id, loaded_at)
+    known = sum((F.col(c).isNotNull().cast("int") for c in given), F.lit(0))
+    return lines.filter(F.col(REJECTED).isNotNull()).select(
+        REJECTED, known.alias("fields_read"), "load_id", "loaded_at", "file_name"
+    )
 
 
 # --- writing ----------------------------------------------------------------
@@ -147,9 +172,18 @@ def audit_rows(spark: SparkSession, rows: list[dict], name: str) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(f) for f in layout.fieldNames()) for r in rows], layout)
 
 
-def _writer(df: DataFrame, name: str, mode: str, partitioned: bool = True):
-    writer = df.write.mode(mode)
-    return writer.partitionBy(schemas.PARTITION_COLUMN) if partitioned and schemas.is_partitioned(name) else writer
+# Partitions that a write starts from; those of one period are merged or split by size.
+WRITE_PARTITIONS = 32
+
+
+def _writer(df: DataFrame, name: str, mode: str, partitioned: bool = True, spread: bool = True):
+    if not (partitioned and schemas.is_partitioned(name)):
+        return df.write.mode(mode)
+    if spread:
+        # Without it every task writes a file for every period it meets. The rebalance brings a period together,
+        # splits one that is large and merges those that are small, by the sizes it finds.
+        df = df.hint("rebalance", WRITE_PARTITIONS, schemas.PARTITION_COLUMN)
+    return df.write.mode(mode).partitionBy(schemas.PARTITION_COLUMN)
 
 
 def append(df: DataFrame, root: str, name: str) -> None:
@@ -161,15 +195,28 @@ def overwrite(df: DataFrame, root: str, name: str) -> None:
     _writer(df, name, "overwrite").option("partitionOverwriteMode", "static").parquet(table_path(root, name))
 
 
-def replace_periods(df: DataFrame, root: str, name: str) -> None:
+def replace_periods(df: DataFrame, root: str, name: str, period: str | None = None) -> None:
     """Replace the periods present in ``df`` and leave the others: publishing twice equals publishing once.
 
-    The files of a period are swapped when the job commits, so a job that loses
+    With a ``period`` only its rows are written, and if there are none the period is emptied: publishing
+    nothing leaves nothing. The files of a period are swapped when the job commits, so a job that loses
     executors and fails leaves the old period readable.
     """
+    if period is not None:
+        df = df.filter(F.col(schemas.PARTITION_COLUMN) == period)
+        if df.isEmpty():
+            _clear_period(df.sparkSession, root, name, period)
+            return
     _writer(df, name, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(table_path(root, name))
 
 
+def _clear_period(spark: SparkSession, root: str, name: str, period: str) -> None:
+    """Remove the folder of a period, through the file system that the table lies in."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{table_path(root, name)}/{schemas.PARTITION_COLUMN}={period}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def rewrite(df: DataFrame, root: str, name: str) -> None:
     """Overwrite periods of a table with a frame that was read from the same table.
 
@@ -185,23 +232,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@functools.cache
-def _local_checkpoint_dir() -> str:
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="closeworks-checkpoint-")
-
-
 def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Take the shared folder from the session; a private one only for a local master without a setting."""
+    """Take the folder for checkpoints from the session, which must name one that all executors share."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        shared = _local_checkpoint_dir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     context.setCheckpointDir(shared)
 
 
@@ -216,6 +254,6 @@ def write_clustered(
     wanted = [schemas.PARTITION_COLUMN] if schemas.is_partitioned(name) else []
     columns = list(dict.fromkeys([*wanted, *(keys or schemas.CLUSTER_KEYS[name])]))
     spread = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
-    _writer(spread.sortWithinPartitions(*columns), name, "overwrite").option(
+    _writer(spread.sortWithinPartitions(*columns), name, "overwrite", spread=False).option(
         "partitionOverwriteMode", "static"
     ).parquet(table_path(root, name))

@@ -6,6 +6,7 @@ import datetime
 import decimal
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -90,6 +91,7 @@ def session(cores: str = "8") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="closeworks-test-"))
         .getOrCreate()
     )
 

@@ -83,3 +83,17 @@ def test_newest_period_without_rows_is_empty(frame):
     df = frame("closure_period string, v int", ("2024-01", 1), ("2024-02", 2))
     assert [r.v for r in x.newest_period(df).collect()] == [2]
     assert x.newest_period(df.filter("v > 9")).collect() == []
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_have_no_small_limit(spark, frame, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = frame("k int, x double", (1, 1e15), (1, 1.0), (2, float("nan")), (2, 2.5), (3, float("inf")), (4, -1e18), (4, 0.25))
+        got = {r.k: r.s for r in df.groupBy("k").agg(x.total("x").alias("s")).collect()}
+        assert got == {1: 1e15 + 1, 2: 2.5, 3: None, 4: -1e18 + 0.25}
+        with pytest.raises(Exception, match="out of range"):
+            frame("x double", (1e300,)).agg(x.total("x")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

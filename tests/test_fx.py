@@ -1,12 +1,13 @@
 import datetime as dt
+import decimal
 import random
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from closeworks.config import DEFAULT_CONFIG
-from closeworks.operators import fx, lookup
+from closeworks.operators import fx
+from closeworks.sources import tables
 
 RAW = "load_id string, currency string, rate double, rate_date date, source string, loaded_at timestamp"
 D = dt.date
@@ -28,8 +29,8 @@ def brute_force(data, order):
     return out
 
 
-@pytest.mark.parametrize("ids_per_slice", [1, 3, 16, 1 << 20])
-def test_prior_rate_equals_brute_force_whatever_the_slices(spark, ids_per_slice):
+@pytest.mark.parametrize("slices", [1, 3, 16, 1024])
+def test_prior_rate_equals_brute_force_whatever_the_slices(spark, slices):
     rng = random.Random(7)
     data = [
         {
@@ -42,7 +43,7 @@ def test_prior_rate_equals_brute_force_whatever_the_slices(spark, ids_per_slice)
         for i in rng.sample(range(1000), 300)
     ]
     df = spark.createDataFrame(data, "id bigint, currency string, rate double, rate_date date").repartition(7)
-    got = fx.with_prior_rate(df, ("rate_date", "id"), ids_per_slice)
+    got = fx.with_prior_rate(df, ("rate_date", "id"), slices)
     assert {r.id: r.prior_rate for r in got.collect()} == brute_force(data, ("rate_date", "id"))
 
 
@@ -70,14 +71,48 @@ def test_unknown_days_come_first(frame):
     assert got == {1: 1.0, 2: None}
 
 
-def test_no_currency_is_one_window_group(spark):
-    """The window must be partitioned by slices, never by the currency alone, on the rate rows."""
-    df = spark.createDataFrame([(1, "A", 1.0, D(2024, 1, 1))], "id bigint, currency string, rate double, rate_date date")
-    plan = fx.with_prior_rate(df, ("rate_date", "id"))._jdf.queryExecution().optimizedPlan().toString()
+ORDER_TYPES = {
+    "bigint": lambda i: i,
+    "decimal(20,0)": decimal.Decimal,
+    "double": lambda i: i / 4,
+    "string": lambda i: f"load-{i:05d}",
+    "date": lambda i: D(2024, 1, 1) + dt.timedelta(days=i),
+    "timestamp": lambda i: T(2024, 3, 10, 0, 0, tzinfo=dt.timezone.utc) + dt.timedelta(minutes=10 * i),
+    "timestamp_ntz": lambda i: T(2024, 3, 10, 0, 0) + dt.timedelta(minutes=10 * i),
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", sorted(ORDER_TYPES))
+def test_any_order_type_on_one_hot_day(spark, kind, zone):
+    """A whole load on one day with one load time: rows are told apart by the last order column alone."""
+    rng = random.Random(5)
+    places = list(range(240))
+    rng.shuffle(places)
+    data = [(p, rng.choice("AAB"), rng.random(), D(2024, 3, 10), T(2024, 3, 11), ORDER_TYPES[kind](p)) for p in places]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ddl = f"id bigint, currency string, rate double, rate_date date, loaded_at timestamp, load_id {kind}"
+        got = fx.with_prior_rate(spark.createDataFrame(data, ddl).repartition(5), slices=30)
+        found = {r.id: r.prior_rate for r in got.select("id", "prior_rate").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    names = ("id", "currency", "rate")
+    assert found == brute_force([dict(zip(names, r)) for r in data], ("id",))
+
+
+def test_a_hot_day_is_split_by_rows(spark):
+    df = spark.range(4000).selectExpr(
+        "id", "'A' AS currency", "cast(id AS double) AS rate", "date'2024-01-01' AS rate_date", "1 AS loaded_at", "1 AS load_id"
+    )
+    plan = fx.with_prior_rate(df, ("rate_date", "loaded_at", "id"), 64)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2
-    assert all("_day" in w.split("windowspecdefinition")[1] for w in windows)
-    assert sum("lag(_last" in w for w in windows) == 1
+    assert len(windows) == 2 and all("_slice" in w.split("windowspecdefinition")[1] for w in windows)
+    key = F.struct(F.col("rate_date"), F.col("loaded_at"), F.col("id"))
+    cuts = df.filter("id % 64 = 5").agg(F.sort_array(F.collect_set(key)).alias("c")).scalar()
+    sizes = df.withColumn("cuts", cuts).groupBy(fx._place(key, F.col("cuts"), 64).alias("s")).count().collect()
+    assert max(r["count"] for r in sizes) <= 70 and len(sizes) == 64
 
 
 def test_variance_and_validation(frame):
@@ -125,13 +160,22 @@ def test_latest_rate_is_the_last_valid_one_not_the_highest(frame):
     assert rows(fx.latest_rates(valid, "2023-12")) == []
 
 
-def test_stored_rates_without_load_order_still_work(frame):
+def test_rates_without_their_order_are_an_error(frame):
     stored = frame(
         "currency string, rate double, rate_date date, is_validated boolean, closure_period string",
         ("EUR", 0.9, D(2024, 1, 1), True, "2024-01"),
-        ("EUR", 0.8, D(2024, 1, 2), True, "2024-01"),
     )
-    assert rows(fx.latest_rates(stored, "2024-01")) == [("EUR", 0.8)]
+    with pytest.raises(ValueError, match="load_id"):
+        fx.latest_rates(stored, "2024-01")
+    assert rows(fx.latest_rates(stored, "2024-01", ("rate_date",))) == [("EUR", 0.9)]
+
+
+def test_latest_rate_is_the_same_after_storing(frame, spark, tmp_path):
+    raw = frame(RAW, *raw_rows(("EUR", 0.92, 1, 0, "a"), ("EUR", 0.90, 1, 1, "b"), ("GBP", 0.8, 1, 0, "c")))
+    checked = fx.process_fx(raw, "2024-01")
+    tables.replace_periods(tables.stamp(checked, "exchange_rates", "2024-02-01 00:00:00"), str(tmp_path), "exchange_rates")
+    stored = tables.read_table(spark, str(tmp_path), "exchange_rates")
+    assert rows(fx.latest_rates(stored, "2024-01")) == rows(fx.latest_rates(checked, "2024-01")) == [("EUR", 0.90), ("GBP", 0.8)]
 
 
 def test_conversion(frame):
@@ -147,61 +191,20 @@ def test_conversion(frame):
     assert rows(fx.missing_fx(got), "currency") == [("JPY",)]
 
 
-def test_monthly_rates_join_within_and_beyond_the_broadcast_limit(frame, monkeypatch):
+def test_monthly_rates(frame):
     daily = frame(
         "currency string, forecast_date date, forecast_rate double",
         ("EUR", D(2024, 2, 1), 0.8), ("EUR", D(2024, 2, 20), 1.0), ("SGD", D(2024, 2, 1), 2.0),
+        ("XXX", D(2024, 2, 1), 1e-11), ("XXX", D(2024, 2, 2), 3e-11),
     )
     monthly = fx.monthly_rates(daily)
-    assert rows(monthly) == [("EUR", "2024-02", 0.9), ("SGD", "2024-02", 2.0)]
+    assert rows(monthly) == [("EUR", "2024-02", 0.9), ("SGD", "2024-02", 2.0), ("XXX", "2024-02", 2e-11)]
     lines = frame(
         "currency string, forecast_period string, amount double",
         ("EUR", "2024-02", 9.0), ("EUR", "2024-03", 9.0), ("USD", "2024-03", 9.0),
     )
     expected = [("EUR", "2024-02", 10.0), ("EUR", "2024-03", None), ("USD", "2024-03", 9.0)]
-    columns = ("currency", "forecast_period", "usd_amount")
-
-    def hinted(df):
-        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
-
-    small = fx.to_usd_monthly(lines, "amount", monthly)
-    assert rows(small, *columns) == expected and hinted(small)
-    joined = fx.join_measured(lines, monthly, ["currency", "forecast_period"], max_rows=1)
-    large = fx._usd(joined, "amount", "currency", DEFAULT_CONFIG)
-    assert rows(large, *columns) == expected and not hinted(large)
-
-
-def test_long_keys_are_not_broadcast(frame, monkeypatch):
-    side = frame("k string, v int", ("x" * 100, 1), (None, 2))
-    assert lookup._fits(side, ["k"], 2) and not lookup._fits(side, ["k"], 1)
-    monkeypatch.setattr(lookup, "MAX_KEY_BYTES", 50)
-    assert not lookup._fits(side, ["k"], 2)
-    assert lookup._fits(side.filter("v > 5"), ["k"], 2)
-
-
-def test_a_hot_key_beyond_the_limit_is_spread_and_keeps_every_row(spark):
-    lines = spark.range(3000).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 'EUR' WHEN id % 3 = 1 THEN NULL ELSE concat('C', id) END AS currency",
-        "'2024-02' AS forecast_period",
-        "cast(id AS double) AS amount",
-    )
-    side = spark.range(3000).selectExpr(
-        "CASE WHEN id = 0 THEN 'EUR' ELSE concat('C', id) END AS currency",
-        "'2024-02' AS forecast_period",
-        "2e0 AS exchange_rate",
-    )
-    got = fx.join_measured(lines, side, ["currency", "forecast_period"], max_rows=10)
-    assert got.columns == ["currency", "forecast_period", "amount", "exchange_rate"]
-    assert got.count() == 3000 and got.filter("exchange_rate = 2").count() == 2000
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = fx.join_measured(lines, side, ["currency", "forecast_period"], max_rows=10)
-        text = got._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    exchanges = [x for x in text.splitlines() if "Exchange hash" in x]
-    assert len(exchanges) == 2 and all("_salt" in x for x in exchanges)
+    assert rows(fx.to_usd_monthly(lines, "amount", monthly), "currency", "forecast_period", "usd_amount") == expected
 
 
 def test_recent_rates(frame):

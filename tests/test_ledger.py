@@ -163,3 +163,12 @@ def test_bu_lookups(frame):
     assert rows(got, "bu_code", "bu_currency", "bu_exists") == sorted(
         [("EMEA", "EUR", True), ("NOPE", "USD", False), (None, "USD", False)], key=repr
     )
+
+
+def test_versions_follow_their_numbers(frame):
+    df = frame(
+        "bu_code string, account_code string, forecast_period string, forecast_type string, version string, forecast_amount double",
+        *[("B", "4000", "2024-01", "T", v, a) for v, a in (("v10.0", 400.0), ("v9.0", 200.0), ("v2.1", 100.0), ("v1", 50.0))],
+    )
+    got = {r.version: r.prior_version_amount for r in ledger.forecast_version_variance(df).collect()}
+    assert got == {"v1": None, "v2.1": 50.0, "v9.0": 100.0, "v10.0": 200.0}

@@ -254,3 +254,37 @@ def test_a_whole_close_from_landed_files(spark, root, tmp_path):
     checks = {(r.closure_period, r.table_name): r for r in tables.read_table(spark, root, "data_quality_checks").collect()}
     assert checks[FEB, "bu_preliminary_close"].check_result == "FAILED"
     assert checks[JAN, "bu_preliminary_close"].check_result == "PASSED"
+
+
+def test_publishing_nothing_leaves_nothing(spark, tmp_path):
+    root, name = str(tmp_path), "kpi_metrics"
+    rows = [{"closure_period": p, "kpi_name": k} for p in ("2024-01", "2024-02") for k in ("a", "b")]
+    df = tables.stamp(tables.audit_rows(spark, rows, name), name, "2024-02-01 00:00:00")
+    for _ in range(2):
+        tables.replace_periods(df, root, name)
+        assert tables.read_table(spark, root, name).count() == 4
+    tables.replace_periods(df, root, name, "2024-01")
+    assert tables.read_table(spark, root, name).count() == 4
+    for _ in range(2):
+        tables.replace_periods(df.limit(0), root, name, "2024-01")
+        assert [r.closure_period for r in tables.read_table(spark, root, name).collect()] == ["2024-02"] * 2
+
+
+def test_files_per_period_are_bounded(spark, tmp_path):
+    root, name = str(tmp_path), "kpi_metrics"
+    rows = [{"closure_period": f"2024-0{i % 4 + 1}", "kpi_name": str(i)} for i in range(400)]
+    df = tables.stamp(tables.audit_rows(spark, rows, name), name, "2024-02-01 00:00:00").repartition(16)
+    tables.append(df, root, name)
+    files = list(tmp_path.rglob("*.parquet"))
+    assert len({f.parent.name for f in files}) == 4 and len(files) <= 8
+
+
+def test_lines_that_cannot_be_read_are_kept(spark, tmp_path):
+    given = [f for f in schemas.schema("exchange_rates_raw").fieldNames() if f not in ("load_id", "loaded_at", "file_name")]
+    good = {"currency": "EUR", "rate": "0.9", "rate_date": "2024-01-01", "source": "ECB"}
+    line = lambda **c: ",".join((good | c).get(g, "") for g in given)
+    bad = [line(rate="x9"), line() + ",surplus"]
+    (tmp_path / "a.csv").write_text("\n".join([",".join(given), line(), *bad]) + "\n")
+    rejected = tables.rejected_csv(spark, str(tmp_path), "exchange_rates_raw", "l1", "2024-01-02 00:00:00").collect()
+    assert sorted(r.rejected_record for r in rejected) == sorted(bad)
+    assert tables.ingest_csv(spark, str(tmp_path), "exchange_rates_raw", "l1").count() == 3
