@@ -49,7 +49,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

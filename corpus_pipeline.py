@@ -39,7 +39,8 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path
+    return pack_documents(docs, path("byte_bpe_50k.json"), ranks_path=path("byte_bpe_50k.tiktoken"))
 
 
 STAGES: list[tuple[str, Stage]] = [
