@@ -12,7 +12,7 @@ from closeworks.config import CATEGORY_BY_FIRST_DIGIT, CATEGORY_RANK, PHASE_NAME
 
 # Digits after the point that sums of amounts and of rates keep.
 MONEY = 4
-RATE = 18
+RATE = 12
 
 # Amounts are summed in three parts of so many bits, the upper one open.
 PART_BITS = 21

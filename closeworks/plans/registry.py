@@ -33,6 +33,31 @@ class Tables:
         self.raw = RawTables(self.source.raw_table)
         self.close = Close(self.raw, PERIOD, None, CONFIG, FX_ORDER)
 
+    @functools.cached_property
+    def periods(self) -> DataFrame:
+        """The periods that have results: those of valid ledger rows, before any shuffle."""
+        return controls.valid_rows(self.close.ledger).select("closure_period")
+
+    @functools.cached_property
+    def newest_close(self) -> Close:
+        """The close of the newest period and the one before it. The rows of others are left out of the scans."""
+        since = self.periods.agg(F.max("closure_period").alias("p")).select(prior_period("p")).scalar()
+        column = {
+            "bu_preliminary_close_raw": "period",
+            "accounting_cuts_raw": "period",
+            "segmented_files_raw": "period",
+            "forecast_files_raw": "forecast_period",
+        }
+
+        def recent(name: str) -> DataFrame:
+            df = self.source.raw_table(name)
+            return df.filter(F.col(column[name]) >= since) if name in column else df
+
+        return Close(RawTables(recent), PERIOD, None, CONFIG, FX_ORDER)
+
+    def newest(self, **tables: DataFrame) -> dict[str, DataFrame]:
+        return {**tables, "periods": self.periods}
+
     @property
     def forecasts_of_period(self) -> DataFrame:
         """All forecasts, judged as of the close of ``PERIOD``."""
@@ -515,14 +540,16 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "v_top_adjustments": lambda t: _without(
         views.v_top_adjustments({"accounting_cuts": t.close.cuts}), "approved_at"
     ),
-    "v_prelim_summary": lambda t: views.v_prelim_summary({"preliminary_results": t.close.preliminary_results}),
-    "v_final_segmented": lambda t: views.v_final_segmented({"final_results": t.close.final_results}),
-    "v_forecast_vs_actual": lambda t: views.v_forecast_vs_actual({"final_results": t.close.final_results}),
-    "v_kpi_dashboard": lambda t: views.v_kpi_dashboard({"kpi_metrics": t.close.kpi_metrics}),
+    "v_prelim_summary": lambda t: views.v_prelim_summary(t.newest(preliminary_results=t.newest_close.preliminary_results)),
+    "v_final_segmented": lambda t: views.v_final_segmented(t.newest(final_results=t.newest_close.final_results)),
+    "v_forecast_vs_actual": lambda t: views.v_forecast_vs_actual(t.newest(final_results=t.newest_close.final_results)),
+    "v_kpi_dashboard": lambda t: views.v_kpi_dashboard(t.newest(kpi_metrics=t.newest_close.kpi_metrics)),
     "v_dq_dashboard": lambda t: views.v_dq_dashboard({"data_quality_checks": t.close.data_quality_checks}),
     "v_task_activity": lambda t: views.v_task_activity({"agent_execution_logs": t.source.task_log()}),
     "v_trends": lambda t: views.v_trends({"final_results": t.close.final_results}),
-    "v_variance_analysis": lambda t: views.v_variance_analysis({"final_results": t.close.final_results}, cfg=CONFIG),
+    "v_variance_analysis": lambda t: views.v_variance_analysis(
+        t.newest(final_results=t.newest_close.final_results), cfg=CONFIG
+    ),
 }
 
 

@@ -1,7 +1,8 @@
 """The twelve dashboard views, as functions from tables to a frame.
 
 ``tables`` maps table names (``closeworks.schemas``) to frames. Views of the newest
-period find it by a scalar subquery, which Spark runs first and turns into a filter.
+period find it by a scalar subquery, which Spark runs first and turns into a filter. A frame ``periods``
+with the closure periods tells it more cheaply than a result that is still to be computed.
 """
 
 from __future__ import annotations
@@ -134,7 +135,7 @@ def v_top_adjustments(tables: Tables, as_of: str | None = None, k: int = 20) ->
 def v_prelim_summary(tables: Tables, as_of: str | None = None) -> DataFrame:
     """Newest period of the preliminary results, latest version, in report order."""
     return (
-        publish.latest_version(newest_period(tables["preliminary_results"]))
+        publish.latest_version(newest_period(tables["preliminary_results"], tables.get("periods")))
         .groupBy("closure_period", "bu_name", "account_category")
         .agg(
             total("preliminary_amount").alias("total_amount"),
@@ -153,7 +154,7 @@ def _final(tables: Tables) -> DataFrame:
 
 def _newest_final(tables: Tables) -> DataFrame:
     results = tables["final_results"]
-    return newest_period(results.filter(F.col("is_final")), results)
+    return newest_period(results.filter(F.col("is_final")), tables.get("periods", results))
 
 
 def v_final_segmented(tables: Tables, as_of: str | None = None) -> DataFrame:
@@ -210,7 +211,7 @@ def _kpi_status() -> Column:
 
 def v_kpi_dashboard(tables: Tables, as_of: str | None = None) -> DataFrame:
     return (
-        newest_period(tables["kpi_metrics"])
+        newest_period(tables["kpi_metrics"], tables.get("periods"))
         .orderBy(*publish.kpi_order(), "metric_category", "metric_name")
         .select(
             "closure_period",

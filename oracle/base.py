@@ -218,7 +218,7 @@ FROM fx_var""",
 SELECT currency, arg_max(rate, (rate_date, event_id)) AS exchange_rate
 FROM fx_proc WHERE is_validated GROUP BY currency""",
     "fx_month": f"""
-SELECT currency, forecast_month AS forecast_period, {mean('forecast_rate', 'DECIMAL(38,18)')} AS exchange_rate
+SELECT currency, forecast_month AS forecast_period, {mean('forecast_rate', 'DECIMAL(38,12)')} AS exchange_rate
 FROM forecast_fx_raw GROUP BY currency, forecast_month""",
     "ledger": process_ledger("ledger_raw"),
     "ledger_early": process_ledger("(SELECT * FROM ledger_raw WHERE l_linestatus = 'F')"),

@@ -633,7 +633,7 @@ SELECT phase, severity, message, recipient, sent_at, acknowledged_at,
     # --- raw landing reports -----------------------------------------------------------
     "raw_fx_stats": f"""
 SELECT currency, COUNT(*) AS record_count, MIN(rate) AS min_rate, MAX(rate) AS max_rate,
-  {mean('rate', 'DECIMAL(38,18)')} AS avg_rate, ROUND(STDDEV_SAMP(rate), 8) AS stddev_rate,
+  {mean('rate', 'DECIMAL(38,12)')} AS avg_rate, ROUND(STDDEV_SAMP(rate), 8) AS stddev_rate,
   MIN(rate_date) AS earliest_date, MAX(rate_date) AS latest_date
 FROM fx_raw GROUP BY currency""",
     "raw_ledger_by_bu": f"""
@@ -673,7 +673,7 @@ FROM segments_raw WHERE segment_type = 'Product' GROUP BY segment_value""",
     "raw_forecast_trend": _trend("forecast_raw", "forecast_amount", ("total_revenue", "total_costs", "net_income")),
     "raw_forecast_fx_summary": f"""
 SELECT currency, COUNT(*) AS forecast_count, MIN(forecast_rate) AS min_rate, MAX(forecast_rate) AS max_rate,
-  {mean('forecast_rate', 'DECIMAL(38,18)')} AS avg_rate, MIN(forecast_month) AS first_date,
+  {mean('forecast_rate', 'DECIMAL(38,12)')} AS avg_rate, MIN(forecast_month) AS first_date,
   MAX(forecast_month) AS last_date
 FROM forecast_fx_raw GROUP BY currency""",
     "preview_raw_rates": f"""
