@@ -55,8 +55,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The frame written as a table in the shared folder and read again: cuts its lineage and its cost if used twice."""
+    """The frame written as a table in the shared folder and read again: cuts its lineage and its cost if used twice.
+
+    What was shuffled to make it is of no more use. Spark frees it once the driver has collected its garbage,
+    which can take long on an idle driver, so that is asked for.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/closeworks-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

@@ -4,11 +4,12 @@ A window is a fixed number of consecutive symbols (bytes or words). Each has a s
 smallest hash inside it. Equal windows have equal seeds at equal places, and neighbouring windows mostly share
 theirs, so a document becomes a row of fragments, one per seed, that hold all its windows once.
 
-Only seeds that occur twice matter. Their fragments are combined with all equal ones, which leaves the earliest
-occurrence of each distinct fragment, and every other occurrence is a repeat as a whole. What is left to compare are
-distinct fragments with one seed: the edges of repeated passages. Those go to an index in blocks of whole seeds
-(``Index``, by method). Seeds with more distinct fragments than ``max_fragments`` are not gathered in one place:
-their windows are taken one by one and combined by hash, which gives the same answer.
+Only seeds that occur twice matter. Their fragments are combined with all equal ones by a hash, which leaves the
+earliest occurrence of each distinct fragment, and every other occurrence is a repeat as a whole. What is left to
+compare are distinct fragments with one seed: the edges of repeated passages. Only their symbols are fetched, and go to
+an index in blocks of whole seeds, by the method of the operator. A seed with more distinct fragments than a block
+holds is not gathered in one place: its fragments are cut again by seeds of twice the length, and for what is then still
+too much, windows are taken one by one and combined by hash, which gives the same answer.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,14 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 class Windows:
     """``window`` symbols are compared at a time, by seeds of ``gram`` symbols.
 
-    ``symbols`` makes an array of unsigned integers from a text. ``block`` symbols go into one index.
+    ``symbols`` makes an array of unsigned integers from a text. ``block`` symbols go into one index, and with
+    them at most ``max_fragments`` fragments of one seed.
     """
 
     window: int
     gram: int
     symbols: Callable[[str], np.ndarray]
-    max_fragments: int = 256
+    max_fragments: int = 4096
     block: int = 1 << 20
 
 
@@ -67,7 +69,7 @@ def gram_hashes(symbols: np.ndarray, size: int) -> np.ndarray:
     return mixed(code)
 
 
-def _stretch_seeds(symbols: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _stretch_seeds(symbols: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     hashes = gram_hashes(symbols, w.gram)
     low = np.uint64((1 << PLACE_BITS) - 1)
     key = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
@@ -77,22 +79,29 @@ def _stretch_seeds(symbols: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndar
         key = np.minimum(key[:-step], key[step:])
         size += step
     first = np.flatnonzero(np.diff(key, prepend=~key[:1]))
-    return first, np.append(first[1:], len(key)), hashes[(key[first] & low).astype(np.int64)]
+    end = np.append(first[1:], len(key))
+    # Grams side by side from the first to the last hold all symbols of a fragment.
+    last = end + w.window - 1 - w.gram
+    content = (end - first).astype(np.uint64)
+    for at in range(0, w.window + span, w.gram):
+        content = (content ^ hashes[np.minimum(first + at, last)]) * MULTIPLIER
+        content ^= content >> np.uint64(32)
+    return first, end, hashes[(key[first] & low).astype(np.int64)], content
 
 
-def seeds_of(symbols: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, end of windows, seed) of each fragment of a document.
+def seeds_of(symbols: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, end of windows, seed, hash of the content) of each fragment of a document.
 
     Long documents are taken in stretches; a fragment that a stretch cuts in two is two fragments, which only
     means that their windows are found in two places.
     """
     n = len(symbols) - w.window + 1
     if n <= 0:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        return (*(np.zeros(0, dtype=np.int64) for _ in range(2)), *(np.zeros(0, dtype=np.uint64) for _ in range(2)))
     parts = []
     for a in range(0, n, STRETCH):
-        first, end, seed = _stretch_seeds(symbols[a : a + STRETCH + w.window - 1], w)
-        parts.append((first + a, end + a, seed))
+        first, end, seed, content = _stretch_seeds(symbols[a : a + STRETCH + w.window - 1], w)
+        parts.append((first + a, end + a, seed, content))
     return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
 
 
@@ -110,56 +119,48 @@ def _join(parts: list[np.ndarray], kind: type = np.int64) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
 
 
+SEED_SCHEMA = "_id long, _h long, first long, n int, seed long, content long"
+
+
 def _seed_batches(w: Windows):
+    names = ["_id", "_h", "first", "n", "seed", "content"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            firsts, seeds, rows = [], [], []
-            for i, text in enumerate(batch.column("_text").to_pylist()):
-                first, _, seed = seeds_of(w.symbols(text), w)
-                firsts.append(first)
-                seeds.append(seed)
-                rows.append(np.full(len(first), i))
-            take = pa.array(_join(rows))
+            found = [seeds_of(w.symbols(text), w) for text in batch.column("_text").to_pylist()]
+            take = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            first, end = _join([f[0] for f in found]), _join([f[1] for f in found])
+            hashes = [_longs(_join([f[i] for f in found], np.uint64)) for i in (2, 3)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id").take(take), batch.column("_h").take(take), _longs(_join(firsts)),
-                 _longs(_join(seeds, np.uint64))],
-                names=["_id", "_h", "first", "seed"],
+                [batch.column("_id").take(take), batch.column("_h").take(take), pa.array(first),
+                 pa.array((end - first).astype(np.int32)), *hashes],
+                names=names,
             )
 
     return run
 
 
-FRAGMENT_SCHEMA = "_id long, _h long, first long, n long, seed long, f1 long, f2 long, symbols binary"
-
-
-#: Rows that a task gathers before it passes them on.
-OUT_ROWS = 20_000
+FRAGMENT_SCHEMA = "_id long, _h long, first long, seed long, symbols binary"
 
 
 def _fragment_batches(w: Windows):
-    """Fragments of the chosen seeds. A task sends the symbols of equal fragments once per batch."""
-    names = ["_id", "_h", "first", "n", "seed", "f1", "f2", "symbols"]
-    kinds = [pa.int64()] * 7 + [pa.binary()]
+    """Symbols of chosen fragments: each of ``chosen`` has first, n and seed."""
+    names = ["_id", "_h", "first", "seed", "symbols"]
+    kinds = [pa.int64()] * 4 + [pa.binary()]
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) or [[]] * 8
+        columns = list(zip(*rows)) or [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes = batch.column("_id").to_pylist(), batch.column("_h").to_pylist()
-            rows, seen = [], set()
-            for i, (text, chosen) in enumerate(zip(batch.column("_text").to_pylist(), batch.column("chosen"))):
+            rows: list[tuple] = []
+            columns = [batch.column(n).to_pylist() for n in ("_id", "_h", "_text", "chosen")]
+            for i, h, text, chosen in zip(*columns):
                 symbols = w.symbols(text)
-                first, end, seed = seeds_of(symbols, w)
-                for j in np.flatnonzero(np.isin(first, chosen.values.to_numpy())):
-                    a, b = int(first[j]), int(end[j])
-                    data = symbols[a : b + w.window - 1].tobytes()
-                    digest = hashlib.blake2b(data, digest_size=16).digest()
-                    data = None if digest in seen else data
-                    seen.add(digest)
-                    f1, f2 = struct.unpack("<qq", digest)
-                    rows.append((ids[i], hashes[i], a, b - a, int(seed[j].view(np.int64)), f1, f2, data))
+                for c in chosen:
+                    a = c["first"]
+                    rows.append((i, h, a, c["seed"], symbols[a : a + c["n"] + w.window - 1].tobytes()))
                 if len(rows) >= OUT_ROWS:
                     yield out(rows)
                     rows = []
@@ -168,6 +169,10 @@ def _fragment_batches(w: Windows):
     return run
 
 
+#: Rows that a task gathers before it passes them on.
+OUT_ROWS = 20_000
+
+
 @dataclass
 class Block:
     """Fragments of whole seeds, in the order of the corpus. ``text`` has them one after the other."""
@@ -180,20 +185,26 @@ class Block:
 def window_ranks(block: Block, window: int) -> np.ndarray:
     """A number for each place of the text; two places have the same one if the windows that start there are equal.
 
-    Numbers follow the order of the windows as text. Made by doubling: the order by twice as many symbols comes
-    from the order by half of them.
+    Numbers follow the order of the windows as text. The order by longer runs of symbols comes from the order by
+    shorter ones: as many numbers side by side as fit into 62 bits are sorted as one.
     """
     rank = np.unique(block.text, return_inverse=True)[1].astype(np.int64) + 1
     have = 1
     while have < window:
-        step = min(have, window - have)
-        ahead = np.zeros(len(rank), dtype=np.int64)
-        ahead[: len(rank) - step] = rank[step:]
-        key = rank * (int(rank.max()) + 1) + ahead
-        order = np.argsort(key, kind="stable")
+        bits = int(rank.max()).bit_length()
+        key, reach = rank.copy(), have
+        for _ in range(62 // bits - 1):
+            if reach == window:
+                break
+            # The next run may overlap the last, so that exactly the window is covered.
+            start = min(reach, window - have)
+            key = key << bits
+            key[: len(rank) - start] |= rank[start:]
+            reach = start + have
+        order = np.argsort(key)
         new = np.empty(len(rank), dtype=np.int64)
         new[order] = np.cumsum(np.diff(key[order], prepend=-1) != 0)
-        rank, have = new, have + step
+        rank, have = new, reach
     # A place whose window reaches into the next fragment is like no other.
     valid = np.zeros(len(rank) + 1, dtype=np.int64)
     np.add.at(valid, block.starts, 1)
@@ -211,7 +222,8 @@ def _index_batches(w: Windows, dtype: str, repeats: IndexWindows):
     """Collect whole seeds into blocks and mark the windows that an earlier fragment has too."""
 
     def answer(rows: list[tuple]) -> pa.RecordBatch:
-        rows.sort(key=lambda r: r[:3])
+        # Repeated rows of the corpus bring a fragment twice.
+        rows = [r for _, r in sorted({r[:3]: r for r in rows}.items())]
         parts = [np.frombuffer(r[4], dtype=dtype) for r in rows]
         lengths = np.array([len(p) for p in parts], dtype=np.int64)
         block = Block(
@@ -243,6 +255,25 @@ def _index_batches(w: Windows, dtype: str, repeats: IndexWindows):
     return run
 
 
+def _refined_batches(w: Windows, dtype: str):
+    """Fragments cut into fragments of longer seeds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, h, first, data in zip(*[batch.column(n).to_pylist() for n in ("_id", "_h", "first", "symbols")]):
+                symbols = np.frombuffer(data, dtype=dtype)
+                for a, b, seed in zip(*seeds_of(symbols, w)[:3]):
+                    rows.append((i, h, first + int(a), int(seed.view(np.int64)), symbols[a : b + w.window - 1].tobytes()))
+            columns = list(zip(*rows)) or [[]] * 5
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["_id", "_h", "first", "seed", "symbols"]
+            )
+
+    return run
+
+
 def _window_batches(w: Windows, dtype: str):
     """Every window of a fragment on its own, by a hash of 128 bits."""
     width = np.dtype(dtype).itemsize
@@ -262,47 +293,53 @@ def _window_batches(w: Windows, dtype: str):
     return run
 
 
+def _by_size(fragments: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Fragments of seeds with 2 to ``most`` fragments, and of those with more. A seed with one has nothing to compare."""
+    sizes = fragments.groupBy("seed").agg(F.count("*").alias("_n")).filter("_n > 1")
+    counted = fragments.join(sizes, "seed")
+    return tuple(counted.filter(c).drop("_n") for c in (F.col("_n") <= most, F.col("_n") > most))  # type: ignore[return-value]
+
+
 def repeated_spans(documents: DataFrame, w: Windows, dtype: str, repeats: IndexWindows) -> DataFrame:
     """``_id, _h, spans``: stretches of symbols covered by windows that start earlier too, per row that has any.
 
     Earlier means: smaller ``_id``, then smaller ``_h``, then an earlier place. ``documents`` is what ``keyed``
     gives. Spans may overlap and come in any order; a row has no more of them than windows.
     """
-    seeds = documents.select("_id", "_h", "_text").mapInArrow(_seed_batches(w), "_id long, _h long, first long, seed long")
-    again = seeds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    chosen = stored(seeds.join(again, "seed").groupBy("_id", "_h").agg(F.collect_set("first").alias("chosen")))
-    fragments = stored(
-        documents.join(chosen, ["_id", "_h"])
-        .select("_id", "_h", "_text", "chosen")
-        .mapInArrow(_fragment_batches(w), FRAGMENT_SCHEMA)
+    seeds = documents.select("_id", "_h", "_text").mapInArrow(_seed_batches(w), SEED_SCHEMA)
+    again = (
+        seeds.groupBy("seed")
+        .agg(F.count("*").alias("_n"), F.min("content").alias("_lo"), F.max("content").alias("_hi"))
+        .filter("_n > 1")
+        .select("seed", (F.col("_lo") != F.col("_hi")).alias("mixed"))
     )
+    found = stored(seeds.join(again, "seed"))
     place = F.struct("_id", "_h", "first")
     distinct = stored(
-        fragments.groupBy("seed", "f1", "f2").agg(
-            F.min(place).alias("at"), F.count("*").alias("copies"), F.max("symbols").alias("symbols")
-        )
+        found.groupBy("seed", "content", "mixed").agg(F.min(place).alias("at"), F.min("n").alias("n"), F.count("*").alias("copies"))
     )
-    copied = distinct.filter("copies > 1").select("f1", "f2", "at")
     whole = (
-        fragments.select("_id", "_h", "first", "n", "f1", "f2")
-        .join(copied, ["f1", "f2"])
+        found.join(distinct.filter("copies > 1").select("seed", "content", "at"), ["seed", "content"])
         .filter(place != F.col("at"))
         .select("_id", "_h", F.col("first").alias("start"), (F.col("first") + F.col("n") + w.window - 1).alias("end"))
     )
-    sizes = distinct.groupBy("seed").agg(F.count("*").alias("fragments")).filter("fragments > 1")
-    mixed_seeds = stored(
-        distinct.join(sizes, "seed").select("seed", "at._id", "at._h", "at.first", "symbols", "fragments")
-    )
+    mixed_first = distinct.filter("mixed")
+    chosen = mixed_first.groupBy("at._id", "at._h").agg(F.collect_list(F.struct("at.first", "n", "seed")).alias("chosen"))
+    one_row = documents.select("_id", "_h", "_text").join(chosen, ["_id", "_h"])
+    symbols = stored(one_row.mapInArrow(_fragment_batches(w), FRAGMENT_SCHEMA))
+    few, many = _by_size(symbols, w.max_fragments)
+    finer = stored(many.mapInArrow(_refined_batches(replace(w, gram=2 * w.gram), dtype), FRAGMENT_SCHEMA))
+    few_finer, many_finer = _by_size(finer, w.max_fragments)
     edges = (
-        mixed_seeds.filter(F.col("fragments") <= w.max_fragments)
+        few.unionByName(few_finer)
         .repartition("seed")
         .sortWithinPartitions("seed")
         .mapInArrow(_index_batches(w, dtype, repeats), "_id long, _h long, start long, end long")
     )
     single = stored(
-        mixed_seeds.filter(F.col("fragments") > w.max_fragments)
-        .repartition("_id", "first")
-        .mapInArrow(_window_batches(w, dtype), "_id long, _h long, first long, f1 long, f2 long")
+        many_finer.repartition("_id", "first").mapInArrow(
+            _window_batches(w, dtype), "_id long, _h long, first long, f1 long, f2 long"
+        )
     )
     earliest = single.groupBy("f1", "f2").agg(F.min(place).alias("at"), F.count("*").alias("n")).filter("n > 1")
     crowded = (

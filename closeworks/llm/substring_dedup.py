@@ -45,7 +45,7 @@ def word_symbols(text: str) -> np.ndarray:
 
 def earliest_places(ranks: np.ndarray) -> np.ndarray:
     """For each place the earliest place with the same window."""
-    places = np.argsort(ranks, kind="stable")
+    places = np.argsort(ranks * len(ranks) + np.arange(len(ranks)))
     new = np.diff(ranks[places], prepend=-1) != 0
     heads = places[np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))]
     out = np.empty(len(ranks), dtype=np.int64)

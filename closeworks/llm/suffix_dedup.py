@@ -50,7 +50,7 @@ def build_index(ranks: np.ndarray) -> tuple[RunIndex, np.ndarray]:
     Equal windows stand in the order of their places, so the first row of a group is its earliest occurrence.
     """
     n = len(ranks)
-    places = np.argsort(ranks, kind="stable")
+    places = np.argsort(ranks * n + np.arange(n))
     row_of = np.empty(n, dtype=np.int64)
     row_of[places] = np.arange(n)
     steps = row_of[places - 1]  # the first place steps to the last
