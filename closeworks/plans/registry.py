@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closeworks.config import bu_dim
-from closeworks.functions.exprs import account_category, prior_period
+from closeworks.functions.exprs import account_category, closing_period, phase_deadline, prior_period
 from closeworks.operators import controls, fx, ledger, metrics, publish, quality, tasklog
 from closeworks.plans import views
 from closeworks.plans.close import Close, RawTables
@@ -137,6 +137,23 @@ def q_bu_currency(t: Tables) -> DataFrame:
     return looked_up.groupBy("bu_code", "bu_currency", "bu_exists").agg(F.count("*").alias("records"))
 
 
+def q_closing_period(t: Tables) -> DataFrame:
+    """Status rows per day they started and period that is closed on that day."""
+    days = t.source.closure_status().groupBy(F.col("started_at").cast("date").alias("day")).agg(F.count("*").alias("records"))
+    return days.select("day", closing_period("day").alias("closing_period"), "records")
+
+
+def q_phase_deadline(t: Tables) -> DataFrame:
+    deadline = phase_deadline("started_at", "current_phase", CONFIG.phase_sla_hours)
+    return t.source.closure_status().select("closure_id", "current_phase", "started_at", deadline.alias("deadline"))
+
+
+def q_final_published(t: Tables) -> DataFrame:
+    """The close of one period, with the prior period from results that are published already."""
+    published = t.close.final_results.filter(F.col("closure_period") < PERIOD)
+    return Close(t.raw, PERIOD, PERIOD, CONFIG, FX_ORDER, published_final=published).final_results
+
+
 # --- rates ---------------------------------------------------------------------
 
 
@@ -146,6 +163,13 @@ def q_fx_variance(t: Tables) -> DataFrame:
     )
 
 
+def q_fx_variance_by_load(t: Tables) -> DataFrame:
+    """Prior rates in the order of a landed file: day, load time, load id as text."""
+    return fx.fx_variance(t.raw.exchange_rates, fx.RATE_ORDER).select(
+        "event_id", "currency", "rate_date", "rate", "prior_rate", "variance_from_prior"
+    )
+
+
 def q_fx_outliers(t: Tables) -> DataFrame:
     return fx.fx_outliers(fx.fx_variance(t.raw.exchange_rates, FX_ORDER)).select(
         "event_id", "currency", "rate_date", "rate", "prior_rate", "variance_from_prior"
@@ -393,8 +417,11 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "missing_fx": q_missing_fx,
     "account_category": q_account_category,
     "period_prior": q_period_prior,
+    "closing_period": q_closing_period,
+    "phase_deadline": q_phase_deadline,
     # rates
     "fx_variance": q_fx_variance,
+    "fx_variance_by_load": q_fx_variance_by_load,
     "fx_outliers": q_fx_outliers,
     "fx_processed": lambda t: t.close.exchange_rates,
     "fx_dedup": q_fx_dedup,
@@ -457,6 +484,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "prelim_by_bu": _of_prelim(publish.prelim_by_bu),
     "top_variances": _of_prelim(publish.top_variances, PERIOD, cfg=CONFIG),
     "final_results": lambda t: t.close.final_results,
+    "final_published": q_final_published,
     "final_by_bu": _of_final(publish.final_by_bu),
     "final_listing": _of_final(publish.final_listing),
     "kpi_metrics": lambda t: t.close.kpi_metrics,

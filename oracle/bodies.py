@@ -213,6 +213,20 @@ SELECT period, {shift('period', -1)} AS prior_period, {shift('period', -12)} AS
   COUNT(*) AS records
 FROM ledger_raw GROUP BY period""",
     # --- rates -------------------------------------------------------------------
+    "closing_period": """
+SELECT CAST(started_at AS DATE) AS day, COUNT(*) AS records,
+  strftime(CASE WHEN day(CAST(started_at AS DATE)) < 10
+    THEN CAST(started_at AS DATE) - CAST(day(CAST(started_at AS DATE)) + 5 AS INTEGER) ELSE CAST(started_at AS DATE) END,
+    '%Y-%m') AS closing_period
+FROM closure_status GROUP BY CAST(started_at AS DATE)""",
+    "phase_deadline": """
+SELECT closure_id, current_phase, started_at, started_at + to_hours(
+  CASE current_phase WHEN 1 THEN 24 WHEN 2 THEN 48 WHEN 3 THEN 24 WHEN 4 THEN 24 WHEN 5 THEN 12 END) AS deadline
+FROM closure_status""",
+    "fx_variance_by_load": """
+SELECT event_id, currency, rate_date, rate, prior_rate,
+  CASE WHEN prior_rate IS NULL THEN 0e0 ELSE (rate - prior_rate) / NULLIF(prior_rate, 0) * 1e2 END AS variance_from_prior
+FROM (SELECT *, lag(rate) OVER (PARTITION BY currency ORDER BY rate_date, loaded_at, load_id) AS prior_rate FROM fx_raw) q""",
     "fx_variance": "SELECT event_id, currency, rate_date, rate, prior_rate, variance_from_prior FROM fx_var",
     "fx_outliers": """
 SELECT event_id, currency, rate_date, rate, prior_rate, variance_from_prior FROM fx_var
@@ -489,6 +503,7 @@ SELECT bu_name, account_description, account_category, preliminary_amount, prior
 FROM prelim WHERE closure_period = '{P}' AND ABS(variance_amount) > 10000
 ORDER BY ABS(variance_amount) DESC, bu_code, account_code, account_description LIMIT 20""",
     "final_results": "SELECT * FROM final",
+    "final_published": f"SELECT * FROM final WHERE closure_period = '{P}'",
     "final_by_bu": f"""
 SELECT closure_period, bu_name, account_category, {money('preliminary_amount')} AS preliminary,
   {money('adjustments_amount')} AS adjustments, {money('final_amount')} AS final_amount,

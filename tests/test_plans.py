@@ -65,3 +65,29 @@ def test_scans_read_only_the_columns_they_need(tables):
 def test_period_reports_filter_before_the_shuffle(tables):
     text = plan(BUILDERS["cycle_status"](tables), executed=True)
     assert "TakeOrderedAndProject" in text
+
+
+def test_building_a_query_starts_no_job(spark):
+    """Plans are built from schemas alone; nothing is counted or measured before a query runs."""
+    from closeworks.plans.registry import all_queries
+
+    context = spark.sparkContext
+    context.setJobGroup("building", "plans only")
+    try:
+        for build in all_queries().values():
+            build(spark, "/root/testdata/sf0.01")
+        assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_newest_period_views_read_two_periods(spark):
+    """The period filter stands below every window and shuffle, on the scan of the ledger lines."""
+    from closeworks.plans.registry import all_queries
+
+    df = all_queries()["v_final_segmented"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    windows = [depth(x) for x in plan if "Window [" in x and "final_amount" in x]
+    filters = [depth(x) for x in plan if "Filter" in x and "scalar-subquery" in x and ">=" in x]
+    assert windows and filters and max(filters) > max(windows)
