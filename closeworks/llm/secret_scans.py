@@ -176,23 +176,24 @@ def redact_live(documents: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> D
         )
         .dropDuplicates(["_id", "_text_hash"])
     )
-    joined = documents.withColumns({"_id": id_of("doc_id"), "_text_hash": F.xxhash64(text_of("text"))}).join(
-        spans, ["_id", "_text_hash"], "left"
-    )
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    names = documents.columns
+    rows = documents.select(
+        id_of("doc_id").alias("_id"), F.xxhash64(text_of("text")).alias("_text_hash"),
+        F.struct(*names).alias("_row"), F.col("text").cast("string").alias("_t"),
+    ).join(spans, ["_id", "_text_hash"], "left")
     masked = F.aggregate(
         "_live",
-        start,
+        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
-            F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]),
-                     F.lit(MASK)).alias("out"),
+            F.concat(acc["out"], F.substring("_t", acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK)).alias("out"),
             s["end"].alias("at"),
         )).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
+        lambda acc: F.concat(acc["out"], F.substring("_t", acc["at"] + 1, F.length("_t"))),
     )
-    new_text = F.when(F.col("_live").isNull(), F.col("text")).otherwise(masked)
-    out = joined.withColumn("text", new_text)
-    if "n_chars" in documents.columns:
-        kept = F.when(F.col("_live").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        out = out.withColumn("n_chars", kept.cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    clean = F.col("_live").isNull()
+    out = rows.withColumn("_new", F.when(clean, F.col("_t")).otherwise(masked))
+    columns = {c: F.col(f"_row.{c}") for c in names} | {"text": F.col("_new")}
+    if "n_chars" in names:
+        counted = F.when(clean, columns["n_chars"]).otherwise(F.length("_new"))
+        columns["n_chars"] = counted.cast(documents.schema["n_chars"].dataType)
+    return out.select(*[columns[c].alias(c) for c in names])

@@ -186,13 +186,15 @@ def judge_urls(
     The rules are the listed keys, the candidate keys of all urls the universe. The longest rule that fits
     gives the verdict; of two of one length the one that comes first as text. A url that no rule fits gets
     ``default``. A url that is null or has no ``://`` has an empty host and path and fits no rule, as no rule has
-    an empty host. Repeated rows stay; ids may be null; other columns are not looked at.
+    an empty host. Without rules all get ``default``. Repeated rows stay; ids may be null; other columns are not looked at.
     """
     if any(not r.host for r in rules):
         raise ValueError("a rule needs a host")
     spark = pages.sparkSession
     url = F.col(url_col).cast("string")
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    if not rules:
+        return rows.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     lengths = sorted({len(r.path) for r in rules})
     keyed = rows.withColumn("_keys", candidate_keys(F.col("host"), F.col("path"), lengths))
     listed = spark.createDataFrame([(r.key,) for r in rules], "key string")
