@@ -10,7 +10,8 @@ Distance is 1 - Jaccard similarity; documents link at a distance of at most 1/4.
    are its core: they are linked through it and need no comparison with each other. By the triangle inequality, a
    core member can only link with members up to 1/2 from the pivot, so the core goes on only beside such boundary
    members, and the boundary is replicated: once into the near region with the core, once into the far one
-   with all that lies outside. A region that is small is finished pair by pair.
+   with all that lies outside. A few more members are compared with all others in the same round and leave the region
+   with the pivot. A region that is small is finished pair by pair.
 3. Links become components; sets that shrink out of all regions are done.
 """
 
@@ -33,8 +34,12 @@ from closeworks.llm.seeds import gram_hashes
 
 SHINGLE = 5
 KNOWN_WORDS = 300_000
-#: Regions with no more members are finished pair by pair.
-LEAF = 8
+#: Sets of no more shingles count with all of them.
+SMALL = 128
+#: Pivots of a region in one round, after the first.
+PIVOTS = 8
+#: Regions with no more members are finished pair by pair, after the first round.
+LEAF = 64
 
 
 class WordHashes(dict):
@@ -61,7 +66,7 @@ def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
 
 def share_used(n: float) -> float:
     """Share of the hash range in which a set of ``n`` shingles counts; a little over a quarter, all for small sets."""
-    return min(1.0, 0.33 + 1.0 / math.sqrt(n)) if n > 0 else 1.0
+    return 1.0 if n <= SMALL else min(1.0, 0.28 + 1.2 / math.sqrt(n))
 
 
 def _bound(share: float) -> int:
@@ -161,34 +166,40 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _still_open(rows: DataFrame, sets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Rows (region, node, shingle, own) of sets that may link outside their component.
+def _still_open(rows: DataFrame, sets: DataFrame, passes: int) -> DataFrame:
+    """Rows (region, node, label, shingle, own) of sets that may link outside their component.
 
     A shingle that only one component holds tells its sets from all others. A set with more than a quarter of its
-    shingles of that kind has no link left to find. Each pass may free shingles for the next; three are made.
+    shingles of that kind has no link left to find. Linked sets differ in at most a seventh of their sizes together, so
+    a set also leaves a region in which nobody has enough slack, a seventh of the size less the shingles
+    of that kind, to make up for its own. Each pass may free shingles for the next.
     """
-    if labels is not None:
-        rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
-        rows = rows.withColumn("label", F.col("node"))
-    for _ in range(3 if labels is None else 1):
-        shared = rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-        rows = rows.join(shared.select("region"), "region")
+    columns = ["region", "node", "label", "shingle", "own"]
+
+    def within(rows: DataFrame) -> DataFrame:
+        slack = F.max("slack") if "slack" in rows.columns else F.lit(0.0)
+        region = rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), slack.alias("best"))
+        rows = rows.join(region.filter("lo != hi").drop("lo", "hi"), "region")
+        return rows.filter(F.col("slack") + F.col("best") >= -1e-9) if "slack" in rows.columns else rows
+
+    for _ in range(passes):
+        rows = within(rows)
         seen = rows.filter("own").groupBy("node").agg(F.count_distinct("shingle").alias("seen"))
+        alone = F.col("counted") - F.coalesce("seen", F.lit(0))
         open_sets = (
             sets.join(seen, "node", "left")
-            .filter(F.col("counted") - F.coalesce("seen", F.lit(0)) <= F.floor(F.col("n") / 4))
-            .select("node")
+            .filter(alone <= F.floor(F.col("n") / 4))
+            .select("node", (F.col("n") / 7 - alone).alias("slack"))
         )
-        rows = stored(rows.join(open_sets, "node").select("region", "node", "shingle", "own", "label"))
-    return rows.drop("label")
+        rows = stored(rows.select(*columns).join(open_sets, "node"))
+    return stored(within(rows).select(*columns))
 
 
 def _next_regions(rows: DataFrame, pivots: DataFrame, near: DataFrame) -> DataFrame:
     """Split each region around its pivot; see step 2 of the module."""
     placed = (
         rows.join(pivots, "region")
-        .filter("node != pivot")
+        .filter(~F.array_contains("all", F.col("node")))  # pivots have met all members: done
         .join(near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d", "linked"), ["node", "pivot"])
     )
     rim = placed.filter("not linked").groupBy("region").agg(F.min("d").alias("rim"))
@@ -201,40 +212,51 @@ def _next_regions(rows: DataFrame, pivots: DataFrame, near: DataFrame) -> DataFr
     ).otherwise(
         F.when(F.col("d") <= 0.5 + slack, F.array(tag("near"), tag("far"))).otherwise(F.array(tag("far")))
     )
-    return placed.select(F.explode(side).alias("region"), "node", "shingle", "own")
+    return placed.select(F.explode(side).alias("region"), "node", "label", "shingle", "own")
 
 
 def link_sets(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
     """Links ``a, b`` between sets that connect all that are connected.
 
-    ``rows``: (region, node, shingle, own); ``sets``: (node, n, counted); ``whole``: (node, shingles).
+    ``rows``: (region, node, label, shingle, own); ``sets``: (node, n, counted); ``whole``: (node, shingles).
     """
     links = stored(rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
     turn = 0
     while not rows.isEmpty():
-        sizes = rows.groupBy("region").agg(
-            F.count("*").alias("members"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node")).alias("p")
+        # Up to PIVOTS members of each region, of different hash classes; the first splits the region. One is
+        # enough for the first round, which finds most links.
+        order = F.xxhash64("node", F.lit(turn))
+        heads = rows.groupBy("region", F.pmod(order, F.lit(PIVOTS if turn else 1)).alias("slot")).agg(
+            F.count("*").alias("members"), F.min(F.struct(order, "node")).alias("p")
         )
-        pivots = sizes.select("region", F.col("p.node").alias("pivot"), (F.col("members") <= LEAF).alias("leaf"))
-        pivots = stored(pivots.withColumn("leaf", F.col("leaf") & F.lit(turn > 0)))
-        star = rows.join(pivots, "region").filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        leaves = (
-            rows.join(pivots.filter("leaf").select("region"), "region")
-            .groupBy("region").agg(F.sort_array(F.collect_list("node")).alias("of"))
-            .select("of").distinct()
-            .select("of", F.explode("of").alias("a"))
-            .select("a", F.explode("of").alias("b"))
-            .filter("a > b")
-        )
-        pairs = star.unionByName(leaves).distinct()
-        near = stored(_measured(pairs, whole))
+        pivots = stored(
+            heads.groupBy("region")
+            .agg(F.sum("members").alias("members"), F.sort_array(F.collect_list("p.node")).alias("all"), F.min("p").alias("p"))
+            .select("region", "all", F.col("p.node").alias("pivot"), (F.lit(turn > 0) & (F.col("members") <= LEAF)).alias("leaf"))
+        )
+        split = pivots.filter("not leaf").select("region", "pivot", "all")
+        pairs = (
+            rows.join(split, "region").select(F.col("node").alias("a"), F.explode("all").alias("b")).filter("a != b")
+        )
+        if turn:
+            members = (
+                rows.join(pivots.filter("leaf").select("region"), "region")
+                .groupBy("region").agg(F.sort_array(F.collect_set(F.struct("node", "label"))).alias("of"))
+                .select("of").distinct()
+            )
+            leaves = (
+                members.select("of", F.explode("of").alias("x"))
+                .select("x", F.explode(F.filter("of", lambda y: (y["node"] < F.col("x.node")) & (y["label"] != F.col("x.label")))).alias("y"))
+                .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+            )
+            pairs = pairs.unionByName(leaves)
+        near = stored(_measured(pairs.distinct(), whole))
         links = stored(links.unionByName(near.filter("linked").select("a", "b")))
-        rows = _next_regions(rows, pivots.filter("not leaf").select("region", "pivot"), near)
-        rows = stored(rows)
+        labels = components(links).withColumnRenamed("component", "label")
+        rows = _next_regions(rows, split, near).drop("label").join(labels, "node", "left")
+        rows = rows.withColumn("label", F.coalesce("label", "node"))
+        rows = _still_open(rows.select("region", "node", "label", "shingle", "own"), sets, 1)
         turn += 1
-        if not rows.isEmpty():
-            labels = components(links).select("node", F.col("component").alias("label"))
-            rows = _still_open(rows, sets, labels)
     return links
 
 
@@ -254,10 +276,15 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     )
     sent = rows.mapInArrow(_shingle_batches, "k1 long, k2 long, shingle long, own boolean")
     # Shingles of one set only are most of all rows; they go here, by the first half of the set's key.
-    shared = sent.groupBy("shingle").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("shingle")
+    # Stored, so that the shuffle is freed before the next one and a hot shingle can be split in the join.
+    shared = stored(
+        sent.groupBy("shingle").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("shingle")
+    )
     found = stored(sent.join(shared, "shingle").groupBy("k1", "k2", "shingle").agg(F.max("own").alias("own")))
-    regions = found.join(sets, ["k1", "k2"]).select(F.col("shingle").alias("region"), "node", "shingle", "own")
-    open_rows = _still_open(regions, sets.select("node", "n", "counted"), None)
+    regions = found.join(sets, ["k1", "k2"]).select(
+        F.col("shingle").alias("region"), "node", F.col("node").alias("label"), "shingle", "own"
+    )
+    open_rows = _still_open(regions, sets.select("node", "n", "counted"), 2)
     nodes = open_rows.select("node").distinct()
     texts = rows.join(nodes, rows["_id"] == nodes["node"]).select("node", "_text")
     whole = stored(texts.mapInArrow(_set_batches, "node long, shingles array<long>"))
