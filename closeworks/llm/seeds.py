@@ -307,7 +307,8 @@ def repeated_spans(documents: DataFrame, w: Windows, dtype: str, repeats: IndexW
     gives. Spans may overlap and come in any order; a row has no more of them than windows.
     """
     seeds = documents.select("_id", "_h", "_text").mapInArrow(_seed_batches(w), SEED_SCHEMA)
-    again = (
+    # Stored, so that its shuffle is freed before the next one and a hot seed can be split in the join.
+    again = stored(
         seeds.groupBy("seed")
         .agg(F.count("*").alias("_n"), F.min("content").alias("_lo"), F.max("content").alias("_hi"))
         .filter("_n > 1")
