@@ -167,7 +167,7 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _still_open(rows: DataFrame, sets: DataFrame, passes: int) -> DataFrame:
-    """Rows (region, node, label, shingle, own) of sets that may link outside their component.
+    """Rows (region, node, label, shingle, own, slack) of sets that may link outside their component.
 
     A shingle that only one component holds tells its sets from all others. A set with more than a quarter of its
     shingles of that kind has no link left to find. Linked sets differ in at most a seventh of their sizes together, so
@@ -192,7 +192,7 @@ def _still_open(rows: DataFrame, sets: DataFrame, passes: int) -> DataFrame:
             .select("node", (F.col("n") / 7 - alone).alias("slack"))
         )
         rows = stored(rows.select(*columns).join(open_sets, "node"))
-    return stored(within(rows).select(*columns))
+    return stored(within(rows).select(*columns, "slack"))
 
 
 def _next_regions(rows: DataFrame, pivots: DataFrame, near: DataFrame) -> DataFrame:
@@ -212,22 +212,24 @@ def _next_regions(rows: DataFrame, pivots: DataFrame, near: DataFrame) -> DataFr
     ).otherwise(
         F.when(F.col("d") <= 0.5 + slack, F.array(tag("near"), tag("far"))).otherwise(F.array(tag("far")))
     )
-    return placed.select(F.explode(side).alias("region"), "node", "label", "shingle", "own")
+    return placed.select(F.explode(side).alias("region"), "node", "label", "shingle", "own", "slack")
 
 
 def link_sets(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
     """Links ``a, b`` between sets that connect all that are connected.
 
-    ``rows``: (region, node, label, shingle, own); ``sets``: (node, n, counted); ``whole``: (node, shingles).
+    ``rows``: (region, node, label, shingle, own, slack); ``sets``: (node, n, counted); ``whole``: (node, shingles).
     """
     links = stored(rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
     turn = 0
     while not rows.isEmpty():
         # Up to PIVOTS members of each region, of different hash classes; the first splits the region. One is
-        # enough for the first round, which finds most links.
-        order = F.xxhash64("node", F.lit(turn))
-        heads = rows.groupBy("region", F.pmod(order, F.lit(PIVOTS if turn else 1)).alias("slot")).agg(
-            F.count("*").alias("members"), F.min(F.struct(order, "node")).alias("p")
+        # enough for the first round, which finds most links. Of each class the set with the most slack is taken: it has
+        # the fewest shingles of its own, as the original of many near copies that link only through it.
+        hashed = F.xxhash64("node", F.lit(turn))
+        order = F.struct((-F.col("slack")).alias("s"), hashed.alias("h"))
+        heads = rows.groupBy("region", F.pmod(hashed, F.lit(PIVOTS if turn else 1)).alias("slot")).agg(
+            F.count("*").alias("members"), F.min(F.struct(order.alias("o"), "node")).alias("p")
         )
         pivots = stored(
             heads.groupBy("region")
@@ -255,7 +257,7 @@ def link_sets(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
         labels = components(links).withColumnRenamed("component", "label")
         rows = _next_regions(rows, split, near).drop("label").join(labels, "node", "left")
         rows = rows.withColumn("label", F.coalesce("label", "node"))
-        rows = _still_open(rows.select("region", "node", "label", "shingle", "own"), sets, 1)
+        rows = _still_open(rows.select("region", "node", "label", "shingle", "own", "slack"), sets, 1)
         turn += 1
     return links
 
