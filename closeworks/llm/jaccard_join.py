@@ -37,9 +37,9 @@ KNOWN_WORDS = 300_000
 #: Sets of no more shingles count with all of them.
 SMALL = 128
 #: Pivots of a region in one round, after the first.
-PIVOTS = 8
+PIVOTS = 16
 #: Regions with no more members are finished pair by pair, after the first round.
-LEAF = 64
+LEAF = 128
 
 
 class WordHashes(dict):
