@@ -11,15 +11,15 @@ from closeworks.llm.common import stored, table
 from closeworks.llm.decontamination import drop_leaked
 from closeworks.llm.jaccard_join import keep_one
 from closeworks.llm.packing import pack_documents
-from closeworks.llm.quality_rules import clean_documents
+from closeworks.llm.quality_rules import LineLimits, clean_documents
 from closeworks.llm.secret_scans import redact_live
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, without lines that are frequent on their host."""
-    return clean_documents(docs)
+    """Documents that pass the rules, without lines that 10 distinct texts of their host have, however large it is."""
+    return clean_documents(docs, LineLimits(host_share=0.0))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+import corpus_pipeline
 from closeworks.llm import (
     decontamination,
     jaccard_join,
@@ -303,6 +304,21 @@ def test_quality_rules_on_odd_rows(spark):
     assert cleaned[0] == body(0) and 100 not in cleaned and 101 not in cleaned
 
 
+def test_more_data_frees_no_line(spark):
+    """One host at two sizes; the licence lines are on 2 to 5 % of the small one and on 0.4 to 1 % of the large one."""
+    licences = ["All rights reserved.", "Licensed under the terms below."]
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+
+    def cleaned(size):
+        texts = [body(i) for i in range(size)]
+        texts = ["\n".join([x for x, n in zip(licences, (12, 30)) if i < n] + [t]) for i, t in enumerate(texts)]
+        docs = frame(spark, [(i, t, "en", "h", len(t)) for i, t in enumerate(texts)])
+        return {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+
+    for size in (600, 3000):
+        assert cleaned(size) == {i: (body(i), len(body(i))) for i in range(size)}
+
+
 def test_packing_limits():
     rng = np.random.default_rng(5)
     limits = packing.Limits(tokens=64, segments=3, loss_tokens=60, pool=8)
