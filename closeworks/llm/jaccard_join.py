@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closeworks.llm.common import id_of, id_or_null, stored, text_of
+from closeworks.llm.common import NULL_ID, id_of, id_or_null, stored, text_of
 from closeworks.llm.components import components
-from closeworks.llm.seeds import gram_hashes
+from closeworks.llm.seeds import gram_hashes, keyed
 
 SHINGLE = 5
 KNOWN_WORDS = 300_000
@@ -106,8 +106,8 @@ def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             k2.append(b)
             counted.append(p.counted())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), *[pa.array(x, pa.int64()) for x in (n, k1, k2, counted)]],
-            names=["_id", "n", "k1", "k2", "counted"],
+            [batch.column("_id"), batch.column("_h"), *[pa.array(x, pa.int64()) for x in (n, k1, k2, counted)]],
+            names=["_id", "_h", "n", "k1", "k2", "counted"],
         )
 
 
@@ -136,11 +136,15 @@ def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The whole sets of chosen documents."""
+    """The whole sets of chosen documents, of texts that do have the set that they were chosen for."""
     for batch in batches:
-        sets = [shingle_set(t).view(np.int64) for t in batch.column("_text").to_pylist()]
+        keys = list(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist()))
+        profiles = [Profile(shingle_set(t)) for t in batch.column("_text").to_pylist()]
+        same = [p.key == k for p, k in zip(profiles, keys)]
+        sets = [p.shingles.view(np.int64) for p, ok in zip(profiles, same) if ok]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
+            [batch.column("node").filter(pa.array(same, pa.bool_())), pa.array(sets, pa.list_(pa.int64()))],
+            names=["node", "shingles"],
         )
 
 
@@ -262,19 +266,19 @@ def link_sets(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
     return links
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id``, one row per row of ``documents``.
+def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id, _h, n, first``, one row per row of ``documents``, known by id and hash of the text.
 
-    Sets with equal shingles are one set from the start. A document without words, null texts among them, has no
-    shingle and is its own component. Rows that share an id are one document as far as links go; a null id
-    stays null and counts as the smallest id. Other columns are not looked at.
+    ``first`` is the smallest row of the component: (without an id, id, hash of the text), so that ids come before nulls.
     """
-    rows = documents.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    base = stored(rows.mapInArrow(_profile_batches, "_id long, n long, k1 long, k2 long, counted long"))
+    rows = keyed(documents, id_col, text_col)
+    base = stored(rows.mapInArrow(_profile_batches, "_id long, _h long, n long, k1 long, k2 long, counted long"))
+    own = F.struct((F.col("_id") == NULL_ID).alias("no_id"), "_id", "_h")
+    # Sets are numbered, as ids of documents may be null or repeat. The numbers are stored before they are used.
     sets = stored(
         base.filter("n > 0").groupBy("k1", "k2").agg(
-            F.min("_id").alias("node"), F.max("n").alias("n"), F.max("counted").alias("counted")
-        )
+            F.min(own).alias("first"), F.max("n").alias("n"), F.max("counted").alias("counted")
+        ).withColumn("node", F.monotonically_increasing_id())
     )
     sent = rows.mapInArrow(_shingle_batches, "k1 long, k2 long, shingle long, own boolean")
     # Shingles of one set only are most of all rows; they go here, by the first half of the set's key.
@@ -287,25 +291,41 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         F.col("shingle").alias("region"), "node", F.col("node").alias("label"), "shingle", "own"
     )
     open_rows = _still_open(regions, sets.select("node", "n", "counted"), 2)
-    nodes = open_rows.select("node").distinct()
-    texts = rows.join(nodes, rows["_id"] == nodes["node"]).select("node", "_text")
+    nodes = open_rows.select("node").distinct().join(sets, "node").select("node", "k1", "k2", "first._id", "first._h")
+    # A row may be there many times; one text of each set is enough.
+    texts = rows.join(nodes, ["_id", "_h"]).select("node", "k1", "k2", "_text").distinct()
     whole = stored(texts.mapInArrow(_set_batches, "node long, shingles array<long>"))
     links = link_sets(open_rows, sets.select("node", "n", "counted"), whole)
-    found_components = components(
-        links.unionByName(
-            base.filter("n > 0").join(sets.select("k1", "k2", "node"), ["k1", "k2"])
-            .select(F.col("_id").alias("a"), F.col("node").alias("b"))
-        )
-    )
-    out = base.select("_id", "n").join(found_components, base["_id"] == found_components["node"], "left")
-    return out.withColumn("_c", F.coalesce("component", "_id")).select(
-        id_or_null().alias("doc_id"), F.col("n").alias("n_shingles"), id_or_null("_c").alias("component_id")
+    labelled = sets.join(components(links), "node", "left").select(
+        "k1", "k2", "first", F.coalesce("component", "node").alias("_c")
+    )
+    least = labelled.groupBy("_c").agg(F.min("first").alias("first"))
+    of_set = stored(labelled.drop("first").join(least, "_c").select("k1", "k2", "first"))
+    linked = base.filter("n > 0").join(of_set, ["k1", "k2"]).select("_id", "_h", "n", "first")
+    return linked.unionByName(base.filter("n = 0").select("_id", "_h", "n", own.alias("first")))
+
+
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id``, one row per row of ``documents``.
+
+    Sets with equal shingles are one set from the start. A document without words, null texts among them, has no
+    shingle and is its own component. Rows are known by id and text: different texts with one id, or without an id,
+    link by their texts only. ``component_id`` is the smallest id of the component, null if no row in it has
+    one. Other columns are not looked at.
+    """
+    return _linked_rows(documents, id_col, text_col).select(
+        id_or_null().alias("doc_id"), F.col("n").alias("n_shingles"), id_or_null("first._id").alias("component_id")
     )
 
 
 def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each component the row with its smallest id; the columns of ``documents``. Of rows that share that id one stays."""
-    found = near_duplicates(documents.select(id_col, text_col), id_col, text_col)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_of("doc_id").alias("_id")).distinct()
-    boxed = documents.select(id_of(id_col).alias("_id"), F.struct(*documents.columns).alias("_row"))
-    return boxed.join(first, "_id", "left_semi").dropDuplicates(["_id"]).select("_row.*")
+    """Of each component the row with its smallest id, or without any id the smallest hash; the columns of ``documents``.
+
+    Of rows that share both id and text one stays.
+    """
+    found = _linked_rows(documents.select(id_col, text_col), id_col, text_col)
+    first = found.filter((F.col("_id") == F.col("first._id")) & (F.col("_h") == F.col("first._h"))).select("_id", "_h")
+    boxed = documents.select(
+        id_of(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_h"), F.struct(*documents.columns).alias("_row")
+    )
+    return boxed.join(first.distinct(), ["_id", "_h"], "left_semi").dropDuplicates(["_id", "_h"]).select("_row.*")

@@ -161,6 +161,28 @@ def test_keep_one(spark, corpus):
     assert sorted(kept["doc_id"].fillna(-1)) == sorted(set(full["component_id"].fillna(-1)))
 
 
+def test_null_and_repeated_ids_are_rows_of_their_own(spark):
+    """Unrelated rows without an id or with one id stay, and link nothing but what is near to their texts."""
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(500)]
+    texts = [" ".join(words(rng, 60, vocabulary)) for _ in range(9)]
+    near = lambda k: texts[k] + " end"
+    rows = [(None, texts[0]), (None, texts[1]), (5, near(0)), (9, near(1)), (None, texts[2]), (None, texts[2] + " more")]
+    rows += [(7, texts[3]), (7, texts[4]), (7, texts[3]), (20, near(3)), (21, near(4)), (None, texts[5]), (None, texts[5])]
+    rows += [(7, texts[6]), (3, near(6)), (8, texts[7]), (8, near(7)), (None, ""), (11, ""), (None, near(8))]
+    nodes = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    plain = plain_components([(i, t) for i, (_, t) in enumerate(nodes)])
+    of = {node: plain[i] for i, node in enumerate(nodes)}  # (shingles, first node)
+
+    docs = frame(spark, [(i, t, "en", "h", 0) for i, t in rows])
+    out = jaccard_join.near_duplicates(docs).collect()
+    expected = Counter((r[0], of[r][0], nodes[of[r][1]][0]) for r in rows)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == expected
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect()]
+    assert sorted(of[r][1] for r in kept) == sorted({root for _, root in of.values()})
+    assert all(r[0] == nodes[of[r][1]][0] for r in kept)
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (95, 100), (7, 7)]
     found = {(r.node, r.component) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
