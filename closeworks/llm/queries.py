@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.llm.common import table
 from closeworks.llm.decontamination import find_leaks
+from closeworks.llm.importance_sampling import resample
 from closeworks.llm.jaccard_join import near_duplicates
 from closeworks.llm.language_id import identify_languages
 from closeworks.llm.packing import pack_documents
@@ -17,7 +18,9 @@ from closeworks.llm.quality_rules import apply_rules
 from closeworks.llm.secret_scans import scan_secrets
 from closeworks.llm.substring_dedup import dedup_words
 from closeworks.llm.suffix_dedup import dedup_bytes
+from closeworks.llm.toxicity import score_toxicity
 from closeworks.llm.url_filters import Rule, judge_urls
+from closeworks.llm.vector_codes import encode_vectors
 
 URL_RULES = (
     Rule("com", "/", "allow"),
@@ -72,6 +75,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_importance_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scans": op2_secret_scans,
@@ -83,4 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_toxicity": op11_toxicity,
+    "op12_importance_sampling": op12_importance_sampling,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -127,3 +127,79 @@ least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, CAST(least(d.doc_id, coalesce(r.b, d.doc_id)) AS BIGINT) AS component_id
 FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least_of r ON r.a = d.doc_id
 """
+
+# DuckDB has no crc32: its table follows from the polynomial, and a word's bytes are folded over it.
+SQL["op12_importance_sampling"] = r"""
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+both_tables AS (
+  SELECT true AS doc, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark),
+words AS (
+  SELECT doc, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM both_tables),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(h) // 2),
+                lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+                lambda c, b: xor(t[CAST(xor(c, b) % 256 AS BIGINT) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w, hex(encode(w)) AS h FROM words), crc),
+counts AS (
+  SELECT b AS bucket, count(*) FILTER (WHERE doc) AS s, count(*) FILTER (WHERE NOT doc) AS t
+  FROM range(10000) r(b) LEFT JOIN (SELECT doc, bucket FROM words JOIN hashed USING (w)) x ON x.bucket = b GROUP BY b),
+totals AS (SELECT CAST(sum(s) AS DOUBLE) + 10000 AS all_s, CAST(sum(t) AS DOUBLE) + 10000 AS all_t FROM counts),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * all_s / ((CAST(s AS DOUBLE) + 1) * all_t))) AS BIGINT) AS gain
+  FROM counts, totals),
+weights AS (
+  SELECT id, count(*) AS n, sum(gain) AS weight FROM words JOIN hashed USING (w) JOIN gains USING (bucket) WHERE doc GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+         / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights ON id = doc_id),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN place <= 10 * able // 100 THEN place END AS rank
+FROM scored s LEFT JOIN ranked r ON r.doc_id = s.doc_id
+"""
+
+# One round after the other, every part against every entry. Whole numbers below 2^53 are exact as doubles.
+_ROUND = r"""
+near{n} AS MATERIALIZED (
+  SELECT vec_id, p, arg_min(e, (d, e)) AS e, min(d) AS d
+  FROM (SELECT x.vec_id, x.p, b.e, list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, b.v) + list_dot_product(b.v, b.v) AS d
+        FROM parts x JOIN book{n} b ON b.p = x.p) GROUP BY vec_id, p)"""
+_BOOK = r"""
+means{n} AS (
+  SELECT p, e, list(m ORDER BY i) AS v
+  FROM (SELECT p, e, i, floor(sum(c) / count(*)) AS m
+        FROM (SELECT x.p, a.e, unnest(x.v) AS c, unnest(range(len(x.v))) AS i FROM parts x JOIN near{n} a ON a.vec_id = x.vec_id AND a.p = x.p)
+        GROUP BY p, e, i) GROUP BY p, e),
+book{m} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{n} b LEFT JOIN means{n} m ON m.p = b.p AND m.e = b.e)"""
+
+SQL["op13_vector_codes"] = (
+    r"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS v FROM kept, range(4) r(p)),
+book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)),"""
+    + ",".join(f"{_ROUND.format(n=n)},{_BOOK.format(n=n, m=n + 1)}" for n in range(4))
+    + ","
+    + _ROUND.format(n=4)
+    + r""",
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near4 GROUP BY vec_id),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, e)) AS h FROM book4)
+SELECT c.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded c JOIN kept k ON k.vec_id = c.vec_id, digest
+"""
+)
