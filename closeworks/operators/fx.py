@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,12 +9,14 @@ from pyspark.sql import functions as F
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig
 from closeworks.functions.exprs import RATE, falsy_null, in_period, mean
+from closeworks.functions.ranks import place, sampled_keys
 
 # Load order of rates. The last entries only break ties inside one day.
 RATE_ORDER = ("rate_date", "loaded_at", "load_id")
 
-# Slices that the rates of all currencies are cut into; see ``with_prior_rate``.
-SLICES = 1024
+# Rates of a slice, about, and the most slices that the rates of all currencies are cut into; see ``with_prior_rate``.
+SLICE_ROWS = 100_000
+MOST_SLICES = 16_384
 
 
 def order_key(columns: Sequence[str]) -> Column:
@@ -23,51 +24,35 @@ def order_key(columns: Sequence[str]) -> Column:
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
-def _place(key: Column, cuts: Column, slices: int) -> Column:
-    """How many of the sorted ``cuts`` are not above the key: first by steps of a row of cuts, then within the row."""
-    row = max(1, math.isqrt(slices))
-    steps = F.filter(cuts, lambda _, i: i % row == 0)
-    before = F.greatest(F.size(F.filter(steps, lambda c: c <= key)) - 1, F.lit(0)) * row
-    return before + F.size(F.filter(F.slice(cuts, before + 1, F.lit(row)), lambda c: c <= key))
-
-
-def with_prior_rate(raw: DataFrame, order: Sequence[str] = RATE_ORDER, slices: int = SLICES) -> DataFrame:
+def with_prior_rate(raw: DataFrame, order: Sequence[str] = RATE_ORDER, slices: int | None = None) -> DataFrame:
     """Add ``prior_rate``: the rate before this one in the same currency.
 
     There are few currencies, and one may hold a third of all rows, so a window
     per currency would put that third into one task. Instead all rows are cut into slices
-    along (currency, order). The cuts are keys of the data: those of the rows with the smallest
-    hashes, which are spread over the ranks whatever the types are and however many
-    rows a currency or a day has. They are one value, worked out when the query runs.
-    Inside a slice a window gives the prior row. Only the first row of a currency in a slice
-    needs the slices before it, and that is a lookup in a table with the last rate per
-    currency and slice. Rows with equal keys follow each other in the order of their rates.
+    along (currency, order, rate, hash of the row). The cuts are keys of the data, spread evenly
+    over its ranks whatever the types are and however many rows a currency or a day has; their number grows
+    with the rows, up to ``MOST_SLICES``, or is ``slices``. Only rows that are equal in all columns stay together.
+
+    A slice ends with the row it is cut at. Inside of a slice a window gives the prior row, and the first row of a
+    currency in a slice follows the row at the cut before it, whose rate the cut holds, or no row if that one
+    is of another currency. So rates are shuffled and sorted once, and nothing is joined. Rows with equal
+    order follow each other in the order of their rates.
     """
     # No NULL in the currency: rows with an unknown currency form a line too. Unknown days come first.
-    sliced = raw.withColumn("_currency", F.coalesce(F.concat(F.lit("="), "currency"), F.lit("")))
-    key = F.struct("_currency", *order)
-    cuts = (
-        sliced.select(key.alias("key"), F.xxhash64(*sliced.columns).alias("hash"))
-        .orderBy("hash", "key")
-        .limit(slices)
-        .agg(F.sort_array(F.collect_set("key")).alias("cuts"))
-        .scalar()
-    )
-    sliced = sliced.withColumn("_cuts", cuts).withColumn("_slice", _place(key, F.col("_cuts"), slices)).drop("_cuts")
+    line = F.coalesce(F.concat(F.lit("="), "currency"), F.lit(""))
+    sliced = raw.withColumns({"_currency": line, "_hash": F.xxhash64(*raw.columns)})
+    key = F.struct("_currency", *order, F.col("rate").alias("_rate"), "_hash")
+    most = slices or MOST_SLICES
+    sliced = sliced.withColumn("_cuts", sampled_keys(sliced, key, F.col("_hash"), most, None if slices else SLICE_ROWS))
+    sliced = sliced.withColumn("_slice", place(key, F.col("_cuts"), most))
+    cut = F.get(F.col("_cuts"), F.col("_slice") - 1)
+    carried = F.when(cut["_currency"] == F.col("_currency"), cut["_rate"])
+    sliced = sliced.withColumn("_carried", carried).drop("_cuts")
 
     # A struct around the rate tells "no prior row" (NULL) from "prior row without a rate".
-    in_slice = Window.partitionBy("_currency", "_slice").orderBy(*order, "rate")
-    rows = sliced.withColumn("_prior", F.lag(F.struct("rate")).over(in_slice))
-
-    along = Window.partitionBy("_currency").orderBy("_slice")
-    carried = (
-        sliced.groupBy("_currency", "_slice")
-        .agg(F.max_by("rate", F.struct(*order, "rate")).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(along))
-        .select("_currency", "_slice", "_carried")
-    )
+    in_slice = Window.partitionBy("_currency", "_slice").orderBy(*order, "rate", "_hash")
     return (
-        rows.join(carried, ["_currency", "_slice"], "left")
+        sliced.withColumn("_prior", F.lag(F.struct("rate")).over(in_slice))
         .withColumn("prior_rate", F.when(F.col("_prior").isNotNull(), F.col("_prior.rate")).otherwise(F.col("_carried")))
         .select(*raw.columns, "prior_rate")
     )

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from closeworks.functions import ranks
 from closeworks.operators import fx
 from closeworks.sources import tables
 
@@ -108,13 +109,46 @@ def test_a_hot_day_is_split_by_rows(spark):
     )
     plan = fx.with_prior_rate(df, ("rate_date", "loaded_at", "id"), 64)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2 and all("_slice" in w.split("windowspecdefinition")[1] for w in windows)
+    assert len(windows) == 1 and all("_slice" in w.split("windowspecdefinition")[1] for w in windows)
     key = F.struct(F.col("rate_date"), F.col("loaded_at"), F.col("id"))
     cuts = df.filter("id % 64 = 5").agg(F.sort_array(F.collect_set(key)).alias("c")).scalar()
-    sizes = df.withColumn("cuts", cuts).groupBy(fx._place(key, F.col("cuts"), 64).alias("s")).count().collect()
+    sizes = df.withColumn("cuts", cuts).groupBy(ranks.place(key, F.col("cuts"), 64).alias("s")).count().collect()
     assert max(r["count"] for r in sizes) <= 70 and len(sizes) == 64
 
 
+def test_slices_grow_with_the_rates(spark, monkeypatch):
+    """About as many slices as the rows fill, whether all rows are seen or their number is told by the hashes."""
+    df = spark.range(6000).selectExpr("'A' AS currency", "cast(id AS double) AS rate", "id", "xxhash64(id) AS _hash")
+    for n, most in ((200, 500), (2000, 500), (6000, 500), (6000, 40)):
+        rows_ = df.filter(F.col("id") < n)
+        cuts = ranks.sampled_keys(rows_, F.struct("id"), F.col("_hash"), most, 50)
+        found = len(rows_.limit(1).select(cuts.alias("c")).collect()[0].c)
+        assert abs(found - min(n / 50, most)) <= 0.25 * n / 50
+
+
+def test_equal_rates_of_one_load_are_split(spark):
+    """All rates of a currency on one day and in one load; the rows are told apart by their other columns."""
+    df = spark.range(3000).selectExpr("id", "'A' AS currency", "1.5D AS rate", "date'2024-01-01' AS rate_date", "1 AS loaded_at", "1 AS load_id")
+    got = fx.with_prior_rate(df, slices=32)
+    assert sorted((r.prior_rate for r in got.collect()), key=repr) == [1.5] * 2999 + [None]
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    key = F.struct("currency", "rate_date", "_hash")
+    cuts = ranks.sampled_keys(hashed, key, F.col("_hash"), 32)
+    sizes = hashed.withColumn("c", cuts).groupBy(ranks.place(key, F.col("c"), 32).alias("s")).count().collect()
+    assert len(sizes) >= 32 and sum(r["count"] for r in sizes) == 3000
+
+
+def test_rates_are_shuffled_and_sorted_once(spark):
+    from test_plans import nodes
+
+    raw = spark.createDataFrame(raw_rows(*[("EUR", float(i), 1 + i % 28, i % 60, f"l{i}") for i in range(300)]), RAW)
+    df = fx.with_prior_rate(raw)
+    df.collect()
+    found = [n.getClass().getSimpleName() for n in nodes(df)]
+    assert found.count("SortExec") == 1 and found.count("WindowExec") == 1
+    assert not [x for x in found if "Join" in x or x == "SortAggregateExec"]
+
+
 def test_variance_and_validation(frame):
     data = raw_rows(
         ("EUR", 100.0, 1, 0, "a"),
