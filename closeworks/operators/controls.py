@@ -368,13 +368,13 @@ def signoff_requests(ledger: DataFrame, cuts: DataFrame, cfg: CloseConfig = DEFA
     return per_period.unionByName(large)
 
 
-def _pending(period: str | None, approval_type: str) -> Column:
+def pending_condition(period: str | None = None, approval_type: str = "BU_SIGNOFF") -> Column:
     condition = (F.col("approval_type") == approval_type) & (F.col("status") == "PENDING")
     return condition if period is None else condition & (F.col("closure_period") == period)
 
 
 def approvals_pending(approvals: DataFrame, period: str | None = None, approval_type: str = "BU_SIGNOFF") -> DataFrame:
-    return approvals.filter(_pending(period, approval_type)).select(
+    return approvals.filter(pending_condition(period, approval_type)).select(
         "closure_period", "approval_type", "required_approver", "status"
     )
 
@@ -387,7 +387,7 @@ def approve_pending(
     note: str = " - Auto-approved for demo",
 ) -> DataFrame:
     """All approvals, with the pending ones of a type approved at ``at`` and their comment extended."""
-    hit = F.coalesce(_pending(period, approval_type), F.lit(False))
+    hit = F.coalesce(pending_condition(period, approval_type), F.lit(False))
     approved_at = F.col("approved_at") if "approved_at" in approvals.columns else F.lit(None).cast("timestamp")
     return approvals.withColumns(
         {

@@ -10,6 +10,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.config import DEFAULT_CONFIG, CloseConfig
+from closeworks.operators import controls
+from closeworks.sources import files
 from closeworks.sources.tables import audit_rows, stamp
 
 CYCLE_DAYS = 7
@@ -66,3 +68,15 @@ def preliminary_published(spark: SparkSession, period: str, version: int, at: st
 def completed(spark: SparkSession, period: str, at: str) -> DataFrame:
     notes = "Final results published successfully"
     return _row(spark, period, 5, "COMPLETED", at, "phase5_agent", notes, finished=True)
+
+
+def approve_stored(
+    spark: SparkSession, root: str, at: str, period: str | None = None, approval_type: str = "BU_SIGNOFF"
+) -> int:
+    """Approve the pending sign-offs of a type in the stored table; files without one stay as they are.
+
+    Returns how many files were rewritten: none the second time.
+    """
+    hit = controls.pending_condition(period, approval_type)
+    change = lambda rows: controls.approve_pending(rows, at, period, approval_type)
+    return files.update_where(spark, root, "approvals", hit, change, period)

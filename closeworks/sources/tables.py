@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from closeworks import schemas
 from closeworks.config import local_frame
+from closeworks.functions.ranks import with_curve
 
 # --- paths and reading ------------------------------------------------------
 
@@ -246,14 +247,17 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
 def write_clustered(
     df: DataFrame, root: str, name: str, keys: tuple[str, str] | None = None, files: int | None = None
 ) -> None:
-    """Write sorted by two keys, so that min/max statistics let readers skip files and row groups.
+    """Write along a curve through two keys, so that min/max statistics let readers skip on either key alone.
 
-    Rows are spread by range over period and both keys, so a hot first key is split by
-    the second. ``files`` is the number of ranges; by default Spark sizes them.
+    Rows are spread by range over the period and their place on the curve; with F files a filter on one key
+    meets about the root of F of them. A key that is the period itself is left to its folders, and the other one alone
+    orders the rows. ``files`` is the number of ranges; by default Spark sizes them.
     """
     wanted = [schemas.PARTITION_COLUMN] if schemas.is_partitioned(name) else []
-    columns = list(dict.fromkeys([*wanted, *(keys or schemas.CLUSTER_KEYS[name])]))
-    spread = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
-    _writer(spread.sortWithinPartitions(*columns), name, "overwrite", spread=False).option(
+    chosen = [k for k in keys or schemas.CLUSTER_KEYS[name] if k not in wanted]
+    curved = with_curve(df, chosen, "_curve") if len(chosen) > 1 else df.withColumn("_curve", F.lit(0))
+    columns = [*wanted, "_curve", *chosen]
+    spread = curved.repartitionByRange(files, *columns) if files else curved.repartitionByRange(*columns)
+    _writer(spread.sortWithinPartitions(*columns).drop("_curve"), name, "overwrite", spread=False).option(
         "partitionOverwriteMode", "static"
     ).parquet(table_path(root, name))

@@ -154,24 +154,6 @@ def test_stamp_brings_a_frame_to_its_layout(frame):
     assert row.notification_id and row.sent_at is not None and row.acknowledged_at is None and row.phase == 1
 
 
-def test_clustered_write(spark, root):
-    df = tables.stamp(
-        spark.range(2000).selectExpr("concat('C', id % 5) AS currency", "date_add(date'2024-01-01', cast(id % 50 AS int)) AS rate_date", f"'{JAN}' AS closure_period"),
-        "exchange_rates",
-    )
-    tables.write_clustered(df, root, "exchange_rates", files=6)
-    stored = spark.read.parquet(tables.table_path(root, "exchange_rates"))
-    assert stored.count() == 2000
-    ranges = (
-        stored.groupBy(F.input_file_name())
-        .agg(F.min(F.struct("currency", "rate_date")).alias("lo"), F.max(F.struct("currency", "rate_date")).alias("hi"))
-        .orderBy("lo")
-        .collect()
-    )
-    assert len(ranges) > 1
-    assert all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
-
-
 def test_views_can_be_registered(spark, frame):
     tables.register_views({"my_rates": frame("a int", (1,))})
     assert spark.sql("SELECT a FROM my_rates").collect()[0].a == 1
