@@ -56,9 +56,13 @@ def ledger_rules(cfg: CloseConfig = DEFAULT_CONFIG) -> list[tuple[str, Column]]:
 
 
 def process_ledger(
-    raw: DataFrame, rates: DataFrame, period: str | None = None, cfg: CloseConfig = DEFAULT_CONFIG
+    raw: DataFrame,
+    rates: DataFrame,
+    period: str | None = None,
+    cfg: CloseConfig = DEFAULT_CONFIG,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Raw ledger to validated ledger in base currency; a row is valid when no rule holds.
+    """Raw ledger to validated ledger in base currency; a row is valid when no rule holds. ``keep``: further raw columns.
 
     That is the same as an empty issue list, but as a plain condition it needs no array
     and parts of it reach the scan.
@@ -81,6 +85,7 @@ def process_ledger(
         valid.alias("is_validated"),
         issue_list(rules).alias("validation_issues"),
         F.col("period").alias("closure_period"),
+        *keep,
     )
 
 

@@ -100,6 +100,24 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.filter(" AND ".join(f"{k} IS NOT NULL" for k in KEY))
 
 
+# --- balances ---------------------------------------------------------------
+
+#: What a balance is kept for. The currency is a part of it, so that the first one can be named.
+BALANCE = [*KEY, "bu_name", "account_description", "local_currency"]
+
+
+def account_balances(ledger: DataFrame, period: str | None = None, more: tuple[str, ...] = ()) -> DataFrame:
+    """Sums of the valid ledger in whole units, ``_amount``, with the number of lines, per ``BALANCE`` and ``more``.
+
+    Sums of parts can be added up in any order: balances of loads together are those of all their lines.
+    """
+    return (
+        _keyed(valid_rows(ledger, period))
+        .groupBy(*BALANCE, *more)
+        .agg(unit_sum("usd_amount").cast("decimal(38,0)").alias("_amount"), F.count("*").alias("_lines"))
+    )
+
+
 # --- preliminary results ----------------------------------------------------
 
 
@@ -120,10 +138,17 @@ def preliminary_results(
     # minimum of text on the lines themselves would make Spark sort them.
     by_currency = (
         _keyed(valid_rows(ledger, period))
-        .groupBy(*KEY, "bu_name", "account_description", "local_currency")
+        .groupBy(*BALANCE)
         .agg(unit_sum("usd_amount").alias("_amount"))
     )
-    current = by_currency.groupBy(*KEY, "bu_name", "account_description").agg(
+    return preliminary_of_balances(by_currency, published, months_back)
+
+
+def preliminary_of_balances(
+    balances: DataFrame, published: DataFrame | None = None, months_back: int = 1
+) -> DataFrame:
+    """``preliminary_results`` from balances instead of lines; a balance may come in several rows."""
+    current = balances.groupBy(*KEY, "bu_name", "account_description").agg(
         amount_of(F.sum("_amount")).alias("preliminary_amount"), F.min("local_currency").alias("currency")
     )
     if published is None:
@@ -228,15 +253,19 @@ def final_results(
     months_back: int = 1,
     cfg: CloseConfig = DEFAULT_CONFIG,
     approved_by: str = "system",
+    balances: DataFrame | None = None,
 ) -> DataFrame:
     """Ledger plus adjustments per (period, bu, account), with segments, forecast and prior period.
 
     Every side is aggregated to the key first; the joins then see a few rows per
     period, cannot multiply amounts, and all use the same partitioning. ``published``
-    holds earlier final results; without it the prior period comes from this plan.
+    holds earlier final results; without it the prior period comes from this plan. With ``balances``
+    (see ``account_balances``) the lines of the ledger are not read.
     """
     by_description = (
-        valid_rows(ledger, period)
+        in_period(balances, period)
+        if balances is not None
+        else valid_rows(ledger, period)
         .groupBy(*KEY, "bu_name", "account_description")
         .agg(unit_sum("usd_amount").alias("_amount"))
     )

@@ -196,16 +196,23 @@ SCORECARDS = {
 }
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """Rows of each closure period and those among them that are not valid."""
+    return df.groupBy("closure_period").agg(
+        F.count("*").alias("records_checked"), F.count_if(~F.col("is_validated")).alias("records_failed")
+    )
+
+
 def scorecard(df: DataFrame, card: Scorecard) -> DataFrame:
     """One row per closure period: checked, failed, failure rate, result, text."""
+    return scored(counted(df), card)
+
+
+def scored(counts: DataFrame, card: Scorecard) -> DataFrame:
+    """Scorecards of ``closure_period, records_checked, records_failed``, wherever these were counted."""
     rate = F.try_divide(F.col("records_failed"), F.col("records_checked"))
     return (
-        df.groupBy("closure_period")
-        .agg(
-            F.count("*").alias("records_checked"),
-            F.count_if(~F.col("is_validated")).alias("records_failed"),
-        )
-        .withColumn("failure_rate", rate)
+        counts.withColumn("failure_rate", rate)
         .select(
             "closure_period",
             F.lit(card.phase).alias("phase"),

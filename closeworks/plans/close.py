@@ -56,7 +56,8 @@ class Close:
     """Close of one ``period``, or of the whole history when ``period`` is None.
 
     ``fx_period`` stamps the rates. ``published_preliminary`` and ``published_final``
-    are earlier results; with them the close of one period reads only that period.
+    are earlier results; with them the close of one period reads only that period. ``stored_rates`` are
+    processed rates that have been written already; with them raw rates are not processed again to convert amounts.
     """
 
     raw: RawTables
@@ -66,6 +67,7 @@ class Close:
     fx_order: Sequence[str] = fx.RATE_ORDER
     published_preliminary: DataFrame | None = None
     published_final: DataFrame | None = None
+    stored_rates: DataFrame | None = None
 
     @cached_property
     def exchange_rates(self) -> DataFrame:
@@ -73,7 +75,8 @@ class Close:
 
     @cached_property
     def latest_rates(self) -> DataFrame:
-        return fx.latest_rates(self.exchange_rates, self.fx_period, self.fx_order)
+        rates = self.exchange_rates if self.stored_rates is None else self.stored_rates
+        return fx.latest_rates(rates, self.fx_period, self.fx_order)
 
     @cached_property
     def ledger(self) -> DataFrame:

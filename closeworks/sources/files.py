@@ -48,6 +48,11 @@ def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
 def list_files(spark: SparkSession, path: str) -> list[DataFile]:
     """The data files of a table. Spark lists them; none is opened."""
     listed = (

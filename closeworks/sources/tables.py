@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,14 +177,19 @@ def audit_rows(spark: SparkSession, rows: list[dict], name: str) -> DataFrame:
 WRITE_PARTITIONS = 32
 
 
+def _spread(df: DataFrame, name: str) -> DataFrame:
+    """Bring the rows of a period together.
+
+    Without it every task writes a file for every period it meets. The rebalance splits a period that is large and
+    merges those that are small, by the sizes it finds.
+    """
+    return df.hint("rebalance", WRITE_PARTITIONS, schemas.PARTITION_COLUMN) if schemas.is_partitioned(name) else df
+
+
 def _writer(df: DataFrame, name: str, mode: str, partitioned: bool = True, spread: bool = True):
     if not (partitioned and schemas.is_partitioned(name)):
         return df.write.mode(mode)
-    if spread:
-        # Without it every task writes a file for every period it meets. The rebalance brings a period together,
-        # splits one that is large and merges those that are small, by the sizes it finds.
-        df = df.hint("rebalance", WRITE_PARTITIONS, schemas.PARTITION_COLUMN)
-    return df.write.mode(mode).partitionBy(schemas.PARTITION_COLUMN)
+    return (_spread(df, name) if spread else df).write.mode(mode).partitionBy(schemas.PARTITION_COLUMN)
 
 
 def append(df: DataFrame, root: str, name: str) -> None:
@@ -211,6 +216,22 @@ def replace_periods(df: DataFrame, root: str, name: str, period: str | None = No
     _writer(df, name, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(table_path(root, name))
 
 
+def replace_period_counted(df: DataFrame, root: str, name: str, period: str, **counts: Column) -> dict[str, int]:
+    """``replace_periods`` of one period, and aggregates of the rows written, gathered by the tasks that write them.
+
+    ``rows`` is always among them. The aggregates stand behind the last shuffle: a task of that stage counts once, however
+    often it or an earlier stage is run again.
+    """
+    seen = Observation()
+    wanted = _spread(df.filter(F.col(schemas.PARTITION_COLUMN) == period), name)
+    watched = wanted.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()])
+    _writer(watched, name, "overwrite", spread=False).option("partitionOverwriteMode", "dynamic").parquet(table_path(root, name))
+    found = {n: int(v or 0) for n, v in seen.get.items()}
+    if not found["rows"]:
+        _clear_period(df.sparkSession, root, name, period)
+    return found
+
+
 def _clear_period(spark: SparkSession, root: str, name: str, period: str) -> None:
     """Remove the folder of a period, through the file system that the table lies in."""
     jvm = spark.sparkContext._jvm

@@ -44,7 +44,7 @@ def rates(spark, n=6400):
     return tables.stamp(
         spark.range(n).selectExpr(
             "concat('C', lpad(cast(id % 40 AS string), 2, '0')) AS currency",
-            "date_add(date'2024-01-01', cast((id * 7919) % 160 AS int)) AS rate_date",
+            "date_add(date'2024-01-01', cast(id DIV 40 % 160 AS int)) AS rate_date",
             "cast(id AS double) AS rate",
             f"'{JAN}' AS closure_period",
         ),
