@@ -2,17 +2,17 @@
 
 Distance is 1 - Jaccard similarity; documents link at a distance of at most 1/4.
 
-1. Regions. A shingle is a pivot of its own: the sets that hold it are at one distance from it by their size, all
-   others at distance 1. The region of a shingle is the sets that hold it. Linked sets share a shingle in any quarter of
-   either, so shingles with a small hash suffice, and a set leaves the join for good when more than a quarter of
-   its shingles occur in no other component found so far.
-2. Recursion. In each region one set becomes the pivot and its distance to all members is computed. Those within 1/4
-   are its core: they are linked through it and need no comparison with each other. By the triangle inequality, a
-   core member can only link with members up to 1/2 from the pivot, so the core goes on only beside such boundary
-   members, and the boundary is replicated: once into the near region with the core, once into the far one
-   with all that lies outside. A few more members are compared with all others in the same round and leave the region
-   with the pivot. A region that is small is finished pair by pair.
-3. Links become components; sets that shrink out of all regions are done.
+1. Candidates. Linked sets share a shingle in any quarter of either, so shingles with a small hash suffice to bring them
+   together, and a set leaves the join when more than a quarter of its shingles occur in no other set.
+2. Pivots. Of the sets that hold a shingle the one with the fewest shingles of its own is a pivot, as the original of many
+   near copies is. Sets farther than ``COVER`` from every pivot choose among themselves, and what is left then are pivots.
+3. Regions. All distances between sets and pivots that share anything are counted. The nearest pivot of a set is its
+   home. If y links with x, then x is at most 1/4 + d(y, home of y) <= 1/2 + d(x, home of x) from the home of y: so a set
+   is replicated to all pivots in that window, and every link is met in a region where one of both is at home.
+4. Rings. Around its pivot a region is cut into rings a quarter wide; by the triangle inequality only members of
+   neighbouring rings can link. A ring with many members is cut once more, into blocks. Two blocks at a time are joined
+   in a task, exactly; it returns only links that connect what it does not know to be connected yet.
+5. Links become components. Regions whose members are in one component through their pivots are not joined at all.
 """
 
 from __future__ import annotations
@@ -36,10 +36,15 @@ SHINGLE = 5
 KNOWN_WORDS = 300_000
 #: Sets of no more shingles count with all of them.
 SMALL = 128
-#: Pivots of a region in one round, after the first.
-PIVOTS = 16
-#: Regions with no more members are finished pair by pair, after the first round.
-LEAF = 128
+#: Sets are at most so far from their home, or pivots themselves; less than 1/2, so that windows end before distance 1.
+COVER = 0.45
+#: Rounds in which sets without a near pivot choose pivots among themselves.
+PIVOT_ROUNDS = 2
+#: Sets and shingles of a block, about. Two blocks meet in a task.
+BLOCK_SETS = 1024
+BLOCK_SHINGLES = 1 << 20
+#: Columns of the incidence matrix that are multiplied at once.
+COLUMNS = 4096
 
 
 class WordHashes(dict):
@@ -96,8 +101,9 @@ class Profile:
 
 
 def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and key of the set of each text, and what of it is sent: of equal sets of a batch once, the others send NULL."""
     for batch in batches:
-        n, k1, k2, counted = [], [], [], []
+        n, k1, k2, counted, sent, seen = [], [], [], [], [], set()
         for text in batch.column("_text").to_pylist():
             p = Profile(shingle_set(text))
             a, b = p.key
@@ -105,33 +111,12 @@ def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             k1.append(a)
             k2.append(b)
             counted.append(p.counted())
+            sent.append(None if (a, b) in seen or not len(p.shingles) else p.shingles[: p.sent()].view(np.int64))
+            seen.add((a, b))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), batch.column("_h"), *[pa.array(x, pa.int64()) for x in (n, k1, k2, counted)]],
-            names=["_id", "_h", "n", "k1", "k2", "counted"],
-        )
-
-
-def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sent shingles of each distinct set of a batch; ``own`` marks those that count."""
-    for batch in batches:
-        seen, keys, parts, own = set(), [], [], []
-        for text in batch.column("_text").to_pylist():
-            p = Profile(shingle_set(text))
-            key = p.key
-            if not len(p.shingles) or key in seen:
-                continue
-            seen.add(key)
-            sent = p.sent()
-            parts.append(p.shingles[:sent])
-            own.append(np.arange(sent) < p.counted())
-            keys.append((*key, sent))
-        lengths = [k[2] for k in keys]
-        flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
-        columns = [np.repeat(np.array([k[i] for k in keys], dtype=np.int64), lengths) for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0]), pa.array(columns[1]), pa.array(flat.view(np.int64)),
-             pa.array(np.concatenate(own) if own else np.zeros(0, dtype=bool))],
-            names=["k1", "k2", "shingle", "own"],
+            [batch.column("_id"), batch.column("_h"), *[pa.array(x, pa.int64()) for x in (n, k1, k2, counted)],
+             pa.array(sent, pa.list_(pa.int64()))],
+            names=["_id", "_h", "n", "k1", "k2", "counted", "sent"],
         )
 
 
@@ -153,21 +138,11 @@ def _distance(both: Column, a: Column, b: Column) -> Column:
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their distance ``d`` and ``linked``. Whole numbers decide on links."""
+    """``pairs`` (a, b) with their distance ``d``."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    na, nb = F.size("sa"), F.size("sb")
-    both = F.when(F.least(na, nb) * 4 >= F.greatest(na, nb) * 3, F.size(F.array_intersect("sa", "sb"))).otherwise(
-        # Too unlike in size to link. A distance that is too small only keeps more together.
-        F.least(na, nb)
-    )
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .withColumn("_both", both)
-        .select("a", "b", _distance(F.col("_both"), na, nb).alias("d"),
-                (F.col("_both") * 100 >= (na + nb - F.col("_both")) * 75).alias("linked"))
-        .groupBy("a", "b").agg(F.min("d").alias("d"), F.max("linked").alias("linked"))
-    )
+    both = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", _distance(both, F.size("sa"), F.size("sb")).alias("d"))
 
 
 def _still_open(rows: DataFrame, sets: DataFrame, passes: int) -> DataFrame:
@@ -199,71 +174,163 @@ def _still_open(rows: DataFrame, sets: DataFrame, passes: int) -> DataFrame:
     return stored(within(rows).select(*columns, "slack"))
 
 
-def _next_regions(rows: DataFrame, pivots: DataFrame, near: DataFrame) -> DataFrame:
-    """Split each region around its pivot; see step 2 of the module."""
-    placed = (
-        rows.join(pivots, "region")
-        .filter(~F.array_contains("all", F.col("node")))  # pivots have met all members: done
-        .join(near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d", "linked"), ["node", "pivot"])
-    )
-    rim = placed.filter("not linked").groupBy("region").agg(F.min("d").alias("rim"))
-    placed = placed.join(rim, "region")  # regions without a rim are all core: done
-    tag = lambda name: F.xxhash64("region", F.lit(name), "pivot")
+def _pivots(rows: DataFrame, whole: DataFrame) -> DataFrame:
+    """``node`` of the pivots among the sets of ``rows`` (node, shingle, slack); see step 2 of the module."""
+    spark, pivots, left = rows.sparkSession, None, rows
+    order = (F.col("slack") * 1024).cast("long") * (1 << 32) + F.pmod(F.xxhash64("node"), F.lit(1 << 32))
+    for _ in range(PIVOT_ROUNDS):
+        heads = stored(left.groupBy("shingle").agg(F.max_by("node", order).alias("pivot")))
+        chosen = heads.select(F.col("pivot").alias("node")).distinct()
+        pairs = left.join(heads, "shingle").filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        near = _measured(pairs.distinct(), whole).filter(F.col("d") <= COVER).select(F.col("a").alias("node"))
+        pivots = chosen if pivots is None else pivots.unionByName(chosen)
+        left = stored(left.join(near.unionByName(chosen).distinct(), "node", "left_anti"))
+        if left.isEmpty():
+            break
+    return stored(pivots.unionByName(left.select("node")).distinct()) if pivots is not None else spark.createDataFrame([], "node long")
+
+
+def _regions(shingles: DataFrame, sizes: DataFrame, pivots: DataFrame) -> DataFrame:
+    """``pivot, node, d, n, home``: members of the regions; see step 3 of the module."""
+    of_pivot = shingles.join(pivots, "node").select(F.col("node").alias("pivot"), "shingle")
+    both = shingles.join(of_pivot, "shingle").filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("both"))
+    of = sizes.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
+    measured = both.join(sizes, "node").join(of, "pivot").select(
+        "node", "pivot", "n", _distance(F.col("both"), F.col("n"), F.col("m")).alias("d"),
+        (F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * 75).alias("linked"),
+    )
+    itself = sizes.join(pivots, "node").select("node", F.col("node").alias("pivot"), "n", F.lit(0.0).alias("d"), F.lit(True).alias("linked"))
+    measured = stored(measured.unionByName(itself))
+    nearest = measured.groupBy("node").agg(F.min("d").alias("least"))
+    # A pivot is at home in its own region; other sets at the first of their nearest pivots.
+    homes = measured.join(nearest, "node").filter("d = least").groupBy("node").agg(F.min("pivot").alias("home"))
     slack = 1e-9  # distances are doubles; a little more is replicated, never less
-    side = F.when(
-        F.col("linked"),
-        F.when(F.col("d") + 0.25 + slack >= F.col("rim"), F.array(tag("near"))).otherwise(F.array().cast("array<long>")),
-    ).otherwise(
-        F.when(F.col("d") <= 0.5 + slack, F.array(tag("near"), tag("far"))).otherwise(F.array(tag("far")))
+    return stored(
+        measured.join(nearest, "node").join(homes, "node").filter(F.col("d") <= F.col("least") + 0.5 + slack)
+        .select("pivot", "node", "d", "n", "linked", (F.col("pivot") == F.col("home")).alias("home"))
+    )
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members with the two blocks (``lo``, ``hi``) they meet in, once for each; see step 4 of the module."""
+    slack = 1e-9
+    ringed = members.withColumn("ring", F.floor(F.col("d") / (0.25 + slack)).cast("int"))
+    rings = ringed.groupBy("pivot", "ring").agg(F.count("*").alias("sets"), F.sum("n").alias("size"))
+    cuts = rings.select(
+        "pivot", "ring",
+        F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("size") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("cuts"),
+    )
+    # There are at most five rings, so this is one small map per region.
+    known = cuts.groupBy("pivot").agg(F.map_from_entries(F.collect_list(F.struct("ring", "cuts"))).alias("cuts"))
+    placed = ringed.join(known, "pivot").withColumn(
+        "block", F.pmod(F.xxhash64("node", F.lit(1)), F.try_element_at("cuts", "ring").cast("long")).cast("int")
     )
-    return placed.select(F.explode(side).alias("region"), "node", "label", "shingle", "own", "slack")
+    own = F.struct("ring", "block")
+
+    def of_ring(step: int) -> Column:
+        ring = F.col("ring") + step
+        cuts_there = F.coalesce(F.try_element_at("cuts", ring), F.lit(0))
+        there = F.when(cuts_there > 0, F.sequence(F.lit(0), cuts_there - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(there, lambda b: F.struct(ring.alias("ring"), b.alias("block")))
+
+    other = F.explode(F.concat(of_ring(-1), of_ring(0), of_ring(1))).alias("other")
+    met = placed.select("pivot", "node", "home", own.alias("own"), other)
+    return met.select(
+        F.xxhash64("pivot", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "node", "home",
+        (F.col("own") <= F.col("other")).alias("first"), (F.col("own") >= F.col("other")).alias("second"),
+    )
+
 
+def _join_unit(nodes: np.ndarray, labels: np.ndarray, home: np.ndarray, first: np.ndarray, second: np.ndarray, sets: list[np.ndarray]):
+    """Links between the ``first`` and the ``second`` sets, of which one is at home, that connect different labels."""
+    known = {}
+
+    def root(x: int) -> int:
+        while known.get(x, x) != x:
+            known[x] = known.get(known[x], known[x])
+            x = known[x]
+        return x
+
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    one, two = np.flatnonzero(first), np.flatnonzero(second)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    ordered = flat[order]
+    again = np.zeros(len(flat), dtype=bool)
+    same = ordered[1:] == ordered[:-1]
+    again[1:] |= same
+    again[:-1] |= same
+    owner = np.repeat(np.arange(len(sets)), size)[order][again]
+    column = np.cumsum(np.diff(ordered[again], prepend=ordered[again][:1]) != 0) if again.any() else np.zeros(0, dtype=np.int64)
+    both = np.zeros((len(one), len(two)), dtype=np.float32)  # counts below 2^24 are exact
+    row_of, column_of = np.full(len(sets), -1), np.full(len(sets), -1)
+    row_of[one], column_of[two] = np.arange(len(one)), np.arange(len(two))
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, [a, a + COLUMNS])
+        width = int(column[hi - 1]) - a + 1
+        sides = []
+        for place, count in ((row_of, len(one)), (column_of, len(two))):
+            side = np.zeros((count, width), dtype=np.float32)
+            at = place[owner[lo:hi]]
+            side[at[at >= 0], column[lo:hi][at >= 0] - a] = 1
+            sides.append(side)
+        both += sides[0] @ sides[1].T
+    shared = both.astype(np.int64)
+    linked = shared * 100 >= (size[one][:, None] + size[two][None] - shared) * 75
+    linked &= (labels[one][:, None] != labels[two][None]) & (home[one][:, None] | home[two][None])
+    for i, j in zip(*np.nonzero(linked)):
+        a, b = root(int(labels[one[i]])), root(int(labels[two[j]]))
+        if a != b:
+            known[max(a, b)] = min(a, b)
+            yield int(nodes[one[i]]), int(nodes[two[j]])
+
+
+def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each unit. Rows come sorted by unit; those of the last one wait for the next batch."""
+    waiting: list[tuple] = []
+
+    def joined(rows: list[tuple]) -> pa.RecordBatch:
+        _, nodes, labels, home, first, second, sets = zip(*rows)
+        few = [np.array(x) for x in (nodes, labels, home, first, second)]
+        links = list(_join_unit(*few, list(sets))) if len(set(labels)) > 1 else []
+        a, b = zip(*links) if links else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-def link_sets(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
+    for batch in batches:
+        column = batch.column("shingles")
+        values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+        plain = [batch.column(c).to_pylist() for c in ("unit", "node", "label", "home", "first", "second")]
+        for i, row in enumerate(zip(*plain)):
+            if waiting and waiting[-1][0] != row[0]:
+                yield joined(waiting)
+                waiting = []
+            waiting.append((*row, values[ends[i] : ends[i + 1]].copy()))
+    if waiting:
+        yield joined(waiting)
+
+
+def link_sets(rows: DataFrame, sizes: DataFrame, whole: DataFrame) -> DataFrame:
     """Links ``a, b`` between sets that connect all that are connected.
 
-    ``rows``: (region, node, label, shingle, own, slack); ``sets``: (node, n, counted); ``whole``: (node, shingles).
+    ``rows``: (node, shingle, slack) of the sets that may link; ``sizes``: (node, n); ``whole``: (node, shingles).
     """
-    links = stored(rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
-    turn = 0
-    while not rows.isEmpty():
-        # Up to PIVOTS members of each region, of different hash classes; the first splits the region. One is
-        # enough for the first round, which finds most links. Of each class the set with the most slack is taken: it has
-        # the fewest shingles of its own, as the original of many near copies that link only through it.
-        hashed = F.xxhash64("node", F.lit(turn))
-        order = F.struct((-F.col("slack")).alias("s"), hashed.alias("h"))
-        heads = rows.groupBy("region", F.pmod(hashed, F.lit(PIVOTS if turn else 1)).alias("slot")).agg(
-            F.count("*").alias("members"), F.min(F.struct(order.alias("o"), "node")).alias("p")
-        )
-        pivots = stored(
-            heads.groupBy("region")
-            .agg(F.sum("members").alias("members"), F.sort_array(F.collect_list("p.node")).alias("all"), F.min("p").alias("p"))
-            .select("region", "all", F.col("p.node").alias("pivot"), (F.lit(turn > 0) & (F.col("members") <= LEAF)).alias("leaf"))
-        )
-        split = pivots.filter("not leaf").select("region", "pivot", "all")
-        pairs = (
-            rows.join(split, "region").select(F.col("node").alias("a"), F.explode("all").alias("b")).filter("a != b")
-        )
-        if turn:
-            members = (
-                rows.join(pivots.filter("leaf").select("region"), "region")
-                .groupBy("region").agg(F.sort_array(F.collect_set(F.struct("node", "label"))).alias("of"))
-                .select("of").distinct()
-            )
-            leaves = (
-                members.select("of", F.explode("of").alias("x"))
-                .select("x", F.explode(F.filter("of", lambda y: (y["node"] < F.col("x.node")) & (y["label"] != F.col("x.label")))).alias("y"))
-                .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            )
-            pairs = pairs.unionByName(leaves)
-        near = stored(_measured(pairs.distinct(), whole))
-        links = stored(links.unionByName(near.filter("linked").select("a", "b")))
-        labels = components(links).withColumnRenamed("component", "label")
-        rows = _next_regions(rows, split, near).drop("label").join(labels, "node", "left")
-        rows = rows.withColumn("label", F.coalesce("label", "node"))
-        rows = _still_open(rows.select("region", "node", "label", "shingle", "own", "slack"), sets, 1)
-        turn += 1
-    return links
+    shingles = whole.select("node", F.explode("shingles").alias("shingle"))
+    shared = shingles.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle")
+    shingles = stored(shingles.join(shared, "shingle").select("node", "shingle"))
+    members = _regions(shingles, sizes.join(whole.select("node"), "node"), _pivots(rows, whole))
+    by_pivot = members.filter("linked AND node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    labels = stored(components(by_pivot))
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
+    met = _blocks(members.join(mixed.select("pivot"), "pivot"))
+    units = met.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    # Units of one component are left out before sets are moved.
+    open_units = stored(units.groupBy("unit").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("unit"))
+    rows_of_units = units.join(open_units, "unit").join(whole, "node")
+    columns = ["unit", "node", "label", "home", "first", "second", "shingles"]
+    sorted_rows = rows_of_units.select(*columns).repartition("unit").sortWithinPartitions("unit", "node")
+    found = sorted_rows.mapInArrow(_unit_batches, "a long, b long")
+    return stored(by_pivot.unionByName(found))
 
 
 def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -272,7 +339,9 @@ def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ``first`` is the smallest row of the component: (without an id, id, hash of the text), so that ids come before nulls.
     """
     rows = keyed(documents, id_col, text_col)
-    base = stored(rows.mapInArrow(_profile_batches, "_id long, _h long, n long, k1 long, k2 long, counted long"))
+    base = stored(
+        rows.mapInArrow(_profile_batches, "_id long, _h long, n long, k1 long, k2 long, counted long, sent array<long>")
+    )
     own = F.struct((F.col("_id") == NULL_ID).alias("no_id"), "_id", "_h")
     # Sets are numbered, as ids of documents may be null or repeat. The numbers are stored before they are used.
     sets = stored(
@@ -280,13 +349,14 @@ def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.min(own).alias("first"), F.max("n").alias("n"), F.max("counted").alias("counted")
         ).withColumn("node", F.monotonically_increasing_id())
     )
-    sent = rows.mapInArrow(_shingle_batches, "k1 long, k2 long, shingle long, own boolean")
+    sent = base.filter("sent IS NOT NULL").select("k1", "k2", "counted", F.posexplode("sent").alias("place", "shingle"))
     # Shingles of one set only are most of all rows; they go here, by the first half of the set's key.
     # Stored, so that the shuffle is freed before the next one and a hot shingle can be split in the join.
     shared = stored(
         sent.groupBy("shingle").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("shingle")
     )
-    found = stored(sent.join(shared, "shingle").groupBy("k1", "k2", "shingle").agg(F.max("own").alias("own")))
+    marked = sent.select("k1", "k2", "shingle", (F.col("place") < F.col("counted")).alias("own"))
+    found = stored(marked.join(shared, "shingle").groupBy("k1", "k2", "shingle").agg(F.max("own").alias("own")))
     regions = found.join(sets, ["k1", "k2"]).select(
         F.col("shingle").alias("region"), "node", F.col("node").alias("label"), "shingle", "own"
     )
@@ -295,7 +365,7 @@ def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # A row may be there many times; one text of each set is enough.
     texts = rows.join(nodes, ["_id", "_h"]).select("node", "k1", "k2", "_text").distinct()
     whole = stored(texts.mapInArrow(_set_batches, "node long, shingles array<long>"))
-    links = link_sets(open_rows, sets.select("node", "n", "counted"), whole)
+    links = link_sets(open_rows.select("node", "shingle", "slack"), sets.select("node", "n"), whole)
     labelled = sets.join(components(links), "node", "left").select(
         "k1", "k2", "first", F.coalesce("component", "node").alias("_c")
     )
