@@ -64,4 +64,13 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/closeworks-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._closeworks_path = path
+    return read
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove a table of ``stored``. What was made of it must be stored itself by then."""
+    spark = df.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._closeworks_path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from closeworks.llm.common import NULL_ID, id_of, id_or_null, stored, text_of
+from closeworks.llm.common import NULL_ID, dropped, id_of, id_or_null, stored, text_of
 from closeworks.llm.components import components
 from closeworks.llm.seeds import gram_hashes, keyed
 
@@ -43,6 +43,8 @@ PIVOT_ROUNDS = 2
 #: Sets and shingles of a block, about. Two blocks meet in a task.
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
+#: Bits that tell which rows are looked at for their whole sets; 1 MB.
+ROW_BITS = 1 << 23
 #: Columns of the incidence matrix that are multiplied at once.
 COLUMNS = 4096
 
@@ -120,17 +122,47 @@ def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         )
 
 
-def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The whole sets of chosen documents, of texts that do have the set that they were chosen for."""
-    for batch in batches:
-        keys = list(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist()))
-        profiles = [Profile(shingle_set(t)) for t in batch.column("_text").to_pylist()]
-        same = [p.key == k for p, k in zip(profiles, keys)]
-        sets = [p.shingles.view(np.int64) for p, ok in zip(profiles, same) if ok]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node").filter(pa.array(same, pa.bool_())), pa.array(sets, pa.list_(pa.int64()))],
-            names=["node", "shingles"],
-        )
+def _set_batches(bits: bytes):
+    """Key and whole set of each text whose row may be among those in ``bits``; a task sends a set once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = np.frombuffer(bits, dtype=np.uint8), set()
+        for batch in batches:
+            place = batch.column("_place").to_numpy()
+            wanted = np.flatnonzero(known[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+            profiles = {p.key: p for p in (Profile(shingle_set(t)) for t in batch.column("_text").take(pa.array(wanted)).to_pylist())}
+            keys = [k for k in profiles if k not in seen]
+            profiles = [profiles[k] for k in keys]
+            seen.update(keys)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                 pa.array([p.shingles.view(np.int64) for p in profiles], pa.list_(pa.int64()))],
+                names=["k1", "k2", "shingles"],
+            )
+
+    return run
+
+
+def _whole_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, shingles`` of ``nodes`` (node, k1, k2, _id, _h), from one text each.
+
+    Bits of a fixed number tell the tasks which rows to look at, so other texts are not shuffled. A row that the bits let
+    through in vain goes when its key finds no node.
+    """
+    place = F.pmod(F.xxhash64("_id", "_h"), F.lit(ROW_BITS)).cast("int")
+    parts = (
+        nodes.select(place.alias("p")).groupBy(F.floor(F.col("p") / 32768).cast("int").alias("part"))
+        .agg(F.bitmap_construct_agg((F.col("p") % 32768).cast("long")).alias("bits")).collect()
+    )
+    bits = bytearray(ROW_BITS // 8)
+    for part, found in parts:  # ROW_BITS / 32768 at most
+        bits[part * 4096 : part * 4096 + 4096] = found
+    found = rows.select(place.alias("_place"), "_text").mapInArrow(_set_batches(bytes(bits)), "k1 long, k2 long, shingles array<long>")
+    keyed_sets = stored(found.join(nodes.select("node", "k1", "k2"), ["k1", "k2"]).select("node", "shingles"))
+    # Several rows may have the set; which of them stays is all the same.
+    one = keyed_sets.withColumn("row", F.monotonically_increasing_id())
+    first = one.groupBy("node").agg(F.min("row").alias("row"))
+    return stored(one.join(first, ["node", "row"]).select("node", "shingles"))
 
 
 def _distance(both: Column, a: Column, b: Column) -> Column:
@@ -145,33 +177,21 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", _distance(both, F.size("sa"), F.size("sb")).alias("d"))
 
 
-def _still_open(rows: DataFrame, sets: DataFrame, passes: int) -> DataFrame:
-    """Rows (region, node, label, shingle, own, slack) of sets that may link outside their component.
+def _open_shingles(whole: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``node, shingle, slack`` of sets with at most a quarter of shingles that no other set has.
 
-    A shingle that only one component holds tells its sets from all others. A set with more than a quarter of its
-    shingles of that kind has no link left to find. Linked sets differ in at most a seventh of their sizes together, so
-    a set also leaves a region in which nobody has enough slack, a seventh of the size less the shingles
-    of that kind, to make up for its own. Each pass may free shingles for the next.
+    Only shingles that two sets have are there. Linked sets differ in at most a seventh of their sizes together; ``slack``
+    is a seventh of the size less the shingles that are the set's own. Each pass frees shingles for the next.
     """
-    columns = ["region", "node", "label", "shingle", "own"]
-
-    def within(rows: DataFrame) -> DataFrame:
-        slack = F.max("slack") if "slack" in rows.columns else F.lit(0.0)
-        region = rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), slack.alias("best"))
-        rows = rows.join(region.filter("lo != hi").drop("lo", "hi"), "region")
-        return rows.filter(F.col("slack") + F.col("best") >= -1e-9) if "slack" in rows.columns else rows
-
-    for _ in range(passes):
-        rows = within(rows)
-        seen = rows.filter("own").groupBy("node").agg(F.count_distinct("shingle").alias("seen"))
-        alone = F.col("counted") - F.coalesce("seen", F.lit(0))
-        open_sets = (
-            sets.join(seen, "node", "left")
-            .filter(alone <= F.floor(F.col("n") / 4))
-            .select("node", (F.col("n") / 7 - alone).alias("slack"))
-        )
-        rows = stored(rows.select(*columns).join(open_sets, "node"))
-    return stored(within(rows).select(*columns, "slack"))
+    rows = whole.select("node", F.explode("shingles").alias("shingle"))
+    for _ in range(2):
+        shared = rows.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle")
+        rows = rows.join(shared, "shingle").select("node", "shingle")
+        seen = rows.groupBy("node").agg(F.count("*").alias("seen"))
+        alone = F.col("n") - F.col("seen")
+        kept = seen.join(sizes, "node").filter(alone <= F.floor(F.col("n") / 4)).select("node", (F.col("n") / 7 - alone).alias("slack"))
+        rows = stored(rows.join(kept, "node").select("node", "shingle", "slack"))
+    return rows
 
 
 def _pivots(rows: DataFrame, whole: DataFrame) -> DataFrame:
@@ -309,15 +329,13 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield joined(waiting)
 
 
-def link_sets(rows: DataFrame, sizes: DataFrame, whole: DataFrame) -> DataFrame:
-    """Links ``a, b`` between sets that connect all that are connected.
-
-    ``rows``: (node, shingle, slack) of the sets that may link; ``sizes``: (node, n); ``whole``: (node, shingles).
-    """
-    shingles = whole.select("node", F.explode("shingles").alias("shingle"))
-    shared = shingles.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle")
-    shingles = stored(shingles.join(shared, "shingle").select("node", "shingle"))
-    members = _regions(shingles, sizes.join(whole.select("node"), "node"), _pivots(rows, whole))
+def link_sets(whole: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Links ``a, b`` between sets that connect all that are connected. ``whole``: (node, shingles); ``sizes``: (node, n)."""
+    rows = _open_shingles(whole, sizes)
+    # A set may have lost its last partner in the last pass; it is no member of a region then.
+    nodes = rows.select("node").distinct()
+    whole, sizes = whole.join(nodes, "node", "left_semi"), sizes.join(nodes, "node", "left_semi")
+    members = _regions(rows.select("node", "shingle"), sizes, _pivots(rows, whole))
     by_pivot = members.filter("linked AND node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     labels = stored(components(by_pivot))
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
@@ -339,9 +357,10 @@ def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ``first`` is the smallest row of the component: (without an id, id, hash of the text), so that ids come before nulls.
     """
     rows = keyed(documents, id_col, text_col)
-    base = stored(
+    profiled = stored(
         rows.mapInArrow(_profile_batches, "_id long, _h long, n long, k1 long, k2 long, counted long, sent array<long>")
     )
+    base = stored(profiled.drop("sent"))
     own = F.struct((F.col("_id") == NULL_ID).alias("no_id"), "_id", "_h")
     # Sets are numbered, as ids of documents may be null or repeat. The numbers are stored before they are used.
     sets = stored(
@@ -349,23 +368,25 @@ def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.min(own).alias("first"), F.max("n").alias("n"), F.max("counted").alias("counted")
         ).withColumn("node", F.monotonically_increasing_id())
     )
-    sent = base.filter("sent IS NOT NULL").select("k1", "k2", "counted", F.posexplode("sent").alias("place", "shingle"))
+    sent = profiled.filter("sent IS NOT NULL").select("k1", "k2", "n", "counted", F.posexplode("sent").alias("place", "shingle"))
     # Shingles of one set only are most of all rows; they go here, by the first half of the set's key.
     # Stored, so that the shuffle is freed before the next one and a hot shingle can be split in the join.
     shared = stored(
         sent.groupBy("shingle").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("shingle")
     )
-    marked = sent.select("k1", "k2", "shingle", (F.col("place") < F.col("counted")).alias("own"))
-    found = stored(marked.join(shared, "shingle").groupBy("k1", "k2", "shingle").agg(F.max("own").alias("own")))
-    regions = found.join(sets, ["k1", "k2"]).select(
-        F.col("shingle").alias("region"), "node", F.col("node").alias("label"), "shingle", "own"
-    )
-    open_rows = _still_open(regions, sets.select("node", "n", "counted"), 2)
-    nodes = open_rows.select("node").distinct().join(sets, "node").select("node", "k1", "k2", "first._id", "first._h")
-    # A row may be there many times; one text of each set is enough.
-    texts = rows.join(nodes, ["_id", "_h"]).select("node", "k1", "k2", "_text").distinct()
-    whole = stored(texts.mapInArrow(_set_batches, "node long, shingles array<long>"))
-    links = link_sets(open_rows.select("node", "shingle", "slack"), sets.select("node", "n"), whole)
+    # All of a set's rows meet in one place, which also tells how many of its shingles others have.
+    mine = Window.partitionBy("k1", "k2")
+    found = (
+        sent.join(shared, "shingle").repartition("k1", "k2")
+        .groupBy("k1", "k2", "shingle").agg(F.min("place").alias("place"), F.max("n").alias("n"), F.max("counted").alias("counted"))
+        .withColumn("seen", F.count_if(F.col("place") < F.col("counted")).over(mine))
+        .filter(F.col("counted") - F.col("seen") <= F.floor(F.col("n") / 4))
+        .select("k1", "k2").distinct()
+    )
+    nodes = stored(found.join(sets, ["k1", "k2"]).select("node", "k1", "k2", "first._id", "first._h"))
+    dropped(shared)
+    dropped(profiled)
+    links = link_sets(_whole_sets(rows, nodes), sets.select("node", "n"))
     labelled = sets.join(components(links), "node", "left").select(
         "k1", "k2", "first", F.coalesce("component", "node").alias("_c")
     )
