@@ -43,8 +43,10 @@ PIVOT_ROUNDS = 2
 #: Sets and shingles of a block, about. Two blocks meet in a task.
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
-#: Bits that tell which rows are looked at for their whole sets; 1 MB.
+#: Bits that tell which rows are looked at for their whole sets, and which shingles may be shared; 1 MB and 8 MB whatever the
+#: input is. Where they fill up, more rows are shuffled in vain; the result does not depend on them.
 ROW_BITS = 1 << 23
+SHINGLE_BITS = 1 << 26
 #: Columns of the incidence matrix that are multiplied at once.
 COLUMNS = 4096
 
@@ -129,7 +131,7 @@ def _set_batches(bits: bytes):
         known, seen = np.frombuffer(bits, dtype=np.uint8), set()
         for batch in batches:
             place = batch.column("_place").to_numpy()
-            wanted = np.flatnonzero(known[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+            wanted = np.flatnonzero(_has(known, place))
             profiles = {p.key: p for p in (Profile(shingle_set(t)) for t in batch.column("_text").take(pa.array(wanted)).to_pylist())}
             keys = [k for k in profiles if k not in seen]
             profiles = [profiles[k] for k in keys]
@@ -143,21 +145,49 @@ def _set_batches(bits: bytes):
     return run
 
 
+def _bitmap(places: DataFrame, size: int) -> bytes:
+    """``size`` bits, a power of two from 32,768 on: those of the column ``place`` are set. Made in Spark, bounded by ``size``."""
+    parts = (
+        places.groupBy(F.floor(F.col("place") / 32768).cast("int").alias("part"))
+        .agg(F.bitmap_construct_agg((F.col("place") % 32768).cast("long")).alias("bits")).toPandas()
+    )
+    out = bytearray(size // 8)
+    for part, bits in zip(parts["part"], parts["bits"]):  # size / 32768 at most
+        out[part * 4096 : part * 4096 + 4096] = bits
+    return bytes(out)
+
+
+def _has(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _sent_batches(bits: bytes):
+    """A row per sent shingle that may be shared, with its place in the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(bits, dtype=np.uint8)
+        for batch in batches:
+            column = batch.column("sent")
+            ends = column.offsets.to_numpy()
+            flat = column.values.to_numpy()[ends[0] : ends[-1]]
+            kept = np.flatnonzero(_has(known, flat & (SHINGLE_BITS - 1)))
+            row = np.searchsorted(ends - ends[0], kept, "right") - 1
+            plain = [pa.array(batch.column(c).to_numpy()[row]) for c in ("k1", "k2", "n", "counted")]
+            place = pa.array(kept - (ends - ends[0])[row], pa.int64())
+            yield pa.RecordBatch.from_arrays([*plain, place, pa.array(flat[kept])], names=["k1", "k2", "n", "counted", "place", "shingle"])
+
+    return run
+
+
 def _whole_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, shingles`` of ``nodes`` (node, k1, k2, _id, _h), from one text each.
 
     Bits of a fixed number tell the tasks which rows to look at, so other texts are not shuffled. A row that the bits let
     through in vain goes when its key finds no node.
     """
-    place = F.pmod(F.xxhash64("_id", "_h"), F.lit(ROW_BITS)).cast("int")
-    parts = (
-        nodes.select(place.alias("p")).groupBy(F.floor(F.col("p") / 32768).cast("int").alias("part"))
-        .agg(F.bitmap_construct_agg((F.col("p") % 32768).cast("long")).alias("bits")).collect()
-    )
-    bits = bytearray(ROW_BITS // 8)
-    for part, found in parts:  # ROW_BITS / 32768 at most
-        bits[part * 4096 : part * 4096 + 4096] = found
-    found = rows.select(place.alias("_place"), "_text").mapInArrow(_set_batches(bytes(bits)), "k1 long, k2 long, shingles array<long>")
+    place = F.pmod(F.xxhash64("_id", "_h"), F.lit(ROW_BITS))
+    bits = _bitmap(nodes.select(place.alias("place")), ROW_BITS)
+    found = rows.select(place.alias("_place"), "_text").mapInArrow(_set_batches(bits), "k1 long, k2 long, shingles array<long>")
     keyed_sets = stored(found.join(nodes.select("node", "k1", "k2"), ["k1", "k2"]).select("node", "shingles"))
     # Several rows may have the set; which of them stays is all the same.
     one = keyed_sets.withColumn("row", F.monotonically_increasing_id())
@@ -368,16 +398,20 @@ def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.min(own).alias("first"), F.max("n").alias("n"), F.max("counted").alias("counted")
         ).withColumn("node", F.monotonically_increasing_id())
     )
-    sent = profiled.filter("sent IS NOT NULL").select("k1", "k2", "n", "counted", F.posexplode("sent").alias("place", "shingle"))
+    sent = profiled.filter("sent IS NOT NULL").select("k1", F.explode("sent").alias("shingle"))
     # Shingles of one set only are most of all rows; they go here, by the first half of the set's key.
     # Stored, so that the shuffle is freed before the next one and a hot shingle can be split in the join.
     shared = stored(
         sent.groupBy("shingle").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("shingle")
     )
+    bits = _bitmap(shared.select(F.pmod("shingle", F.lit(SHINGLE_BITS)).alias("place")), SHINGLE_BITS)
+    likely = profiled.filter("sent IS NOT NULL").select("k1", "k2", "n", "counted", "sent").mapInArrow(
+        _sent_batches(bits), "k1 long, k2 long, n long, counted long, place long, shingle long"
+    )
     # All of a set's rows meet in one place, which also tells how many of its shingles others have.
     mine = Window.partitionBy("k1", "k2")
     found = (
-        sent.join(shared, "shingle").repartition("k1", "k2")
+        likely.join(shared, "shingle").repartition("k1", "k2")
         .groupBy("k1", "k2", "shingle").agg(F.min("place").alias("place"), F.max("n").alias("n"), F.max("counted").alias("counted"))
         .withColumn("seen", F.count_if(F.col("place") < F.col("counted")).over(mine))
         .filter(F.col("counted") - F.col("seen") <= F.floor(F.col("n") / 4))
