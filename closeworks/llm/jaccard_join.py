@@ -4,8 +4,9 @@ Distance is 1 - Jaccard similarity; documents link at a distance of at most 1/4.
 
 1. Candidates. Linked sets share a shingle in any quarter of either, so shingles with a small hash suffice to bring them
    together, and a set leaves the join when more than a quarter of its shingles occur in no other set.
-2. Pivots. Of the sets that hold a shingle the one with the fewest shingles of its own is a pivot, as the original of many
-   near copies is. Sets farther than ``COVER`` from every pivot choose among themselves, and what is left then are pivots.
+2. Pivots. Of the sets that hold a shingle the one with the fewest shingles of its own is a candidate, as the original of
+   many near copies is; candidates without a stronger one near them are pivots. Sets farther than ``COVER`` from every pivot
+   choose among themselves, and what is left after some rounds are pivots too.
 3. Regions. All distances between sets and pivots that share anything are counted. The nearest pivot of a set is its
    home. If y links with x, then x is at most 1/4 + d(y, home of y) <= 1/2 + d(x, home of x) from the home of y: so a set
    is replicated to all pivots in that window, and every link is met in a region where one of both is at home.
@@ -39,7 +40,7 @@ SMALL = 128
 #: Sets are at most so far from their home, or pivots themselves; less than 1/2, so that windows end before distance 1.
 COVER = 0.45
 #: Rounds in which sets without a near pivot choose pivots among themselves.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 4
 #: Sets and shingles of a block, about. Two blocks meet in a task.
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
@@ -225,19 +226,26 @@ def _open_shingles(whole: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _pivots(rows: DataFrame, whole: DataFrame) -> DataFrame:
-    """``node`` of the pivots among the sets of ``rows`` (node, shingle, slack); see step 2 of the module."""
-    spark, pivots, left = rows.sparkSession, None, rows
+    """``node`` of the pivots among the sets of ``rows`` (node, shingle, slack); see step 2 of the module.
+
+    The strongest holder of a shingle is a candidate, and a pivot if no stronger candidate is near it. Sets near a
+    pivot are covered and leave; so a group has few pivots, however many shingles it has.
+    """
+    pivots, left = None, rows
     order = (F.col("slack") * 1024).cast("long") * (1 << 32) + F.pmod(F.xxhash64("node"), F.lit(1 << 32))
     for _ in range(PIVOT_ROUNDS):
         heads = stored(left.groupBy("shingle").agg(F.max_by("node", order).alias("pivot")))
-        chosen = heads.select(F.col("pivot").alias("node")).distinct()
         pairs = left.join(heads, "shingle").filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        near = _measured(pairs.distinct(), whole).filter(F.col("d") <= COVER).select(F.col("a").alias("node"))
+        near = stored(_measured(pairs.distinct(), whole).filter(F.col("d") <= COVER).select("a", "b"))
+        chosen = stored(
+            heads.select(F.col("pivot").alias("node")).distinct().join(near.select(F.col("a").alias("node")).distinct(), "node", "left_anti")
+        )
+        covered = near.join(chosen.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"))
         pivots = chosen if pivots is None else pivots.unionByName(chosen)
-        left = stored(left.join(near.unionByName(chosen).distinct(), "node", "left_anti"))
+        left = stored(left.join(covered.unionByName(chosen).distinct(), "node", "left_anti"))
         if left.isEmpty():
             break
-    return stored(pivots.unionByName(left.select("node")).distinct()) if pivots is not None else spark.createDataFrame([], "node long")
+    return stored(pivots.unionByName(left.select("node")).distinct())
 
 
 def _regions(shingles: DataFrame, sizes: DataFrame, pivots: DataFrame) -> DataFrame:
