@@ -9,6 +9,7 @@ a pool of bounded size, so no sequence needs rows of two tasks and a lost task i
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,6 +26,10 @@ from closeworks.llm.common import id_of, id_or_null, text_of
 END_ID = 1
 #: Fixed value: the splitting pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space in a row from which a text goes through the tokenizer file: the rank library fails at a million.
+LONG_SPACE = 100_000
+
+
 @dataclass(frozen=True)
 class Limits:
     """Room of one sequence, and the pieces that a task holds open while it packs.
@@ -48,14 +53,15 @@ class Encoder:
 
     ``ranks_path`` may name the same vocabulary as ranks. Texts in Latin-1, where the splitting patterns of both
     libraries agree character by character, are then encoded from it, which gives the same ids in a quarter of
-    the time; all other texts, and all texts without it, go through the tokenizer file.
+    the time; all other texts, and all texts without it, go through the tokenizer file, as do texts that hold one
+    of its special strings and texts with very long white space, which the rank library cannot split.
     """
 
     def __init__(self, path: str, ranks_path: str | None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = None
         if ranks_path:
             import tiktoken
@@ -64,8 +70,13 @@ class Encoder:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self.plain = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def _needs_file(self, text: str) -> bool:
+        if any(special in text for special in self.special):
+            return True
+        return len(text) >= LONG_SPACE and any(len(m[0]) >= LONG_SPACE for m in re.finditer(r"\s+", text))
+
     def encode(self, text: str) -> np.ndarray:
-        if self.plain is not None:
+        if self.plain is not None and not self._needs_file(text):
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from closeworks.llm import (
@@ -335,6 +336,8 @@ def test_more_data_frees_no_line(spark):
         texts = [body(i) for i in range(size)]
         texts = ["\n".join([x for x, n in zip(licences, (12, 30)) if i < n] + [t]) for i, t in enumerate(texts)]
         docs = frame(spark, [(i, t, "en", "h", len(t)) for i, t in enumerate(texts)])
+        removed = {r.doc_id: r.n_removed_words for r in quality_rules.apply_rules(docs).collect()}
+        assert removed == {i: (3 if i < 12 else 0) + (5 if i < 30 else 0) for i in range(size)}
         return {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
 
     for size in (600, 3000):
@@ -371,6 +374,15 @@ def test_ids_are_those_of_the_tokenizer():
         text = "".join(rng.choices(letters, k=rng.randint(0, 60)))
         assert fast.encode(text).tolist() == plain.encode(text).tolist()
     assert packing.PATTERN == public_tokenizers.PATTERN
+    # Special strings have an id of their own; white space of any length ends no encoder.
+    named = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    assert fast.special
+    for text in ("a <|endoftext|> b", "<|endoftext|>" * 3, "é日<|endoftext|>", *fast.special):
+        ids = named.encode(text, add_special_tokens=False).ids
+        assert fast.encode(text).tolist() == plain.encode(text).tolist() == ids
+    for n in (packing.LONG_SPACE - 1, packing.LONG_SPACE, 3_000_000):
+        text = "a" + " " * n + "b" + "\n" * n
+        assert fast.encode(text).tolist() == named.encode(text, add_special_tokens=False).ids
 
 
 def test_packing_odd_rows(spark):

@@ -30,7 +30,6 @@ def test_equal_to_sql(spark, name):
 def check_pieces(pieces, documents):
     """All ids of all documents, each in one piece; sequences without gaps, none too long."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     by_doc = dict(list(pieces.sort_values("start").groupby("doc_id")))
     assert set(by_doc) == set(documents["doc_id"])
     for doc, text in zip(documents["doc_id"], documents["text"]):
