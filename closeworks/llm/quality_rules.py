@@ -18,13 +18,12 @@ SYMBOLS = "[#*$%&|<>]"
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is above the limit if at least ``min_documents`` distinct texts of its host have it, and at least
-    the share ``host_share`` of them. A document is depleted if less than ``kept_share`` of its words is left.
+    """A line is above the limit if at least ``min_documents`` distinct texts of its host have it. A document is
+    depleted if less than ``kept_share`` of its words is left.
 
-    With a share of 0 the count alone decides: a line above the limit stays above it, however much its host grows."""
+    The count alone decides: a line above the limit stays above it, however much its host grows."""
 
     min_documents: int = 10
-    host_share: float = 0.02
     kept_share: float = 0.5
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -121,7 +120,7 @@ def frequent_lines(documents: DataFrame, text_col: str, host_col: str, limits: L
     )
     # The n-th time that a text has a line gets the number n, so that all rows of one text agree on what it holds.
     of_text = (
-        texts.select("_host", "_text_hash", F.posexplode_outer("_lines").alias("_at", "_x"))
+        texts.select("_host", "_text_hash", F.posexplode("_lines").alias("_at", "_x"))
         .select("_host", "_text_hash", "_at", "_x.line", "_x.words")
         .groupBy("_host", "_text_hash", F.col("line").alias("_line"), "_at")
         .agg(F.max("words").alias("words"))
@@ -129,13 +128,7 @@ def frequent_lines(documents: DataFrame, text_col: str, host_col: str, limits: L
         .agg(F.sum("words").alias("words"))
     )
     per_line = of_text.groupBy("_host", "_line").agg(F.count("*").alias("texts"))
-    above = per_line.filter(F.col("_line").isNotNull() & (F.col("texts") >= limits.min_documents))
-    if limits.host_share > 0:
-        per_host = texts.groupBy("_host", "_text_hash").agg(F.lit(1).alias("one")).groupBy("_host").agg(
-            F.count("*").alias("host_texts")
-        )
-        above = above.join(per_host, "_host").filter(F.col("texts") >= F.col("host_texts") * limits.host_share)
-    above = above.select("_host", "_line")
+    above = per_line.filter(F.col("texts") >= limits.min_documents).select("_host", "_line")
     return of_text.join(above, ["_host", "_line"]).select("_host", "_text_hash", "_line", "words")
 
 

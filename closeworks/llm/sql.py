@@ -45,10 +45,7 @@ lines AS (
   SELECT DISTINCT host, t, i, lower(array_to_string(lw, ' ')) AS line, len(lw) AS words
   FROM (SELECT host, t, i, list_filter(string_split_regex(l[i], '[\x20\x09-\x0D]+'), lambda x: x <> '') AS lw
         FROM (SELECT host, t, l, unnest(generate_series(1, len(l))) AS i FROM split))),
-hosts AS (SELECT host, count(DISTINCT t) AS texts FROM docs GROUP BY host),
-above AS (
-  SELECT f.host, f.line FROM (SELECT host, line, count(DISTINCT t) AS n FROM lines GROUP BY host, line) f
-  JOIN hosts h ON h.host = f.host WHERE f.n >= 10 AND f.n >= h.texts * 0.02),
+above AS (SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT t) >= 10),
 lost AS (
   SELECT l.host, l.t, sum(l.words) AS n FROM lines l JOIN above a ON a.host = l.host AND a.line = l.line GROUP BY l.host, l.t)
 SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
