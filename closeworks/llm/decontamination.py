@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closeworks.llm.common import id_of, id_or_null, text_of
+from closeworks.llm.common import dropped, id_of, id_or_null, stored, text_of
 
 #: Characters of items that one pass over the documents looks for; what is broadcast is about 40 times that in bytes.
 BLOCK_CHARS = 1 << 20
@@ -63,64 +63,120 @@ def gram_codes(points: np.ndarray, q: int) -> np.ndarray:
     return done[:n]
 
 
+def _spread(low: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each ``low`` on, ``n`` of them, and the row each belongs to."""
+    of = np.repeat(np.arange(len(n)), n)
+    return low[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n), of
+
+
+def _summed(rows: np.ndarray) -> np.ndarray:
+    """Rows of (text, item, slot, n), sorted, with the counts of equal ones added up."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)))
+    return np.column_stack([rows[first, :3], np.add.reduceat(rows[:, 3], first)])
+
+
 class Index:
-    """Grams of a block of items, sorted, behind a bitmap of their lowest bits."""
+    """Grams of a block of items, sorted, behind a bitmap of their lowest bits.
+
+    Places of one gram in one item that lie no further apart than a band's step are one entry, from the first to the
+    last of them: a place in a text then meets every slot of diagonals between the two, none in between is left out.
+    So a gram that an item repeats costs a few slots per place in a text, not one pair per repeat.
+    """
 
     BITS = 22
+    #: Slots that are counted at a time.
+    SLOTS = 1 << 21
+    #: Diagonals that bands are joined to.
+    DIAGONALS = 1 << 14
 
     def __init__(self, items: list[tuple[int, str]], budget: Budget):
         self.budget = budget
         self.items = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if t]
         self.exact = [n for n, (_, t) in enumerate(self.items) if len(t) < budget.q]
+        self.edits = np.array([budget.edits(len(t)) for _, t in self.items], dtype=np.int64)
         codes, owners, places = [], [], []
         for n, (_, t) in enumerate(self.items):
-            c = gram_codes(np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32), budget.q)
+            c = gram_codes(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), budget.q)
             codes.append(c)
             owners.append(np.full(len(c), n))
             places.append(np.arange(len(c)))
         join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, dtype=kind)
-        code = join(codes, np.uint64)
-        order = np.argsort(code, kind="stable")
-        self.code = code[order]
-        self.owner, self.place = join(owners, np.int64)[order], join(places, np.int64)[order]
+        code, owner, place = join(codes, np.uint64), join(owners, np.int64), join(places, np.int64)
+        order = np.lexsort((place, owner, code))
+        code, owner, place = code[order], owner[order], place[order]
+        new = np.ones(len(code), dtype=bool)
+        new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1]) | (np.diff(place) > self.edits[owner[1:]] + 1)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(code))[: len(first)] - 1
+        self.code, self.owner, self.first, self.last = code[first], owner[first], place[first], place[last]
         self.bitmap = np.zeros(1 << self.BITS, dtype=bool)
         self.bitmap[self.code & np.uint64((1 << self.BITS) - 1)] = True
 
-    def hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, place in the item, place in the text) of all shared grams."""
+    def slots(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, item, slot, n), sorted: places of the text that share a gram with the item in a slot of diagonals.
+
+        ``points`` holds several texts, each from its place in ``starts``. A slot is as many diagonals as the item
+        may have edits, and one. A place counts once per slot, however often the item repeats the gram there.
+        """
         codes = gram_codes(points, self.budget.q)
         at = np.flatnonzero(self.bitmap[codes & np.uint64((1 << self.BITS) - 1)])
-        found = codes[at]
-        low, high = np.searchsorted(self.code, found, "left"), np.searchsorted(self.code, found, "right")
-        n = high - low
-        entry = np.repeat(low, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-        return self.owner[entry], self.place[entry], np.repeat(at, n)
-
-    def regions(self, item: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, first diagonal, last diagonal) of the bands that reach the bound of their item."""
-        out = []
-        order = np.argsort(item, kind="stable")
-        item, diagonal = item[order], (at - place)[order]
-        cuts = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            n = int(item[a])
-            m = len(self.items[n][1])
-            k = self.budget.edits(m)
-            least = m - self.budget.q + 1 - k * self.budget.q
-            if b - a < least:
-                continue
-            step = k + 1
-            slots, counts = np.unique(diagonal[a:b] // step, return_counts=True)
-            held = dict(zip(slots.tolist(), counts.tolist()))
-            for s in sorted({x for s in held for x in (s - 1, s)}):
-                if held.get(s, 0) + held.get(s + 1, 0) >= least:
-                    out.append((n, s * step, (s + 2) * step - 1))
+        low, high = np.searchsorted(self.code, codes[at], "left"), np.searchsorted(self.code, codes[at], "right")
+        at, low, n = at[high > low], low[high > low], (high - low)[high > low]
+        parts = [np.zeros((0, 4), dtype=np.int64)]
+        done, ends = 0, np.cumsum(n)
+        while done < len(at):
+            until = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + self.SLOTS // 16, "right")))
+            entry, place = _spread(low[done:until], n[done:until])
+            parts.append(self._count(entry, at[done:until][place], starts))
+            if sum(len(p) for p in parts[1:]) > self.SLOTS:
+                parts = [_summed(np.concatenate(parts))]
+            done = until
+        return tuple(_summed(np.concatenate(parts)).T)
+
+    def _count(self, entry: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        text = np.searchsorted(starts, at, "right") - 1
+        inside, step = at - starts[text], self.edits[self.owner[entry]] + 1
+        low, high = (inside - self.last[entry]) // step, (inside - self.first[entry]) // step
+        slot, of = _spread(low, high - low + 1)
+        # Entries of one gram and item lie more than a step apart, so no two of them meet in a slot.
+        return _summed(np.stack([text[of], self.owner[entry][of], slot, np.ones(len(of), dtype=np.int64)], axis=1))
+
+    def regions(self, item: np.ndarray, slot: np.ndarray, held: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, first diagonal, last diagonal) of the bands, two slots each, that reach the bound of their item.
+
+        Takes the slots of one text, sorted. Bands of an item come in the order of their diagonals; those that overlap
+        are joined, up to a width, as one alignment of both costs less than two.
+        """
+        length = np.array([len(self.items[n][1]) for n in item.tolist()], dtype=np.int64)
+        k = self.edits[item]
+        least = length - self.budget.q + 1 - k * self.budget.q
+        after = np.zeros(len(item), dtype=bool)
+        after[:-1] = (item[1:] == item[:-1]) & (slot[1:] == slot[:-1] + 1)
+        with_next = held + np.where(after, np.append(held[1:], 0), 0) >= least
+        before = np.append(False, after[:-1])
+        alone = ~before & (held >= least)
+        rows = [(item[alone], slot[alone] - 1, k[alone]), (item[with_next], slot[with_next], k[with_next])]
+        n, s, k = (np.concatenate(x) for x in zip(*rows))
+        order = np.lexsort((s, n))
+        n, s, step = n[order], s[order], k[order] + 1
+        out: list[tuple[int, int, int]] = []
+        for n, first, last in zip(n.tolist(), (s * step).tolist(), ((s + 2) * step - 1).tolist()):
+            margin = 2 * int(self.edits[n])  # an alignment looks that far beyond its band, half of it on each side
+            if out and out[-1][0] == n and first <= out[-1][2] + margin and last - out[-1][1] < self.DIAGONALS:
+                out[-1] = (n, out[-1][1], last)
+            else:
+                out.append((n, first, last))
         return out
 
-    def find(self, text: str, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str, slots: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits) in a normalised text: the best region of each item."""
         best: dict[int, tuple[int, int, int]] = {}
-        for n, first, last in self.regions(*hits):
+        for n, first, last in self.regions(*slots):
+            if n in best and best[n][0] == 0:
+                continue  # bands further on hold no earlier unchanged region
             item = self.items[n][1]
             k = self.budget.edits(len(item))
             start = max(0, first - k)
@@ -184,13 +240,13 @@ def _texts_matches(index: Index, texts: list[str]) -> Iterator[tuple[int, str, l
             row += 1
         # No item holds a NUL that the text lacks, and a text's own NULs only take hits away from their place.
         starts = np.cumsum([0] + [len(t) + 1 for t in part])
-        item, place, at = index.hits(np.frombuffer("\0".join(part).encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
-        owner = np.searchsorted(starts, at, "right") - 1
+        points = np.frombuffer("\0".join(part).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        owner, item, slot, held = index.slots(points, starts)
         bounds = np.searchsorted(owner, np.arange(len(part) + 1))
         for i, text in enumerate(part):
             a, b = bounds[i], bounds[i + 1]
             if b > a or index.exact:
-                found = index.find(text, (item[a:b], place[a:b], at[a:b] - starts[i]))
+                found = index.find(text, (item[a:b], slot[a:b], held[a:b]))
                 if found:
                     yield first + i, text, found
 
@@ -229,6 +285,15 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars:
         yield block
 
 
+def _with_more(blocks: Iterator) -> Iterator[tuple]:
+    """Each block, and whether another one follows."""
+    block = next(blocks, None)
+    while block is not None:
+        after = next(blocks, None)
+        yield block, after is not None
+        block = after
+
+
 def find_leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -242,14 +307,16 @@ def find_leaks(
     """``doc_id, item_id, start, end, edits, matched``: the best region of each item in each document that has one.
 
     Places count in the normalised text (lower case, single spaces), end exclusive. The benchmark is the query
-    set: it is passed over all documents in blocks of bounded size. Null and empty texts have no match and are
+    set: it is passed over all documents in blocks of bounded size. The matches of all blocks but the last are stored
+    before the next block is read, so the driver and the plan hold one block. Null and empty texts have no match and are
     no items; an item shorter than a gram must occur unchanged. Repeated rows and items give repeated
     matches; null ids stay null; other columns are not looked at.
     """
     rows = documents.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text"))
     out = documents.sparkSession.createDataFrame([], MATCH_SCHEMA)
-    for block in item_blocks(benchmark, item_col, item_text_col, block_chars):
-        out = out.unionByName(rows.mapInArrow(_match_batches(Index(block, budget)), MATCH_SCHEMA))
+    for block, more in _with_more(item_blocks(benchmark, item_col, item_text_col, block_chars)):
+        found = rows.mapInArrow(_match_batches(Index(block, budget)), MATCH_SCHEMA)
+        out = out.unionByName(stored(found) if more else found)
     return out.select(id_or_null().alias("doc_id"), id_or_null("item_id").alias("item_id"), "start", "end", "edits", "matched")
 
 
@@ -270,7 +337,17 @@ def _leaked(index: Index):
 def drop_leaked(
     documents: DataFrame, benchmark: DataFrame, budget: Budget = Budget(), block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
-    """The rows of ``documents`` in whose ``text`` no benchmark item occurs."""
-    for block in item_blocks(benchmark, "item_id", "text", block_chars):
-        documents = documents.filter(~_leaked(Index(block, budget))(text_of("text")))
+    """The rows of ``documents`` in whose ``text`` no benchmark item occurs.
+
+    Blocks of the benchmark are worked off one after the other; what one keeps is stored for the next.
+    """
+    before = None
+    for block, more in _with_more(item_blocks(benchmark, "item_id", "text", block_chars)):
+        kept = documents.filter(~_leaked(Index(block, budget))(text_of("text")))
+        if not more:
+            return kept
+        documents = stored(kept)
+        if before is not None:
+            dropped(before)
+        before = documents
     return documents
