@@ -22,7 +22,7 @@ from closeworks.llm.common import id_of, id_or_null, stored, text_of
 
 @dataclass(frozen=True)
 class Knn:
-    """``sample``: labelled texts that are kept, those with the smallest hash of their id. The model has
+    """``sample``: labelled texts that are kept, those with the smallest hash of their id; at most so many rows. The model has
     ``sample * rank`` numbers and is broadcast. ``threshold`` is the score from which 1 is predicted."""
 
     sample: int = 4000
@@ -162,16 +162,30 @@ def _count_batches(knn: Knn):
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, learnable: Column, knn: Knn) -> tuple[np.ndarray, np.ndarray]:
-    """Counts and labels of the sample. Texts are counted in Spark; of each only its buckets come back."""
+    """Counts and labels of the sample. Texts are counted in Spark; of each only its buckets come back.
+
+    An example is an id and a text: rows that repeat both are one, and of an id with many texts no more than
+    ``knn.sample`` count, so the bound holds for what comes back however many rows an id has.
+    """
+    first = [F.xxhash64("_id"), "_id"]
     chosen = stored(
         labels.filter(F.col("_label").isNotNull() & learnable)
         .groupBy("_id").agg(F.max("_label").alias("_label"))
-        .orderBy(F.xxhash64("_id"), "_id")
+        .orderBy(*first)
         .limit(knn.sample)
     )
-    texts = documents.join(F.broadcast(chosen), "_id").select("_label", "_text")
+    keyed = documents.withColumn("_hash", F.xxhash64("_text"))
+    examples = stored(
+        keyed.join(F.broadcast(chosen), "_id")
+        .select("_id", "_hash", "_label").distinct()
+        .orderBy(*first, "_hash")
+        .limit(knn.sample)
+    )
+    texts = keyed.join(F.broadcast(examples), ["_id", "_hash"]).groupBy("_id", "_hash").agg(
+        F.max("_label").alias("_label"), F.min("_text").alias("_text")
+    )
     found = texts.mapInArrow(_count_batches(knn), "label int, counts binary").toPandas()
-    # Rows that repeat an id are examples of their own; the order of the rows must not matter to the result.
+    # The order of the rows must not matter to the result.
     found = found.sort_values(["label", "counts"], ignore_index=True)
     counts = np.frombuffer(b"".join(found["counts"]), dtype=np.float32).reshape(-1, knn.buckets)
     return counts, found["label"].to_numpy(dtype=np.int64)
@@ -192,7 +206,7 @@ def score_quality(
 
     Learned only from labels whose crc32(id as text) mod ``folds`` is not ``held_out_fold``. A null text is
     empty, and empty texts are scored like others. Of an id with several labels the largest counts; null labels
-    and labels without a document teach nothing; without any labels every score is 0.5. A null id is never
+    and labels without a document teach nothing; rows that repeat an id and its text teach once; without any labels every score is 0.5. A null id is never
     held out. Only texts enter the score.
     """
     in_fold = F.pmod(F.crc32(F.col("_id").cast("string").cast("binary")), F.lit(folds)) == held_out_fold

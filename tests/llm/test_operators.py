@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -446,6 +447,36 @@ def test_quality_odd_rows(spark):
     assert quality_classifier.score_quality(frame(spark, []), labels).count() == 0
 
 
+def test_quality_sample_is_bounded_by_rows(spark):
+    """One labelled id has most rows, with many texts and many repeats."""
+    rows = [(5, f"text number {i % 60}") for i in range(400)] + [(i, f"plain words {i}") for i in range(10, 16)]
+    documents = spark.createDataFrame(rows, "_id long, _text string")
+    marks = spark.createDataFrame([(5, 1), (5, 0)] + [(i, 0) for i in range(10, 16)], "_id long, _label int")
+    always, some = F.lit(True), quality_classifier.Knn(sample=20)
+    counts, given = quality_classifier.labelled_sample(documents, marks, always, some)
+    assert len(counts) == len(given) == 20
+    again, same = quality_classifier.labelled_sample(documents.repartition(7), marks, always, some)
+    assert (again == counts).all() and (same == given).all()
+    counts, given = quality_classifier.labelled_sample(documents, marks, always, quality_classifier.Knn())
+    assert Counter(given.tolist()) == {1: 60, 0: 6}
+
+
+def test_votes_against_all_cosines(spark):
+    rng = random.Random(9)
+    knn = quality_classifier.Knn(neighbours=4, block=7, rank=12)
+    texts = [words(rng, rng.randint(3, 40), [f"v{i}" for i in range(60)] + ["BUY!!", "now"]) for _ in range(70)]
+    features = quality_classifier.Features(knn)
+    vectors = np.stack([features.vector(t if isinstance(t, str) else " ".join(t)) for t in texts])
+    labels = np.array([rng.randint(0, 1) for _ in range(50)])
+    model = quality_classifier.fit(vectors[:50], labels, knn)
+    latent = model.latent(vectors).astype(float)
+    for i, vote in enumerate(model.vote(model.latent(vectors))):
+        cosines = sorted(((float(latent[i] @ v), n) for n, v in enumerate(latent[:50])), reverse=True)[:4]
+        weights = [max(c, 1e-6) ** knn.power for c, _ in cosines]
+        plain = sum(w * labels[n] for w, (_, n) in zip(weights, cosines)) / sum(weights)
+        assert vote == pytest.approx(plain, abs=1e-4)
+
+
 def test_language_odd_rows(spark):
     rows = [(i, t * 20, l) for i, (t, l) in enumerate([("the cat ", "en"), ("der hund ", "de")] * 20)]
     rows += [(100, None, "en"), (101, "", None), (102, "12 !?", "xx"), (None, "the cat", None), (103, "der hund", None), rows[0]]
