@@ -308,7 +308,7 @@ def find_leaks(
 
     Places count in the normalised text (lower case, single spaces), end exclusive. The benchmark is the query
     set: it is passed over all documents in blocks of bounded size. The matches of all blocks but the last are stored
-    before the next block is read, so the driver and the plan hold one block. Null and empty texts have no match and are
+    before the next block is read, so the driver holds one index, and the items of the next block. Null and empty texts have no match and are
     no items; an item shorter than a gram must occur unchanged. Repeated rows and items give repeated
     matches; null ids stay null; other columns are not looked at.
     """
