@@ -1,7 +1,7 @@
 """Quality rules on whole texts, with line frequencies across the documents of a host.
 
 Only DataFrame functions are used. Word statistics stay inside the row as arrays; what is shuffled is one
-hash per distinct line of a distinct text.
+hash per distinct line of a document.
 """
 
 from __future__ import annotations
@@ -11,14 +11,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closeworks.llm.common import WORD_PATTERN, text_of, words_of
+from closeworks.llm.common import WORD_PATTERN, id_of, text_of, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is above the limit if at least ``min_documents`` distinct texts of its host have it. A document is
+    """A line is above the limit if at least ``min_documents`` distinct documents of its host have it. A document is
     depleted if less than ``kept_share`` of its words is left.
 
     The count alone decides: a line above the limit stays above it, however much its host grows."""
@@ -103,33 +103,37 @@ def measured(documents: DataFrame, text_col: str, host_col: str, limits: LineLim
     ).drop("_words", "_lines")
 
 
-def frequent_lines(documents: DataFrame, text_col: str, host_col: str, limits: LineLimits) -> DataFrame:
+def frequent_lines(
+    documents: DataFrame, id_col: str, text_col: str, host_col: str, limits: LineLimits
+) -> DataFrame:
     """``_host, _text_hash, _line, words``: the lines above the limits, for each distinct text that has them.
 
-    Copies of a text on one host count once, as copies alone make no line a boilerplate line. ``words`` are the
-    words of all lines of that text with this hash.
+    A document is known by its id and text: repeated rows count once, copies under ids of their own count each. ``words``
+    are the words of all lines of that text with this hash.
     """
     text = text_of(text_col)
-    lines = F.transform(
+    host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("")).alias("_host")
+    text_hash = F.xxhash64(text).alias("_text_hash")
+    held = documents.select(
+        host, id_of(id_col).alias("_id"), text_hash,
+        F.explode(F.array_distinct(F.transform(lines_of(text), normal_hash))).alias("_line"),
+    )
+    # Rows of a hot line are spread by document and combined there, before one row per task counts them.
+    per_line = held.distinct().groupBy("_host", "_line").agg(F.count("*").alias("documents"))
+    above = per_line.filter(F.col("documents") >= limits.min_documents).select("_host", "_line")
+    measured_lines = F.transform(
         lines_of(text), lambda x: F.struct(normal_hash(x).alias("line"), F.size(words_of(x)).alias("words"))
     )
-    texts = documents.select(
-        F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("")).alias("_host"),
-        F.xxhash64(text).alias("_text_hash"),
-        lines.alias("_lines"),
-    )
-    # The n-th time that a text has a line gets the number n, so that all rows of one text agree on what it holds.
-    of_text = (
-        texts.select("_host", "_text_hash", F.posexplode("_lines").alias("_at", "_x"))
-        .select("_host", "_text_hash", "_at", "_x.line", "_x.words")
-        .groupBy("_host", "_text_hash", F.col("line").alias("_line"), "_at")
+    # Rows of one text agree on what stands at a place, so each place of a text counts once.
+    return (
+        documents.select(host, text_hash, F.posexplode(measured_lines).alias("_at", "_x"))
+        .select("_host", "_text_hash", "_at", F.col("_x.line").alias("_line"), "_x.words")
+        .join(above, ["_host", "_line"])
+        .groupBy("_host", "_text_hash", "_line", "_at")
         .agg(F.max("words").alias("words"))
         .groupBy("_host", "_text_hash", "_line")
         .agg(F.sum("words").alias("words"))
     )
-    per_line = of_text.groupBy("_host", "_line").agg(F.count("*").alias("texts"))
-    above = per_line.filter(F.col("texts") >= limits.min_documents).select("_host", "_line")
-    return of_text.join(above, ["_host", "_line"]).select("_host", "_text_hash", "_line", "words")
 
 
 def apply_rules(
@@ -142,12 +146,13 @@ def apply_rules(
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_removed_words``.
 
     One row per row of ``documents``. A null text is empty (no words: the base rules fail it), a null host is a
-    host of its own, a null id stays null. Repeated rows get equal rows. A document is kept if the base rules
-    pass and at least ``kept_share`` of its words stand in lines below the limits.
+    host of its own, a null id stays null (rows without an id are documents by their texts). Repeated rows get equal
+    rows. A document is kept if the base rules pass and at least ``kept_share`` of its words stand in lines below the
+    limits; so ``min_documents`` copies on one host are depleted, as they have each other's lines.
     """
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"), F.col(host_col).alias("_h"))
     lost = (
-        frequent_lines(rows, "_t", "_h", limits)
+        frequent_lines(rows, "doc_id", "_t", "_h", limits)
         .groupBy("_host", "_text_hash")
         .agg(F.sum("words").alias("n_removed_words"))
     )
@@ -170,7 +175,7 @@ def clean_documents(documents: DataFrame, limits: LineLimits = LineLimits()) ->
 
     ``n_chars``, where there is one, is counted anew for texts that changed.
     """
-    frequent = frequent_lines(documents, "text", "source", limits)
+    frequent = frequent_lines(documents, "doc_id", "text", "source", limits)
     lost = frequent.groupBy("_host", "_text_hash").agg(
         F.sum("words").alias("_lost"), F.collect_list("_line").alias("_above")
     )

@@ -37,24 +37,24 @@ repeats AS (
   SELECT doc_id, count(DISTINCT place) AS n_repeat_words
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE n >= 2) GROUP BY doc_id),
 base AS (
-  SELECT s.doc_id, s.host, s.t, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  SELECT s.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n_repeat_words, 0) AS n_repeat_words
   FROM split s LEFT JOIN repeats r ON r.doc_id = s.doc_id),
 lines AS (
-  SELECT DISTINCT host, t, i, lower(array_to_string(lw, ' ')) AS line, len(lw) AS words
-  FROM (SELECT host, t, i, list_filter(string_split_regex(l[i], '[\x20\x09-\x0D]+'), lambda x: x <> '') AS lw
-        FROM (SELECT host, t, l, unnest(generate_series(1, len(l))) AS i FROM split))),
-above AS (SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT t) >= 10),
+  SELECT doc_id, host, lower(array_to_string(lw, ' ')) AS line, len(lw) AS words
+  FROM (SELECT doc_id, host, list_filter(string_split_regex(l[i], '[\x20\x09-\x0D]+'), lambda x: x <> '') AS lw
+        FROM (SELECT doc_id, host, l, unnest(generate_series(1, len(l))) AS i FROM split))),
+above AS (SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT doc_id) >= 10),
 lost AS (
-  SELECT l.host, l.t, sum(l.words) AS n FROM lines l JOIN above a ON a.host = l.host AND a.line = l.line GROUP BY l.host, l.t)
+  SELECT l.doc_id, sum(l.words) AS n FROM lines l JOIN above a ON a.host = l.host AND a.line = l.line GROUP BY l.doc_id)
 SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - coalesce(x.n, 0) >= n_words * 0.5 AS kept,
        CAST(coalesce(x.n, 0) AS BIGINT) AS n_removed_words
-FROM base b LEFT JOIN lost x ON x.host = b.host AND x.t = b.t
+FROM base b LEFT JOIN lost x ON x.doc_id = b.doc_id
 """
 
 SQL["op1_suffix_dedup"] = r"""

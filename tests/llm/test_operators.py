@@ -369,6 +369,29 @@ def test_quality_rules_on_odd_rows(spark):
     assert cleaned[0] == body(0) and 100 not in cleaned and 101 not in cleaned
 
 
+def test_lines_are_counted_by_documents(spark):
+    """Against a plain count: copies under their own ids count each, repeated rows and rows without an id by their text."""
+    body = lambda i: "\n".join(" ".join(f"w{i}x{k}y{j}" for j in range(10)) for k in range(6))
+    rows = [(i, body(0), "en", "h", 0) for i in range(10)] + [(20 + i, body(1), "en", "h", 0) for i in range(9)]
+    rows += [(40, body(2), "en", "h", 0)] * 12 + [(None, body(3), "en", "h", 0)] * 12
+    rows += [(60 + i, body(4), "en", f"h{i % 2}", 0) for i in range(18)]
+    rows += [(90 + i, f"{body(5 + i)}\n  Some  SHARED line \nsome shared LINE", "en", None, 0) for i in range(11)]
+    holders = {}
+    normal = lambda line: " ".join(line.split()).lower()
+    for i, text, _, host, _ in rows:
+        for line in text.split("\n"):
+            holders.setdefault((host, normal(line)), set()).add((i, text))
+    expected = Counter()
+    for i, text, _, host, _ in rows:
+        lost = sum(len(x.split()) for x in text.split("\n") if len(holders[host, normal(x)]) >= 10)
+        expected[i, lost, len(text.split()) - lost >= 0.5 * len(text.split())] += 1
+    out = quality_rules.apply_rules(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_removed_words, r.kept) for r in out) == expected
+    assert not any(r.kept for r in out if r.doc_id is not None and r.doc_id < 10)
+    cleaned = Counter(r.doc_id for r in corpus_pipeline.quality_rules(spark, frame(spark, rows), "").collect())
+    assert cleaned == Counter({i: n for (i, _, kept), n in expected.items() if kept})
+
+
 def test_more_data_frees_no_line(spark):
     """One host at two sizes; the licence lines are on 2 to 5 % of the small one and on 0.4 to 1 % of the large one."""
     licences = ["All rights reserved.", "Licensed under the terms below."]
