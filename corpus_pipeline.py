@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, without lines that 10 distinct texts of their host have, however large it is."""
+    """Documents that pass the rules, without lines that 10 distinct documents of their host have, however large it is."""
     return clean_documents(docs)
 
 
