@@ -30,8 +30,10 @@ KINDS = ("assign", "access", "hex", "opaque")
 #: Candidates of the method itself: long runs that mix letters of both cases and digits.
 OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
-#: A candidate that at least so many owners hold is a copied example.
+#: A candidate that at least so many owners hold is a copied example, and so is one that two or more owners hold in at least
+#: so many repositories. What only one owner holds is that owner's, in however many repositories it stands.
 EXAMPLE_OWNERS = 4
+EXAMPLE_REPOSITORIES = 16
 
 SPANS_TYPE = "array<struct<start:int,kind:int,end:int,secret:string>>"
 SCAN_SCHEMA = (
@@ -96,12 +98,13 @@ def scan_secrets(
     owner_col: str = "source",
     repository_col: str | None = None,
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
     """Spans of secrets, one row per row of ``documents``.
 
     ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, live``. ``spans`` has the base
-    spans and, of the method's own candidates, those that are live: held by fewer than ``example_owners``
-    distinct owners. ``live`` has the (start, end, owners, repositories) of all live spans. A null text is
+    spans and, of the method's own candidates, those that are live: held by one owner only, or by fewer than
+    ``example_owners`` distinct owners in fewer than ``example_repositories`` distinct repositories. ``live`` has the (start, end, owners, repositories) of all live spans. A null text is
     empty; a null owner is an owner of its own; without ``repository_col`` each document is a repository.
     Rows that repeat id and text count as one repository. Owners and repositories are counted over all rows:
     candidates are first combined per (secret, owner, repository), so a secret with many copies is spread
@@ -141,7 +144,9 @@ def scan_secrets(
         ),
     )
     judged = joined.withColumn("_judged", known)
-    is_live = lambda x: x["of"]["owners"] < example_owners
+    is_live = lambda x: (x["of"]["owners"] < 2) | (
+        (x["of"]["owners"] < example_owners) & (x["of"]["repositories"] < example_repositories)
+    )
     named = lambda x: F.concat_ws(
         ":", F.get(F.array(*[F.lit(k) for k in KINDS]), x["kind"]), x["start"].cast("string"), x["end"].cast("string")
     )
@@ -162,13 +167,15 @@ def scan_secrets(
 MASK = "[secret]"
 
 
-def redact_live(documents: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def redact_live(
+    documents: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES
+) -> DataFrame:
     """``documents`` with every live span of its ``text`` replaced by ``[secret]`` and ``n_chars`` counted anew.
 
     Documents without live spans, and all other columns, stay as they are. Overlapping spans become one mask.
     """
     spans = (
-        scan_secrets(documents, example_owners=example_owners)
+        scan_secrets(documents, example_owners=example_owners, example_repositories=example_repositories)
         .filter("n_live > 0")
         .select(
             F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("text_hash").alias("_text_hash"),

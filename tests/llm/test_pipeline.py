@@ -54,6 +54,10 @@ def corpus():
         rows.append((500 + i, f"{lines(prose(rng, 55))} {secret} {lines(prose(rng, 5))} é", "en", "s", 1))
     for i in range(5):
         rows.append((510 + i, f"{lines(prose(rng, 60))}\npassword=exampleexample", "en", f"o{i}", 1))
+    # By two owners in 16 documents, and by one owner in as many, each time with other words around it.
+    for i in range(16):
+        rows.append((520 + i, f"{lines(prose(rng, 60))} x password=twoownershold", "en", f"o{i % 2}", 1))
+        rows.append((540 + i, f"{lines(prose(rng, 60))} x password=oneownerholds", "en", "o3", 1))
     return rows
 
 
@@ -95,13 +99,15 @@ def plain_masks(rows):
         r"([0-9a-f]{24,})",
     ]
     spans = lambda text: [(*m.span(), m[1]) for k in kinds for m in re.finditer(k, text)]
-    owners = {}
-    for _, text, _, owner, _ in rows:
+    owners, repositories = {}, {}
+    for i, text, _, owner, _ in rows:
         for _, _, secret in spans(text):
             owners.setdefault(secret, set()).add(owner)
+            repositories.setdefault(secret, set()).add(i)
+    is_live = lambda x: len(owners[x]) < 2 or (len(owners[x]) < 4 and len(repositories[x]) < 16)
     out = []
     for i, text, lang, owner, n in rows:
-        live = [x for x in spans(text) if len(owners[x[2]]) < 4]
+        live = [x for x in spans(text) if is_live(x[2])]
         hidden = {at for start, end, _ in live for at in range(start, end)}
         new = "".join("[secret]" * (at - 1 not in hidden) if at in hidden else c for at, c in enumerate(text))
         out.append((i, new, lang, owner, len(new) if live else n))
@@ -124,7 +130,8 @@ def test_rows_of_each_stage(spark, corpus, tmp_path):
     assert gone["near_duplicates"] > set(range(201, 209)) and 300 not in gone["near_duplicates"]
     assert gone["decontamination"] == {400, 401} and not gone["secret_scans"]
     texts = {r[0]: r[1] for r in expected}
-    assert all("[secret]" in texts[i] for i in (500, 501, 502)) and "exampleexample" in texts[510]
+    assert all("[secret]" in texts[i] for i in (500, 501, 502, 540, 555))
+    assert "exampleexample" in texts[510] and "twoownershold" in texts[520] and "[secret]" not in texts[520]
     named = [r for r in expected if r[0] is not None]
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs.filter("doc_id IS NOT NULL"), str(tmp_path)).toPandas()
     check_pieces(pieces, spark.createDataFrame(named, COLUMNS).toPandas())
