@@ -356,7 +356,7 @@ def raw_fx_stats(raw: DataFrame) -> DataFrame:
             F.min("rate").alias("min_rate"),
             F.max("rate").alias("max_rate"),
             mean("rate", RATE).alias("avg_rate"),
-            F.round(F.stddev_samp("rate"), 8).alias("stddev_rate"),
+            F.stddev_samp("rate").alias("stddev_rate"),
             F.min("rate_date").alias("earliest_date"),
             F.max("rate_date").alias("latest_date"),
         )

@@ -523,7 +523,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "task_daily_performance": _of_log(tasklog.task_daily_performance, CONFIG),
     "notification_status": lambda t: tasklog.notification_status(t.source.notifications()),
     # raw landing reports
-    "raw_fx_stats": lambda t: metrics.raw_fx_stats(t.raw.exchange_rates),
+    # Engines add doubles in different orders; the digest rounds what the operator does not.
+    "raw_fx_stats": lambda t: metrics.raw_fx_stats(t.raw.exchange_rates).withColumn("stddev_rate", F.round("stddev_rate", 8)),
     "raw_ledger_by_bu": lambda t: metrics.raw_ledger_by_bu(t.raw.ledger, CONFIG.bu_codes),
     "raw_ledger_by_category": lambda t: metrics.raw_ledger_by_category(t.raw.ledger, CONFIG.bu_codes),
     "raw_cuts_by_cut": lambda t: metrics.raw_cuts_by_cut(t.raw.cuts),

@@ -1,13 +1,14 @@
 import datetime as dt
 import decimal
 import random
+import statistics
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from closeworks.functions import ranks
-from closeworks.operators import fx
+from closeworks.operators import fx, metrics
 from closeworks.sources import tables
 
 RAW = "load_id string, currency string, rate double, rate_date date, source string, loaded_at timestamp"
@@ -252,3 +253,12 @@ def test_recent_rates(frame):
 def test_outliers_are_strictly_beyond_the_threshold(frame):
     df = frame("variance_from_prior double", (5.0,), (5.1,), (-5.1,), (None,))
     assert fx.fx_outliers(df).agg(F.count("*")).collect()[0][0] == 2
+
+
+def test_standard_deviation_of_rates_is_not_rounded(frame):
+    """Rates that differ from the ninth digit on, against the standard library."""
+    rates = [0.0067 + i * 3e-10 for i in range(20)]
+    raw = frame("currency string, rate double, rate_date date", *[("JPY", r, dt.date(2024, 1, 1)) for r in rates], ("EUR", 1.1, None))
+    found = {r.currency: r.stddev_rate for r in metrics.raw_fx_stats(raw).collect()}
+    assert found["JPY"] == pytest.approx(statistics.stdev(rates), rel=1e-6)
+    assert found["EUR"] is None
