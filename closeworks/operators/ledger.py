@@ -198,9 +198,14 @@ def segment_pivot(segments: DataFrame, cfg: CloseConfig = DEFAULT_CONFIG) -> Dat
     Of several values the smallest is taken, so the result does not depend on row order.
     The rows are reduced to distinct values by hashing first; the minimum of text, for
     which Spark sorts, then sees those few only. There is no join per type.
+
+    A plain ``distinct`` would not stay in the plan: Spark drops it below a minimum, which
+    repeats do not change, and would sort all rows. The filter on the count, true for every
+    group, keeps the hash aggregate.
     """
     key = ["closure_period", "bu_code", "account_code"]
-    values = segments.filter("is_validated").select(*key, "segment_type", "segment_value").distinct()
+    valid = segments.filter("is_validated")
+    values = valid.groupBy(*key, "segment_type", "segment_value").agg(F.count("*").alias("_rows")).filter("_rows > 0")
     return values.groupBy(*key).agg(
         *[
             F.min(F.when(F.col("segment_type") == t, F.col("segment_value"))).alias(f"segment_{t.lower()}")

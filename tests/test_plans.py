@@ -2,6 +2,7 @@
 
 import pytest
 
+from closeworks.operators import ledger
 from closeworks.plans.registry import BUILDERS, Tables
 
 SF = "/root/testdata/sf0.001"
@@ -83,6 +84,23 @@ def test_rows_are_never_sorted_to_be_aggregated(tables, name):
             assert "HashAggregateExec" in below(node), node.toString()[:400]
 
 
+def test_segment_pivot_combines_rows_before_it_sorts(spark):
+    """The optimizer leaves the hash aggregate in; without it every segment row would be sorted for the minimum."""
+    rows = [("2024-01", "NA", "4000", t, f"{t} {i % 3}", True) for i in range(200) for t in ("Product", "Customer")]
+    rows += [("2024-01", "NA", "4000", None, None, True), ("2024-01", None, None, "Product", "a", True), (None, "NA", "4000", "Product", "0", False)]
+    schema = "closure_period string, bu_code string, account_code string, segment_type string, segment_value string, is_validated boolean"
+    df = ledger.segment_pivot(spark.createDataFrame(rows, schema))
+    got = sorted(map(tuple, df.collect()), key=repr)
+    assert got == [
+        ("2024-01", "NA", "4000", "Product 0", None, "Customer 0", None),
+        ("2024-01", None, None, "a", None, None, None),
+    ]
+    sorts = [n for n in nodes(df) if n.getClass().getSimpleName() == "SortAggregateExec"]
+    assert sorts
+    for node in sorts:
+        assert "HashAggregateExec" in below(node), node.toString()[:400]
+
+
 def test_scans_read_only_the_columns_they_need(tables):
     text = plan(BUILDERS["raw_ledger_by_category"](tables), executed=True)
     scan = next(line for line in text.splitlines() if "FileScan parquet [l_orderkey" in line)
