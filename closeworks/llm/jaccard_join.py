@@ -7,9 +7,10 @@ Distance is 1 - Jaccard similarity; documents link at a distance of at most 1/4.
 2. Pivots. Of the sets that hold a shingle the one with the fewest shingles of its own is a candidate, as the original of
    many near copies is; candidates without a stronger one near them are pivots. Sets farther than ``COVER`` from every pivot
    choose among themselves, and what is left after some rounds are pivots too.
-3. Regions. All distances between sets and pivots that share anything are counted. The nearest pivot of a set is its
-   home. If y links with x, then x is at most 1/4 + d(y, home of y) <= 1/2 + d(x, home of x) from the home of y: so a set
-   is replicated to all pivots in that window, and every link is met in a region where one of both is at home.
+3. Regions. Distances between sets and pivots that share anything are counted. The nearest pivot of a set is its
+   home. Let x and y link, and y be no farther from its home than x. Then x is at most 1/4 + d(y, home of y) from the home
+   of y, which is at most 1/4 + d(x, home of x) and at most 1/4 + the largest distance of a set at home there: so a set is
+   replicated to the pivots in both windows, and every link is met in a region where one of both is at home.
 4. Rings. Around its pivot a region is cut into rings a quarter wide; by the triangle inequality only members of
    neighbouring rings can link. A ring with many members is cut once more, into blocks. Two blocks at a time are joined
    in a task, exactly; it returns only links that connect what it does not know to be connected yet.
@@ -37,7 +38,7 @@ SHINGLE = 5
 KNOWN_WORDS = 300_000
 #: Sets of no more shingles count with all of them.
 SMALL = 128
-#: Sets are at most so far from their home, or pivots themselves; less than 1/2, so that windows end before distance 1.
+#: Sets are at most so far from their home, or pivots themselves; less than 3/4, so that windows end before distance 1.
 COVER = 0.45
 #: Rounds in which sets without a near pivot choose pivots among themselves.
 PIVOT_ROUNDS = 4
@@ -258,13 +259,18 @@ def _regions(shingles: DataFrame, sizes: DataFrame, pivots: DataFrame) -> DataFr
         (F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * 75).alias("linked"),
     )
     itself = sizes.join(pivots, "node").select("node", F.col("node").alias("pivot"), "n", F.lit(0.0).alias("d"), F.lit(True).alias("linked"))
-    measured = stored(measured.unionByName(itself))
+    slack = 1e-9  # distances are doubles; a little more is replicated, never less
+    # Every set has a home at most COVER away, so no window reaches farther than this.
+    measured = stored(measured.filter(F.col("d") <= COVER + 0.25 + slack).unionByName(itself))
     nearest = measured.groupBy("node").agg(F.min("d").alias("least"))
     # A pivot is at home in its own region; other sets at the first of their nearest pivots.
-    homes = measured.join(nearest, "node").filter("d = least").groupBy("node").agg(F.min("pivot").alias("home"))
-    slack = 1e-9  # distances are doubles; a little more is replicated, never less
+    homes = stored(
+        measured.join(nearest, "node").filter("d = least").groupBy("node").agg(F.min("pivot").alias("home"), F.max("least").alias("least"))
+    )
+    radius = homes.groupBy(F.col("home").alias("pivot")).agg(F.max("least").alias("radius"))
     return stored(
-        measured.join(nearest, "node").join(homes, "node").filter(F.col("d") <= F.col("least") + 0.5 + slack)
+        measured.join(homes, "node").join(radius, "pivot")
+        .filter(F.col("d") <= F.least("least", "radius") + 0.25 + slack)
         .select("pivot", "node", "d", "n", "linked", (F.col("pivot") == F.col("home")).alias("home"))
     )
 

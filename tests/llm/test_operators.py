@@ -141,6 +141,23 @@ def test_jaccard_components_are_exact(spark, corpus):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == Counter((r[0], *expected[r[0]]) for r in rows)
 
 
+def test_regions_hold_only_what_can_link_there(spark):
+    """Two pivots that share much but cannot link have nothing of each other; a set between two regions is in both."""
+    sets = {1: range(100), 2: range(30, 130), 3: range(99), 4: range(10, 110), 5: range(500, 503), 6: range(20, 120)}
+    of = lambda nodes: [(n, s) for n in nodes for s in sets[n]]
+
+    def members(nodes, pivots):
+        shingles = spark.createDataFrame(of(nodes), "node long, shingle long")
+        sizes = spark.createDataFrame([(n, len(sets[n])) for n in nodes], "node long, n long")
+        chosen = spark.createDataFrame([(p,) for p in pivots], "node long")
+        return sorted((r.pivot, r.node, r.home) for r in jaccard_join._regions(shingles, sizes, chosen).collect())
+
+    assert members([1, 2, 3, 5], [1, 2, 5]) == [(1, 1, True), (1, 3, True), (2, 2, True), (5, 5, True)]
+    # 4 and 6 link and have different homes.
+    both = [(1, 1, True), (1, 4, True), (1, 6, False), (2, 2, True), (2, 4, False), (2, 6, True)]
+    assert members([1, 2, 4, 6], [1, 2]) == both
+
+
 def test_jaccard_needs_several_rounds(spark):
     """Sets around several centres that share most of their shingles, close to the limit on both sides."""
     rng = random.Random(3)
