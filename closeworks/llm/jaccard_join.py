@@ -6,11 +6,13 @@ Distance is 1 - Jaccard similarity; documents link at a distance of at most 1/4.
    together, and a set leaves the join when more than a quarter of its shingles occur in no other set.
 2. Pivots. Of the sets that hold a shingle the one with the fewest shingles of its own is a candidate, as the original of
    many near copies is; candidates without a stronger one near them are pivots. Sets farther than ``COVER`` from every pivot
-   choose among themselves, and what is left after some rounds are pivots too.
-3. Regions. Distances between sets and pivots that share anything are counted. The nearest pivot of a set is its
-   home. Let x and y link, and y be no farther from its home than x. Then x is at most 1/4 + d(y, home of y) from the home
+   choose among themselves, and what is left after some rounds are pivots too. The nearest pivot found so is the home of a set.
+3. Regions. Let x and y link, and y be no farther from its home than x. Then x is at most 1/4 + d(y, home of y) from the home
    of y, which is at most 1/4 + d(x, home of x) and at most 1/4 + the largest distance of a set at home there: so a set is
    replicated to the pivots in both windows, and every link is met in a region where one of both is at home.
+   Distances are measured only where they can be that small: with the shingles of all sets in one order, rarest first, a
+   set shares one of its first with each set that is near enough, and one of the first of that (see ``_first_shingles``). So
+   a passage that many sets have brings no pairs, unless it is most of them.
 4. Rings. Around its pivot a region is cut into rings a quarter wide; by the triangle inequality only members of
    neighbouring rings can link. A ring with many members is cut once more, into blocks. Two blocks at a time are joined
    in a task, exactly; it returns only links that connect what it does not know to be connected yet.
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from closeworks.llm.common import NULL_ID, dropped, id_of, id_or_null, stored, text_of
+from closeworks.llm.common import NULL_ID, ROW_BITS, bitmap, dropped, has_bit, id_of, id_or_null, row_place, stored, text_of
 from closeworks.llm.components import components
 from closeworks.llm.seeds import gram_hashes, keyed
 
@@ -45,9 +47,8 @@ PIVOT_ROUNDS = 4
 #: Sets and shingles of a block, about. Two blocks meet in a task.
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
-#: Bits that tell which rows are looked at for their whole sets, and which shingles may be shared; 1 MB and 8 MB whatever the
-#: input is. Where they fill up, more rows are shuffled in vain; the result does not depend on them.
-ROW_BITS = 1 << 23
+#: Bits that tell which shingles may be shared, 8 MB whatever the input is, as ``ROW_BITS`` tell which rows are looked at for their
+#: whole sets. Where they fill up, more rows are shuffled in vain; the result does not depend on them.
 SHINGLE_BITS = 1 << 26
 #: Columns of the incidence matrix that are multiplied at once.
 COLUMNS = 4096
@@ -133,7 +134,7 @@ def _set_batches(bits: bytes):
         known, seen = np.frombuffer(bits, dtype=np.uint8), set()
         for batch in batches:
             place = batch.column("_place").to_numpy()
-            wanted = np.flatnonzero(_has(known, place))
+            wanted = np.flatnonzero(has_bit(known, place))
             profiles = {p.key: p for p in (Profile(shingle_set(t)) for t in batch.column("_text").take(pa.array(wanted)).to_pylist())}
             keys = [k for k in profiles if k not in seen]
             profiles = [profiles[k] for k in keys]
@@ -147,22 +148,6 @@ def _set_batches(bits: bytes):
     return run
 
 
-def _bitmap(places: DataFrame, size: int) -> bytes:
-    """``size`` bits, a power of two from 32,768 on: those of the column ``place`` are set. Made in Spark, bounded by ``size``."""
-    parts = (
-        places.groupBy(F.floor(F.col("place") / 32768).cast("int").alias("part"))
-        .agg(F.bitmap_construct_agg((F.col("place") % 32768).cast("long")).alias("bits")).toPandas()
-    )
-    out = bytearray(size // 8)
-    for part, bits in zip(parts["part"], parts["bits"]):  # size / 32768 at most
-        out[part * 4096 : part * 4096 + 4096] = bits
-    return bytes(out)
-
-
-def _has(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
-
-
 def _sent_batches(bits: bytes):
     """A row per sent shingle that may be shared, with its place in the set."""
 
@@ -172,7 +157,7 @@ def _sent_batches(bits: bytes):
             column = batch.column("sent")
             ends = column.offsets.to_numpy()
             flat = column.values.to_numpy()[ends[0] : ends[-1]]
-            kept = np.flatnonzero(_has(known, flat & (SHINGLE_BITS - 1)))
+            kept = np.flatnonzero(has_bit(known, flat & (SHINGLE_BITS - 1)))
             row = np.searchsorted(ends - ends[0], kept, "right") - 1
             plain = [pa.array(batch.column(c).to_numpy()[row]) for c in ("k1", "k2", "n", "counted")]
             place = pa.array(kept - (ends - ends[0])[row], pa.int64())
@@ -187,14 +172,11 @@ def _whole_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     Bits of a fixed number tell the tasks which rows to look at, so other texts are not shuffled. A row that the bits let
     through in vain goes when its key finds no node.
     """
-    place = F.pmod(F.xxhash64("_id", "_h"), F.lit(ROW_BITS))
-    bits = _bitmap(nodes.select(place.alias("place")), ROW_BITS)
+    place = row_place("_id", "_h")
+    bits = bitmap(nodes.select(place.alias("place")), ROW_BITS)
     found = rows.select(place.alias("_place"), "_text").mapInArrow(_set_batches(bits), "k1 long, k2 long, shingles array<long>")
-    keyed_sets = stored(found.join(nodes.select("node", "k1", "k2"), ["k1", "k2"]).select("node", "shingles"))
-    # Several rows may have the set; which of them stays is all the same.
-    one = keyed_sets.withColumn("row", F.monotonically_increasing_id())
-    first = one.groupBy("node").agg(F.min("row").alias("row"))
-    return stored(one.join(first, ["node", "row"]).select("node", "shingles"))
+    # Several tasks may send the set; which of them it is from is all the same.
+    return stored(found.dropDuplicates(["k1", "k2"]).join(nodes.select("node", "k1", "k2"), ["k1", "k2"]).select("node", "shingles"))
 
 
 def _distance(both: Column, a: Column, b: Column) -> Column:
@@ -202,77 +184,119 @@ def _distance(both: Column, a: Column, b: Column) -> Column:
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their distance ``d``."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", _distance(both, F.size("sa"), F.size("sb")).alias("d"))
+    """``pairs`` (a, b) with their distance ``d`` and whether they link. ``sets``: (node, n, shingles)."""
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+    counted = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both"))
+    return counted.select(
+        "a", "b", _distance(F.col("both"), F.col("na"), F.col("nb")).alias("d"),
+        (F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * 75).alias("linked"),
+    )
 
 
-def _open_shingles(whole: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``node, shingle, slack`` of sets with at most a quarter of shingles that no other set has.
+def _ordered(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``node, n, shingles`` from ``rows`` (node, shingle): the shingles that another set has too, those of the fewest sets first.
 
-    Only shingles that two sets have are there. Linked sets differ in at most a seventh of their sizes together; ``slack``
-    is a seventh of the size less the shingles that are the set's own. Each pass frees shingles for the next.
+    A shingle is once in what is joined to the rows, so that side of a partition is hashed and the rows need no sort.
     """
-    rows = whole.select("node", F.explode("shingles").alias("shingle"))
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1")
+    held = (
+        rows.join(shared.hint("shuffle_hash"), "shingle").repartition("node")
+        .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("held"))
+    )
+    return held.join(sizes, "node").select("node", "n", F.col("held.shingle").alias("shingles"))
+
+
+def _open_sets(whole: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``node, n, shingles`` of sets with at most a quarter of shingles that no other set has, as ``_ordered`` has them.
+
+    Each pass frees shingles for the next.
+    """
+    sets = whole
     for _ in range(2):
-        shared = rows.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle")
-        rows = rows.join(shared, "shingle").select("node", "shingle")
-        seen = rows.groupBy("node").agg(F.count("*").alias("seen"))
-        alone = F.col("n") - F.col("seen")
-        kept = seen.join(sizes, "node").filter(alone <= F.floor(F.col("n") / 4)).select("node", (F.col("n") / 7 - alone).alias("slack"))
-        rows = stored(rows.join(kept, "node").select("node", "shingle", "slack"))
-    return rows
+        rows = sets.select("node", F.explode("shingles").alias("shingle"))
+        sets = stored(_ordered(rows, sizes).filter(F.col("n") - F.size("shingles") <= F.floor(F.col("n") / 4)))
+    return sets
+
+
+def _first_shingles(similarity: Column) -> Column:
+    """Shingles of which a set shares one with any set that is so similar, a row for each.
+
+    Such sets share at least ``similarity * n`` shingles, so fewer than that many may come after the first shared one. Shingles
+    that no other set has would be the first in the order, and are not in the list. The other set may be cut by a
+    similarity of its own: the first shingle that both have comes early enough in both.
+    """
+    needed = F.ceil(similarity * F.col("n") - 0.001)  # rounding may take one more, never one less
+    return F.explode(F.slice("shingles", F.lit(1), F.greatest(F.size("shingles") - needed + 1, F.lit(0)).cast("int"))).alias("shingle")
+
+
+def _nearest(near: DataFrame) -> DataFrame:
+    """``node, home, least, linked``: of each ``a`` of ``near`` (a, b, d, linked) the nearest ``b``."""
+    first = near.groupBy("a").agg(F.min(F.struct("d", "b", "linked")).alias("at"))
+    return first.select(F.col("a").alias("node"), F.col("at.b").alias("home"), F.col("at.d").alias("least"), "at.linked")
 
 
-def _pivots(rows: DataFrame, whole: DataFrame) -> DataFrame:
-    """``node`` of the pivots among the sets of ``rows`` (node, shingle, slack); see step 2 of the module.
+def _at_itself(pivots: DataFrame) -> DataFrame:
+    return pivots.select("node", F.col("node").alias("home"), F.lit(0.0).alias("least"), F.lit(True).alias("linked"))
+
+
+def _homes(sets: DataFrame) -> DataFrame:
+    """``node, home, least, linked``: for each of ``sets`` (see ``_open_sets``) a pivot near it; see step 2 of the module.
 
     The strongest holder of a shingle is a candidate, and a pivot if no stronger candidate is near it. Sets near a
-    pivot are covered and leave; so a group has few pivots, however many shingles it has.
+    pivot are covered and leave; so a group has few pivots, however many shingles it has. A pivot is at home at itself.
     """
-    pivots, left = None, rows
-    order = (F.col("slack") * 1024).cast("long") * (1 << 32) + F.pmod(F.xxhash64("node"), F.lit(1 << 32))
+    homes, left = None, sets
+    # Linked sets differ in at most a seventh of their sizes together; less the shingles that are the set's own.
+    slack = F.col("n") / 7 - (F.col("n") - F.size("shingles"))
+    strength = ((slack * 1024).cast("long") * (1 << 32) + F.pmod(F.xxhash64("node"), F.lit(1 << 32))).alias("strength")
     for _ in range(PIVOT_ROUNDS):
-        heads = stored(left.groupBy("shingle").agg(F.max_by("node", order).alias("pivot")))
-        pairs = left.join(heads, "shingle").filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        near = stored(_measured(pairs.distinct(), whole).filter(F.col("d") <= COVER).select("a", "b"))
+        rows = left.select("node", strength, _first_shingles(F.lit(1 - COVER)))
+        heads = stored(rows.groupBy("shingle").agg(F.max_by("node", "strength").alias("pivot")))
+        pairs = rows.join(heads.hint("shuffle_hash"), "shingle").filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        near = stored(_measured(pairs.distinct(), left).filter(F.col("d") <= COVER))
         chosen = stored(
             heads.select(F.col("pivot").alias("node")).distinct().join(near.select(F.col("a").alias("node")).distinct(), "node", "left_anti")
         )
-        covered = near.join(chosen.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"))
-        pivots = chosen if pivots is None else pivots.unionByName(chosen)
-        left = stored(left.join(covered.unionByName(chosen).distinct(), "node", "left_anti"))
+        covered = _nearest(near.join(chosen.withColumnRenamed("node", "b"), "b"))
+        settled = stored(covered.unionByName(_at_itself(chosen)))
+        homes = settled if homes is None else homes.unionByName(settled)
+        left = stored(left.join(settled, "node", "left_anti"))
         if left.isEmpty():
             break
-    return stored(pivots.unionByName(left.select("node")).distinct())
+    return stored(homes.unionByName(_at_itself(left)))
 
 
-def _regions(shingles: DataFrame, sizes: DataFrame, pivots: DataFrame) -> DataFrame:
-    """``pivot, node, d, n, home``: members of the regions; see step 3 of the module."""
-    of_pivot = shingles.join(pivots, "node").select(F.col("node").alias("pivot"), "shingle")
-    both = shingles.join(of_pivot, "shingle").filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("both"))
-    of = sizes.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
-    measured = both.join(sizes, "node").join(of, "pivot").select(
-        "node", "pivot", "n", _distance(F.col("both"), F.col("n"), F.col("m")).alias("d"),
-        (F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * 75).alias("linked"),
-    )
-    itself = sizes.join(pivots, "node").select("node", F.col("node").alias("pivot"), "n", F.lit(0.0).alias("d"), F.lit(True).alias("linked"))
+def _members(sets: DataFrame, sizes: DataFrame, homes: DataFrame) -> DataFrame:
+    """``pivot, node, d, n, linked, home``: members of the regions; see step 3 of the module."""
     slack = 1e-9  # distances are doubles; a little more is replicated, never less
-    # Every set has a home at most COVER away, so no window reaches farther than this.
-    measured = stored(measured.filter(F.col("d") <= COVER + 0.25 + slack).unionByName(itself))
-    nearest = measured.groupBy("node").agg(F.min("d").alias("least"))
-    # A pivot is at home in its own region; other sets at the first of their nearest pivots.
-    homes = stored(
-        measured.join(nearest, "node").filter("d = least").groupBy("node").agg(F.min("pivot").alias("home"), F.max("least").alias("least"))
-    )
-    radius = homes.groupBy(F.col("home").alias("pivot")).agg(F.max("least").alias("radius"))
-    return stored(
-        measured.join(homes, "node").join(radius, "pivot")
+    radius = stored(homes.groupBy("home").agg(F.max("least").alias("radius")))
+    placed = sets.join(homes.select("node", "home", "least"), "node")
+    mine = placed.select("node", "home", _first_shingles(0.75 - F.col("least")))
+    of_pivot = placed.filter("node = home").join(radius, "home").select(
+        F.col("node").alias("pivot"), _first_shingles(0.75 - F.col("radius"))
+    )
+    elsewhere = mine.join(of_pivot, "shingle").filter("home != pivot")
+    pairs = stored(elsewhere.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+    met = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    near = _measured(pairs, sets.join(met, "node", "left_semi")).withColumnRenamed("a", "node").withColumnRenamed("b", "pivot")
+    replicas = (
+        near.join(homes.select("node", "least"), "node").join(radius.withColumnRenamed("home", "pivot"), "pivot")
         .filter(F.col("d") <= F.least("least", "radius") + 0.25 + slack)
-        .select("pivot", "node", "d", "n", "linked", (F.col("pivot") == F.col("home")).alias("home"))
+        .select("pivot", "node", "d", "linked", F.lit(False).alias("home"))
     )
+    at_home = homes.select(F.col("home").alias("pivot"), "node", F.col("least").alias("d"), "linked", F.lit(True).alias("home"))
+    return stored(at_home.unionByName(replicas).join(sizes, "node").select("pivot", "node", "d", "n", "linked", "home"))
+
+
+def _regions(shingles: DataFrame, sizes: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Members of the regions of given ``pivots`` (node), with each set (rows node, shingle) at home at the nearest of them."""
+    sets = stored(_ordered(shingles, sizes))
+    rows = sets.select("node", _first_shingles(F.lit(1 - COVER)))
+    of_pivot = rows.join(pivots, "node").select(F.col("node").alias("b"), "shingle")
+    pairs = rows.join(pivots, "node", "left_anti").join(of_pivot, "shingle").select(F.col("node").alias("a"), "b").distinct()
+    near = _measured(pairs, sets).filter(F.col("d") <= COVER)
+    return _members(sets, sizes, stored(_nearest(near).unionByName(_at_itself(pivots))))
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -375,11 +399,8 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def link_sets(whole: DataFrame, sizes: DataFrame) -> DataFrame:
     """Links ``a, b`` between sets that connect all that are connected. ``whole``: (node, shingles); ``sizes``: (node, n)."""
-    rows = _open_shingles(whole, sizes)
-    # A set may have lost its last partner in the last pass; it is no member of a region then.
-    nodes = rows.select("node").distinct()
-    whole, sizes = whole.join(nodes, "node", "left_semi"), sizes.join(nodes, "node", "left_semi")
-    members = _regions(rows.select("node", "shingle"), sizes, _pivots(rows, whole))
+    sets = _open_sets(whole, sizes)
+    members = _members(sets, sizes, _homes(sets))
     by_pivot = members.filter("linked AND node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     labels = stored(components(by_pivot))
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
@@ -388,7 +409,7 @@ def link_sets(whole: DataFrame, sizes: DataFrame) -> DataFrame:
     units = met.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     # Units of one component are left out before sets are moved.
     open_units = stored(units.groupBy("unit").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("unit"))
-    rows_of_units = units.join(open_units, "unit").join(whole, "node")
+    rows_of_units = stored(units.join(open_units, "unit")).join(whole, "node")
     columns = ["unit", "node", "label", "home", "first", "second", "shingles"]
     sorted_rows = rows_of_units.select(*columns).repartition("unit").sortWithinPartitions("unit", "node")
     found = sorted_rows.mapInArrow(_unit_batches, "a long, b long")
@@ -418,14 +439,14 @@ def _linked_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shared = stored(
         sent.groupBy("shingle").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("shingle")
     )
-    bits = _bitmap(shared.select(F.pmod("shingle", F.lit(SHINGLE_BITS)).alias("place")), SHINGLE_BITS)
+    bits = bitmap(shared.select(F.pmod("shingle", F.lit(SHINGLE_BITS)).alias("place")), SHINGLE_BITS)
     likely = profiled.filter("sent IS NOT NULL").select("k1", "k2", "n", "counted", "sent").mapInArrow(
         _sent_batches(bits), "k1 long, k2 long, n long, counted long, place long, shingle long"
     )
     # All of a set's rows meet in one place, which also tells how many of its shingles others have.
     mine = Window.partitionBy("k1", "k2")
     found = (
-        likely.join(shared, "shingle").repartition("k1", "k2")
+        likely.join(shared.hint("shuffle_hash"), "shingle").repartition("k1", "k2")
         .groupBy("k1", "k2", "shingle").agg(F.min("place").alias("place"), F.max("n").alias("n"), F.max("counted").alias("counted"))
         .withColumn("seen", F.count_if(F.col("place") < F.col("counted")).over(mine))
         .filter(F.col("counted") - F.col("seen") <= F.floor(F.col("n") / 4))

@@ -173,6 +173,64 @@ def test_jaccard_needs_several_rounds(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected
 
 
+def executed(df):
+    """The nodes of the plan of ``df`` as it ran, with all of its stages; runs it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    found, waiting = [], [plan]
+    while waiting:
+        node = waiting.pop()
+        name = node.getClass().getSimpleName()
+        found.append((name, node))
+        inner = node.executedPlan() if name == "AdaptiveSparkPlanExec" else node.plan() if name.endswith("QueryStageExec") else None
+        children = [inner] if inner is not None else [node.children().apply(i) for i in range(node.children().size())]
+        waiting += [x for x in children if x.getClass().getSimpleName() != "ReusedExchangeExec"]
+    return found
+
+
+def test_a_common_passage_brings_no_pairs_of_groups(spark, monkeypatch):
+    """Groups of near copies that all hold one passage: joins make no more rows than the sets have shingles."""
+    rng, most = random.Random(5), 0
+    passage, rows = [f"p{i}" for i in range(40)], []
+    for g in range(100):
+        base = [f"g{g}w{i}" for i in range(80)]
+        for copy in range(3):
+            text = list(base)
+            text[rng.randrange(80)] = f"edit{copy}"
+            rows.append((3 * g + copy, " ".join(passage + text), "en", "h", 0))
+    kept = jaccard_join.stored
+
+    def watched(df):
+        nonlocal most
+        most = max([most, *(n.metrics().apply("numOutputRows").value() for name, n in executed(df) if "Join" in name)])
+        return kept(df)
+
+    monkeypatch.setattr(jaccard_join, "stored", watched)
+    sets = [(r[0], [int(x) for x in jaccard_join.shingle_set(r[1]).view(np.int64)]) for r in rows]
+    whole = spark.createDataFrame(sets, "node long, shingles array<long>")
+    links = jaccard_join.link_sets(whole, whole.select("node", F.size("shingles").cast("long").alias("n")))
+    found = {r.node: r.component for r in components(links).collect()}
+    assert found == {i: i - i % 3 for i, *_ in rows}
+    assert most <= sum(len(s) for _, s in sets)
+
+
+def test_first_shingles_meet_those_of_similar_sets(spark):
+    """A set and any other that is as similar as either asks for share a first shingle, in the order of all sets."""
+    rng = random.Random(13)
+    sets = {i: set(rng.sample(range(30), rng.randint(1, 28))) for i in range(70)}
+    rows = spark.createDataFrame([(i, x) for i, s in sets.items() for x in s], "node long, shingle long")
+    sizes = spark.createDataFrame([(i, len(s)) for i, s in sets.items()], "node long, n long")
+    asked = {i: rng.choice([0.3, 0.5, 0.55, 0.75]) for i in sets}
+    own = F.udf(asked.get, "double")("node")
+    first = jaccard_join._ordered(rows, sizes).withColumn("s", own).select("node", jaccard_join._first_shingles(F.col("s"))).collect()
+    of = {i: {r.shingle for r in first if r.node == i} for i in sets}
+    for a in sets:
+        for b in sets:
+            if a != b and len(sets[a] & sets[b]) >= max(asked[a], asked[b]) * len(sets[a] | sets[b]):
+                assert of[a] & of[b]
+    assert sum(map(len, of.values())) < 0.8 * sum(map(len, sets.values()))
+
+
 def test_keep_one(spark, corpus):
     out = jaccard_join.keep_one(frame(spark, corpus))
     kept = out.toPandas()
