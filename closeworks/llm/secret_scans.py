@@ -10,11 +10,13 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closeworks.llm.common import NULL_ID, id_of, id_or_null, stored, text_of
+from closeworks.llm.common import NULL_ID, ROW_BITS, bitmap, has_bit, id_of, id_or_null, row_place, stored, text_of
 
 # Fixed values of the base scan, in the order in which kinds are listed.
 ASSIGN = re.compile(
@@ -173,8 +175,9 @@ def redact_live(
     """``documents`` with every live span of its ``text`` replaced by ``[secret]`` and ``n_chars`` counted anew.
 
     Documents without live spans, and all other columns, stay as they are. Overlapping spans become one mask.
+    Bits of a fixed number tell which documents may have some; only those are shuffled to meet their spans.
     """
-    spans = (
+    spans = stored(
         scan_secrets(documents, example_owners=example_owners, example_repositories=example_repositories)
         .filter("n_live > 0")
         .select(
@@ -184,10 +187,16 @@ def redact_live(
         .dropDuplicates(["_id", "_text_hash"])
     )
     names = documents.columns
-    rows = documents.select(
+    bits = bitmap(spans.select(row_place("_id", "_text_hash").alias("place")), ROW_BITS)
+
+    def may_have(place: pd.Series) -> pd.Series:
+        return pd.Series(has_bit(np.frombuffer(bits, dtype=np.uint8), place.to_numpy()))
+
+    boxed = documents.select(
         id_of("doc_id").alias("_id"), F.xxhash64(text_of("text")).alias("_text_hash"),
         F.struct(*names).alias("_row"), F.col("text").cast("string").alias("_t"),
-    ).join(spans, ["_id", "_text_hash"], "left")
+    ).withColumn("_may", F.pandas_udf(may_have, "boolean")(row_place("_id", "_text_hash")))
+    rows = boxed.filter("_may").join(spans, ["_id", "_text_hash"], "left")
     masked = F.aggregate(
         "_live",
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
@@ -203,4 +212,9 @@ def redact_live(
     if "n_chars" in names:
         counted = F.when(clean, columns["n_chars"]).otherwise(F.length("_new"))
         columns["n_chars"] = counted.cast(documents.schema["n_chars"].dataType)
-    return out.select(*[columns[c].alias(c) for c in names])
+    # Columns that are worked out anew have the same types in both parts.
+    others = {c: F.col(f"_row.{c}") for c in names} | {"text": F.col("_t")}
+    return (
+        boxed.filter("NOT _may").select(*[others[c].alias(c) for c in names])
+        .unionByName(out.select(*[columns[c].alias(c) for c in names]))
+    )

@@ -386,6 +386,22 @@ def test_secrets_against_plain_scan(spark):
     assert "hunter22" not in masked[0] and len(masked) == len({r[0] for r in rows})
 
 
+def test_only_documents_with_live_spans_are_shuffled(spark):
+    """Spans too many to be broadcast move the documents that have them, and no others."""
+    rows = [(i, f"plain text {i}", "en", "h", 0) for i in range(400)] + [(400 + i, f"password: own-secret-{i}", "en", "h", 0) for i in range(9)]
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        out = secret_scans.redact_live(frame(spark, rows))
+        moved = sum(n.metrics().apply("shuffleRecordsWritten").value() for name, n in executed(out) if name == "ShuffleExchangeExec")
+        texts = {r.doc_id: r.text for r in out.collect()}
+    finally:
+        spark.conf.set(limit, before)
+    assert texts == {i: t if i < 400 else "[secret]" for i, t, *_ in rows}
+    assert 0 < moved <= 50
+
+
 def test_cascade_is_exact_and_grows_with_the_list(spark):
     listed = spark.range(0, 3000).selectExpr("concat('k', id * 7) as key")
     universe = spark.range(0, 20000).selectExpr("concat('k', id) as key")
