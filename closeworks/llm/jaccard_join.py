@@ -10,9 +10,10 @@ Distance is 1 - Jaccard similarity; documents link at a distance of at most 1/4.
 3. Regions. Let x and y link, and y be no farther from its home than x. Then x is at most 1/4 + d(y, home of y) from the home
    of y, which is at most 1/4 + d(x, home of x) and at most 1/4 + the largest distance of a set at home there: so a set is
    replicated to the pivots in both windows, and every link is met in a region where one of both is at home.
-   Distances are measured only where they can be that small: with the shingles of all sets in one order, rarest first, a
-   set shares one of its first with each set that is near enough, and one of the first of that (see ``_first_shingles``). So
-   a passage that many sets have brings no pairs, unless it is most of them.
+   Distances are measured only to the homes of sets that it may link with. A set with more than a quarter of shingles that no
+   set of another home has can link with none there. With the shingles of the others in one order, rarest first, linked sets
+   share one of their first, and have room for enough to share behind it (see ``_meetings``). So a passage that many sets have
+   brings no pairs, unless it is most of them.
 4. Rings. Around its pivot a region is cut into rings a quarter wide; by the triangle inequality only members of
    neighbouring rings can link. A ring with many members is cut once more, into blocks. Two blocks at a time are joined
    in a task, exactly; it returns only links that connect what it does not know to be connected yet.
@@ -42,6 +43,8 @@ KNOWN_WORDS = 300_000
 SMALL = 128
 #: Sets are at most so far from their home, or pivots themselves; less than 3/4, so that windows end before distance 1.
 COVER = 0.45
+#: Sizes of linked sets differ by a factor of 4/3 at most, less than from one band of sizes to the next but one.
+SIZE_BAND = 1.4
 #: Rounds in which sets without a near pivot choose pivots among themselves.
 PIVOT_ROUNDS = 4
 #: Sets and shingles of a block, about. Two blocks meet in a task.
@@ -197,37 +200,47 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _ordered(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """``node, n, shingles`` from ``rows`` (node, shingle): the shingles that another set has too, those of the fewest sets first.
 
-    A shingle is once in what is joined to the rows, so that side of a partition is hashed and the rows need no sort.
+    With a column ``home`` in ``rows``, the shingles that a set of another home has too. A shingle is once in what is joined
+    to the rows, so that side of a partition is hashed and the rows need no sort.
     """
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1")
+    several = F.min("home") != F.max("home") if "home" in rows.columns else F.count("*") > 1
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("sets"), several.alias("several")).filter("several").drop("several")
     held = (
-        rows.join(shared.hint("shuffle_hash"), "shingle").repartition("node")
+        rows.select("node", "shingle").join(shared.hint("shuffle_hash"), "shingle").repartition("node")
         .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("held"))
     )
     return held.join(sizes, "node").select("node", "n", F.col("held.shingle").alias("shingles"))
 
 
-def _open_sets(whole: DataFrame, sizes: DataFrame) -> DataFrame:
+def _open_sets(whole: DataFrame, sizes: DataFrame, homes: DataFrame | None = None) -> DataFrame:
     """``node, n, shingles`` of sets with at most a quarter of shingles that no other set has, as ``_ordered`` has them.
 
+    With ``homes`` (node, home), that no set of another home has: only such sets can link with one of another home.
     Each pass frees shingles for the next.
     """
     sets = whole
     for _ in range(2):
-        rows = sets.select("node", F.explode("shingles").alias("shingle"))
-        sets = stored(_ordered(rows, sizes).filter(F.col("n") - F.size("shingles") <= F.floor(F.col("n") / 4)))
+        placed = sets if homes is None else sets.join(homes.select("node", "home"), "node")
+        rows = placed.select("node", *([] if homes is None else ["home"]), F.explode("shingles").alias("shingle"))
+        before, sets = sets, stored(_ordered(rows, sizes).filter(F.col("n") - F.size("shingles") <= F.floor(F.col("n") / 4)))
+        if before is not whole:
+            dropped(before)
     return sets
 
 
-def _first_shingles(similarity: Column) -> Column:
-    """Shingles of which a set shares one with any set that is so similar, a row for each.
+def _first(similarity: Column) -> Column:
+    """Shingles of which a set shares one with any set that is so similar.
 
     Such sets share at least ``similarity * n`` shingles, so fewer than that many may come after the first shared one. Shingles
     that no other set has would be the first in the order, and are not in the list. The other set may be cut by a
     similarity of its own: the first shingle that both have comes early enough in both.
     """
     needed = F.ceil(similarity * F.col("n") - 0.001)  # rounding may take one more, never one less
-    return F.explode(F.slice("shingles", F.lit(1), F.greatest(F.size("shingles") - needed + 1, F.lit(0)).cast("int"))).alias("shingle")
+    return F.slice("shingles", F.lit(1), F.greatest(F.size("shingles") - needed + 1, F.lit(0)).cast("int"))
+
+
+def _first_shingles(similarity: Column) -> Column:
+    return F.explode(_first(similarity)).alias("shingle")
 
 
 def _nearest(near: DataFrame) -> DataFrame:
@@ -267,17 +280,36 @@ def _homes(sets: DataFrame) -> DataFrame:
     return stored(homes.unionByName(_at_itself(left)))
 
 
+def _meetings(sets: DataFrame, sizes: DataFrame, homes: DataFrame) -> DataFrame:
+    """``a, b``: sets and pivots other than their homes at which a set may be at home that they link with.
+
+    Sets that cannot link with one of another home leave first. Of the others, two that link share one of their first
+    shingles. Seen from the first one that both have, neither has more to share than what comes from there on, and linked sets
+    share 3/7 of their sizes together; one is at most a third larger, so it is in the same or the next band; and one of the two
+    is no farther from its home. Extremes over the sets of a home and a band that hold the shingle tell whether one may be so.
+    """
+    border = _open_sets(sets, sizes, homes).join(homes.select("node", "home", "least"), "node")
+    held = border.select("*", F.size("shingles").alias("held"), F.posexplode(_first(F.lit(0.75))).alias("place", "shingle"))
+    firsts = stored(held.select(
+        "shingle", F.floor(F.log(F.col("n")) / math.log(SIZE_BAND)).cast("int").alias("band"), "node", "home", "least", "n",
+        ((F.col("held") - F.col("place")) * 7 - F.col("n") * 3).alias("spare"),
+    ))
+    of_home = firsts.groupBy("shingle", F.col("home").alias("pivot"), "band").agg(
+        F.min("least").alias("lo"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.max("spare").alias("spare_hi")
+    )
+    bands = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+    may_link = (
+        "home != pivot AND lo <= least AND 4 * n >= 3 * n_lo AND 4 * n_hi >= 3 * n AND spare >= 3 * n_lo AND spare_hi >= 3 * n"
+    )
+    met = firsts.join(of_home.select("shingle", "pivot", "lo", "n_lo", "n_hi", "spare_hi", bands), ["shingle", "band"]).filter(may_link)
+    return stored(met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+
+
 def _members(sets: DataFrame, sizes: DataFrame, homes: DataFrame) -> DataFrame:
     """``pivot, node, d, n, linked, home``: members of the regions; see step 3 of the module."""
     slack = 1e-9  # distances are doubles; a little more is replicated, never less
     radius = stored(homes.groupBy("home").agg(F.max("least").alias("radius")))
-    placed = sets.join(homes.select("node", "home", "least"), "node")
-    mine = placed.select("node", "home", _first_shingles(0.75 - F.col("least")))
-    of_pivot = placed.filter("node = home").join(radius, "home").select(
-        F.col("node").alias("pivot"), _first_shingles(0.75 - F.col("radius"))
-    )
-    elsewhere = mine.join(of_pivot, "shingle").filter("home != pivot")
-    pairs = stored(elsewhere.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+    pairs = _meetings(sets, sizes, homes)
     met = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     near = _measured(pairs, sets.join(met, "node", "left_semi")).withColumnRenamed("a", "node").withColumnRenamed("b", "pivot")
     replicas = (

@@ -214,6 +214,48 @@ def test_a_common_passage_brings_no_pairs_of_groups(spark, monkeypatch):
     assert most <= sum(len(s) for _, s in sets)
 
 
+def test_a_passage_rarer_than_the_groups_brings_no_pairs(spark, monkeypatch):
+    """A passage that comes before the shingles of each group in the order: sets do not meet other groups by it."""
+    passage, most = list(range(20)), 0
+    rows = [(g, 80, passage + [1000 * g + i for i in range(100, 160)]) for g in range(60)]
+    sets = spark.createDataFrame(rows, "node long, n long, shingles array<long>")
+    homes = spark.createDataFrame([(g, g, 0.0, True) for g in range(60)], "node long, home long, least double, linked boolean")
+    kept = jaccard_join.stored
+
+    def watched(df):
+        nonlocal most
+        most = max([most, *(n.metrics().apply("numOutputRows").value() for name, n in executed(df) if "Join" in name)])
+        return kept(df)
+
+    monkeypatch.setattr(jaccard_join, "stored", watched)
+    found = jaccard_join._members(sets, sets.select("node", "n"), homes).collect()
+    assert sorted((r.pivot, r.node, r.home) for r in found) == [(g, g, True) for g in range(60)]
+    assert most <= sum(n for _, n, _ in rows)
+
+
+def test_linked_sets_of_two_homes_meet(spark):
+    """The set that is as far from its home or farther is sent to the home of the other, wherever the homes are."""
+    rng = random.Random(17)
+    sets = {}
+    for i in range(120):
+        base = set(range(100 * (i % 6), 100 * (i % 6) + rng.randint(3, 60)))
+        sets[i] = base - set(rng.sample(sorted(base), rng.randint(0, len(base) // 6))) | set(rng.sample(range(600), rng.randint(0, 4)))
+    home = {i: rng.randrange(120) for i in sets}
+    least = {i: rng.choice([0.0, 0.1, 0.2, 0.4]) for i in sets}
+    sizes = spark.createDataFrame([(i, len(s)) for i, s in sets.items()], "node long, n long")
+    rows = spark.createDataFrame([(i, x) for i, s in sets.items() for x in s], "node long, shingle long")
+    homes = spark.createDataFrame([(i, home[i], least[i]) for i in sets], "node long, home long, least double")
+    met = {(r.a, r.b) for r in jaccard_join._meetings(jaccard_join._ordered(rows, sizes), sizes, homes).collect()}
+    links = 0
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if home[a] != home[b] and least[b] <= least[a] and 100 * len(x & y) >= 75 * len(x | y):
+                links += 1
+                assert (a, home[b]) in met
+    assert links > 50 and all(home[a] != b for a, b in met)
+    assert len(met) < 0.5 * len(sets) ** 2
+
+
 def test_first_shingles_meet_those_of_similar_sets(spark):
     """A set and any other that is as similar as either asks for share a first shingle, in the order of all sets."""
     rng = random.Random(13)
