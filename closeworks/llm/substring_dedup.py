@@ -12,26 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 
 from closeworks.llm.common import id_or_null
 from closeworks.llm.seeds import Block, Windows, keyed, merged, repeated_spans, window_ranks
 
-KNOWN_WORDS = 300_000
-
-
-class WordHashes(dict):
-    """64-bit hashes of words; those seen first are remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(self) < KNOWN_WORDS and len(word) < 64:
-            self[word] = value
-        return value
-
-
-_HASHES = WordHashes()
-
 
 def text_words(text: str) -> list[bytes]:
     """Words as bytes. Bytes split at the six ASCII separators only, as the definition has it."""
@@ -39,8 +25,8 @@ def text_words(text: str) -> list[bytes]:
 
 
 def word_symbols(text: str) -> np.ndarray:
-    words = text_words(text)
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    """64-bit hashes (SipHash) of the words of a text, all in one call."""
+    return hash_array(np.array(text_words(text), dtype=object), categorize=False)
 
 
 def earliest_places(ranks: np.ndarray) -> np.ndarray:

@@ -101,6 +101,26 @@ def test_dedup_is_exact(spark, corpus, kind, crowded):
     assert out["n_removed"].sum() > 0
 
 
+def test_words_of_a_text_are_hashed_at_once(monkeypatch):
+    """No call per word, however many different words a corpus has; equal words have equal hashes and others do not."""
+    digests, calls = hashlib.blake2b, 0
+
+    def counted(*args, **kwargs):
+        nonlocal calls
+        calls += 1
+        return digests(*args, **kwargs)
+
+    monkeypatch.setattr(hashlib, "blake2b", counted)
+    distinct = [*(f"w{i}" for i in range(400_000)), "", "é", "日本", "\x00", "a\x00", "\x1c", "\xa0", "z" * 1000, "z" * 999 + "y"]
+    found = substring_dedup.word_symbols(" ".join([*distinct, *distinct]))
+    half = len(distinct) - 1  # the empty one is no word
+    assert found.dtype == np.uint64 and len(found) == 2 * half and len(np.unique(found)) == half
+    assert (found[:half] == found[half:]).all()
+    assert (substring_dedup.word_symbols("b\n a\x00") == substring_dedup.word_symbols("a\x00 b")[::-1]).all()
+    assert len(substring_dedup.word_symbols(" \t")) == 0
+    assert calls == 0
+
+
 def test_stretches_cover_all_windows(monkeypatch):
     rng = np.random.default_rng(1)
     symbols = rng.integers(0, 3, 5000).astype(np.uint8)
